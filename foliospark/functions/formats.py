@@ -64,8 +64,9 @@ def hhmmss(offset: Column, default: int = 1) -> Column:
     def part(value: Column) -> Column:
         return F.format_string("%02d", value.cast("int"))
 
-    return F.concat_ws(":", part(F.try_divide(n - n % 3600, F.lit(3600))),
-                       part(F.try_divide(n % 3600 - n % 60, F.lit(60))), part(n % 60))
+    return F.concat_ws(
+        ":", part((n - n % 3600) / 3600), part((n % 3600 - n % 60) / 60), part(n % 60)
+    )
 
 
 def format_addresses(addresses: Column) -> Column:
