@@ -137,6 +137,7 @@ def _tables(html: Column) -> Column:
         html,
         (rf"(?i)<table{_ATTRS}>(?:\s*<(?:thead|tbody){_ATTRS}>)*\s*<tr{_ATTRS}>", PARA + FIRST_ROW),
         (rf"(?i)<tr{_ATTRS}>", ROW),
+        (rf"(?i)</?(?:thead|tbody|tfoot){_ATTRS}>", ""),
     )
 
     def line(cells: Column) -> Column:

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from foliospark.functions.arrays import let, sums_before
-
 FENCE, INFO, ENTITY = "﷐", "﷑", "﷒"
 
 _FENCED = (r"(?sm)^ {0,3}(`{3,}|~{3,})([^\n]*)(?:\n|\z)(.*?)"
@@ -44,7 +42,8 @@ def heading_text(line: Column) -> Column:
 
 def slug(text: Column) -> Column:
     """Anchor for a heading: lower case, letters, digits, ``_ - .`` kept, spaces to hyphens."""
-    kept = F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}_\-. ]+", "")
+    bare = F.regexp_replace(text, r"<[^>]*>|&[a-z]+;|[*`]", "")
+    kept = F.regexp_replace(F.lower(bare), r"[^\p{L}\p{N}_\-. ]+", "")
     return F.regexp_replace(F.regexp_replace(kept, r"[ ]+", "-"), r"^[^\p{L}]+", "")
 
 
@@ -92,8 +91,8 @@ def _inline(text: Column) -> Column:
     for pattern, replacement in (
         (r"!\[([^\]\n]*)\]\(([^)\s]+)\)", '<img src="$2" alt="$1" />'),
         (r"\[([^\]\n]*)\]\(([^)\s]+)\)", '<a href="$2">$1</a>'),
-        (r"\*\*([^*\n]+)\*\*", "<strong>$1</strong>"),
-        (r"\*([^*\n]+)\*", "<em>$1</em>"),
+        (r"\*\*([^*\s]|[^*\s][^*\n]*[^*\s])\*\*", "<strong>$1</strong>"),
+        (r"\*([^*\s]|[^*\s][^*\n]*[^*\s])\*", "<em>$1</em>"),
         (r"\b__([^_\n]+)__\b", "<strong>$1</strong>"),
         (r"\b_([^_\n]+)_\b", "<em>$1</em>"),
         (r"(?m) {2,}$", "<br />"),
@@ -133,8 +132,8 @@ def _block(line: Column) -> Column:
 def _flow(part: Column) -> Column:
     html = F.array_join(F.transform(F.split(_spans(part), "\n"), _block), "\n")
     for old, new in (
-        ("</blockquote>\n<blockquote>", "\n"), ("</ul>\n<ul>\n", ""), ("</ol>\n<ol>\n", ""),
-        ("</p>\n\n<p>", "</p>\n<p >"), ("</p>\n<p>", "\n"), ("<p >", "<p>"),
+        ("</blockquote>\n<blockquote>\n", ""), ("</p>\n<p>", "\n"),
+        ("</ul>\n<ul>\n", ""), ("</ul>\n\n<ul>\n", ""), ("</ol>\n<ol>\n", ""), ("</ol>\n\n<ol>\n", ""),
     ):
         html = F.replace(html, F.lit(old), F.lit(new))
     return F.regexp_replace(F.regexp_replace(html, r"\n{2,}", "\n"), r"^\n+|\n+\z", "")
