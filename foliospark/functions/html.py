@@ -18,7 +18,7 @@ _codes = count(0xFDD0)
 (BREAK, LINE, PARA, RULE, ITEM, NUMBER, HEAD, HEAD_END, BOLD, BOLD_END, ITALIC, ITALIC_END, CODE,
  LINK, LINK_MID, LINK_END, QUOTE, QUOTE_END, ROW, FIRST_ROW, CELL, PIPE, CUT) = (
     chr(next(_codes)) for _ in range(23))
-MARKS = "[﷐-﷯]"
+MARKS = "[\ufdd0-\ufdef]"
 
 BLOCK_TAGS = ("address|article|aside|body|center|dd|details|div|dl|dt|fieldset|figcaption|figure|footer|form|"
               "header|html|main|nav|ol|p|section|summary|table|tbody|tfoot|thead|ul")
@@ -26,7 +26,7 @@ _ATTRS = r"(?:\s[^>]*)?"
 
 # Named character references; ``&amp;`` is resolved after all others.
 ENTITIES = {
-    "&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&#39;": "'",
+    "&nbsp;": "\u00a0", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&#39;": "'",
     "&copy;": "©", "&reg;": "®", "&trade;": "™", "&middot;": "·",
     "&bull;": "•", "&hellip;": "…", "&ndash;": "–", "&mdash;": "—",
     "&lsquo;": "‘", "&rsquo;": "’", "&ldquo;": "“", "&rdquo;": "”",
@@ -56,7 +56,7 @@ def _numeric_entities(text: Column) -> Column:
                         F.conv(F.substring(code, 2, 8), 16, 10)).otherwise(code).cast("bigint")
         valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
         return (F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
-                 .otherwise(F.lit("�")))
+                 .otherwise(F.lit("\ufffd")))
 
     pattern = r"&#([xX][0-9A-Fa-f]{1,6}|[0-9]{1,7});"
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-FENCE, INFO, ENTITY = "﷐", "﷑", "﷒"
+FENCE, INFO, ENTITY = "\ufdd0", "\ufdd1", "\ufdd2"
 
 _FENCED = (r"(?sm)^ {0,3}(`{3,}|~{3,})([^\n]*)(?:\n|\z)(.*?)"
            r"(?:^ {0,3}\1[`~]*[ \t]*(?:\n|\z)|\z)")
@@ -19,7 +19,7 @@ def unify_newlines(text: Column) -> Column:
 
 def fence_parts(markdown: Column) -> Column:
     """Pieces of the text; odd positions are the insides of code fences (info, mark, code)."""
-    marked = F.regexp_replace(F.regexp_replace(unify_newlines(markdown), "[﷐-﷯]", ""),
+    marked = F.regexp_replace(F.regexp_replace(unify_newlines(markdown), "[\ufdd0-\ufdef]", ""),
                               _FENCED, f"{FENCE}$2{INFO}$3{FENCE}")
     return F.split(marked, FENCE)
 

@@ -143,27 +143,33 @@ def offline_language(docs: DataFrame, stopwords: dict[str, list[str]] | None = N
                        (-F.col("best.minus")).alias("hits"))
 
 
-def word_scores(docs: DataFrame) -> DataFrame:
-    """TF-IDF of each (document, word), with the sentences the word stands in.
+def _long_words(text: Column) -> Column:
+    return F.filter(words(text), lambda w: F.length(w) >= MIN_LETTERS)
+
+
+def word_scores(docs: DataFrame, places: bool = False) -> DataFrame:
+    """TF-IDF of each (document, word); ``places`` adds the sentences the word stands in.
 
     Document counts of hot words come by broadcast (see ``HOT_WORDS``), so no
     word sends more than 1/HOT_WORDS of the rows to one task; all other words
     are joined by shuffle.
     """
-    sentences = docs.select("doc_id", F.posexplode(F.split("text", SENTENCE_BREAK)).alias("pos", "sentence"))
-    tokens = sentences.select("doc_id", "pos", F.explode(
-        F.filter(words(F.col("sentence")), lambda w: F.length(w) >= MIN_LETTERS)).alias("word"))
-    per_doc = tokens.groupBy("doc_id", "word").agg(F.collect_list("pos").alias("places"))
-    counts = per_doc.groupBy("word").agg(F.count_if(F.size("places") > 0).alias("df"))
+    if places:
+        sentences = docs.select("doc_id", F.posexplode(F.split("text", SENTENCE_BREAK)).alias("pos", "sentence"))
+        per_doc = sentences.select("doc_id", "pos", F.explode(_long_words(F.col("sentence"))).alias("word")).groupBy(
+            "doc_id", "word").agg(F.count("*").alias("tf"), F.collect_list("pos").alias("places"))
+    else:
+        per_doc = docs.select("doc_id", F.explode(_long_words(F.col("text"))).alias("word")).groupBy(
+            "doc_id", "word").agg(F.count("*").alias("tf"))
+    # The condition keeps every column of per_doc, so that all branches share its one shuffle.
+    counts = per_doc.groupBy("word").agg(F.count_if(F.col("tf") > 0).alias("df"))
     n_docs = docs.select(F.count("*").alias("n")).scalar()
     share = counts.select((F.sum("df") / HOT_WORDS).alias("share")).scalar()
     hot = counts.filter(F.col("df") > share)
     cold = counts.filter(F.col("df") <= share)
     scored = per_doc.join(F.broadcast(hot), "word").unionByName(
         per_doc.join(F.broadcast(hot.select("word")), "word", "left_anti").join(cold, "word"))
-    return scored.select(
-        "doc_id", "word", "places",
-        F.round(F.size("places") * F.log((n_docs + 1) / (F.col("df") + 1)), 6).alias("score"))
+    return scored.withColumn("score", F.round(F.col("tf") * F.log((n_docs + 1) / (F.col("df") + 1)), 6))
 
 
 def offline_tags(docs: DataFrame, k: int = 10) -> DataFrame:
@@ -175,7 +181,7 @@ def offline_tags(docs: DataFrame, k: int = 10) -> DataFrame:
 
 def offline_description(docs: DataFrame, n: int = 3) -> DataFrame:
     """The n sentences with the highest mean TF-IDF, in text order."""
-    by_sentence = word_scores(docs).select("doc_id", F.explode("places").alias("pos"), "score").groupBy(
+    by_sentence = word_scores(docs, places=True).select("doc_id", F.explode("places").alias("pos"), "score").groupBy(
         "doc_id", "pos").agg(F.round(F.avg("score"), 6).alias("score"))
     w = Window.partitionBy("doc_id").orderBy(F.desc("score"), "pos")
     best = by_sentence.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)

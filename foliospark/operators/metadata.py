@@ -11,7 +11,7 @@ from foliospark.functions.text import trim_control
 from foliospark.operators.tables import small_table
 
 # White space that makes a value blank (no-break spaces do not).
-_VISIBLE = "[^\t-\r\x1c-\x20  -  -    　]"
+_VISIBLE = "[^\t-\r\x1c-\x20\u1680\u2000-\u2006\u2008-\u200a\u2028\u2029\u205f\u3000]"
 
 
 def put_if_not_blank(meta: DataFrame) -> DataFrame:
