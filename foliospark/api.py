@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.functions import udtf
 
 from foliospark import values
-from foliospark.functions.spans import bounded
 from foliospark.operators import metadata, routing
 from foliospark.operators.tables import small_table
 
@@ -41,13 +40,22 @@ class Toolbox:
         """Add a metadata extractor: documents to rows doc_id, key, value, and its property lines."""
         self._extractors[name] = (fn, mapping)
 
-    def transform(self, requests: DataFrame) -> DataFrame:
+    def transform(self, requests: DataFrame, staging: str | None = None) -> DataFrame:
         """Route requests and run the transformers registered here, each on its own rows.
 
         Requests that are not routed, or whose transformer has no function, keep
-        a row with their status.
+        a row with their status. Each transformer filters the routed requests,
+        so their source is scanned once per transformer; with ``staging`` (a
+        new folder all executors share) they are routed and written once,
+        partitioned by transformer, and each transformer reads only its part.
         """
         routed = routing.route(requests, self._registry)
+        if staging is not None:
+            unrouted = "-"
+            routed.withColumn("transformer", F.coalesce("transformer", F.lit(unrouted))).write.partitionBy(
+                "transformer").parquet(staging)
+            routed = self.spark.read.schema(routed.schema).parquet(staging).withColumn(
+                "transformer", F.nullif("transformer", F.lit(unrouted)))
         results = [fn(routed.filter(F.col("transformer") == name)).select(
             "doc_id", "target_mime", "content", "status", "error")
             for name, fn in self._transforms.items()]

@@ -67,7 +67,8 @@ def lines(markdown: Column) -> Column:
                 F.when(F.regexp_like(x, F.lit(HEADING)), heading_text(x))
                  .when(F.regexp_like(x, F.lit(RULE_LINE)), F.lit(""))
                  .otherwise(F.regexp_replace(x, LIST_ITEM, "")).alias("text")))
-        return F.when(i % 2 == 1, code).when(part == "", F.slice(F.array(empty), 1, 0)).otherwise(plain)
+        nothing = (part == "") | ((i % 2 == 1) & F.endswith(part, F.lit(INFO)))
+        return F.when(nothing, F.slice(F.array(empty), 1, 0)).when(i % 2 == 1, code).otherwise(plain)
 
     flat = F.flatten(F.transform(fence_parts(markdown), part_lines))
     return F.transform(flat, lambda x, i: F.struct(

@@ -131,12 +131,12 @@ def offline_language(docs: DataFrame, stopwords: dict[str, list[str]] | None = N
     """Language with the most stop words, ties by code, null without any; counted inside the row."""
     lists = values.STOPWORDS if stopwords is None else stopwords
 
+    def hits(tokens: Column, lang: str) -> Column:
+        return F.size(F.filter(tokens, lambda w: w.isin(lists[lang])))
+
     def guess(tokens: Column) -> Column:
-        counts = F.array(*[
-            F.struct((-F.size(F.filter(tokens, lambda w, lang=lang: w.isin(lists[lang])))).alias("minus"),
-                     F.lit(lang).alias("lang"))
-            for lang in sorted(lists)])
-        return F.array_min(counts)
+        return F.array_min(F.array(*[
+            F.struct((-hits(tokens, lang)).alias("minus"), F.lit(lang).alias("lang")) for lang in sorted(lists)]))
 
     best = docs.select("doc_id", let(words(F.col("text")), guess).alias("best"))
     return best.select("doc_id", F.when(F.col("best.minus") < 0, F.col("best.lang")).alias("language"),
@@ -175,7 +175,7 @@ def word_scores(docs: DataFrame, places: bool = False) -> DataFrame:
 def offline_tags(docs: DataFrame, k: int = 10) -> DataFrame:
     """The k words with the highest TF-IDF of each document, ties by word."""
     w = Window.partitionBy("doc_id").orderBy(F.desc("score"), "word")
-    return word_scores(docs).select("doc_id", "word", "score").withColumn(
+    return word_scores(docs).select("doc_id", "word", "tf", "score").withColumn(
         "rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 

@@ -14,7 +14,8 @@ RESULT = "content binary, status string, exit_code int, log string, seconds doub
 
 
 def run_tool(docs: DataFrame, command: list[str] | Column, in_ext: str | Column = ".bin",
-             out_name: str | Column = "output", timeout: float = 600.0, parallel: int | None = None) -> DataFrame:
+             out_name: str | Column = "output", timeout: float = 600.0, parallel: int | None = None,
+             keep: tuple[str, ...] = ()) -> DataFrame:
     """Run a command once per document.
 
     ``{input}``, ``{output}`` and ``{dir}`` in the command stand for the input
@@ -22,8 +23,11 @@ def run_tool(docs: DataFrame, command: list[str] | Column, in_ext: str | Column
     command is started without a shell. A non-zero exit, a missing or empty
     output and a timeout are rows with status error or timeout and the tool's
     log. ``out_name`` may be a pattern such as ``*.txt``: then ``<stem of the
-    input>`` is preferred, else the first match by name is taken.
+    input>`` is preferred, else the first match by name is taken. Columns
+    named in ``keep`` come through unchanged.
     """
+    kept = ["doc_id", *keep]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import fnmatch
         import os
@@ -72,23 +76,22 @@ def run_tool(docs: DataFrame, command: list[str] | Column, in_ext: str | Column
 
         for batch in batches:
             # One frame per document: a batch of whole files is never held twice.
-            for doc_id, *rest in zip(batch["doc_id"], batch["content"], batch["command"],
-                                     batch["in_ext"], batch["out_name"]):
-                content, status, code, log, seconds = one(*rest)
-                yield pd.DataFrame({
-                    "doc_id": [doc_id], "content": [content], "status": [status],
-                    "exit_code": pd.array([code], dtype="Int32"), "log": [log], "seconds": [seconds]})
+            for i, job in enumerate(zip(batch["content"], batch["command"], batch["in_ext"], batch["out_name"])):
+                content, status, code, log, seconds = one(*job)
+                yield batch[kept].iloc[[i]].assign(
+                    content=[content], status=status, exit_code=pd.array([code], dtype="Int32"),
+                    log=log, seconds=seconds)
 
     def column(value) -> Column:
         if isinstance(value, Column):
             return value
         return F.array(*[F.lit(v) for v in value]) if isinstance(value, list) else F.lit(value)
 
-    slim = docs.select("doc_id", "content", column(command).alias("command"),
+    slim = docs.select(*kept, "content", column(command).alias("command"),
                        column(in_ext).alias("in_ext"), column(out_name).alias("out_name"))
     spread = slim if parallel is None else slim.repartition(parallel)
-    key = docs.schema["doc_id"].dataType.simpleString()
-    return spread.mapInPandas(run, f"doc_id {key}, {RESULT}")
+    carried = ", ".join(f"{name} {docs.schema[name].dataType.simpleString()}" for name in kept)
+    return spread.mapInPandas(run, f"{carried}, {RESULT}")
 
 
 def pick_output(files: DataFrame) -> DataFrame:
@@ -172,7 +175,8 @@ _NAMES = {
 }
 
 
-def convert(docs: DataFrame, tool: str, timeout: float = 600.0, parallel: int | None = None, **paths) -> DataFrame:
+def convert(docs: DataFrame, tool: str, timeout: float = 600.0, parallel: int | None = None,
+            keep: tuple[str, ...] = (), **paths) -> DataFrame:
     """``run_tool`` with the command and file names of a known tool."""
     before, after = _NAMES[tool]
     in_ext = F.lit(before) if before.startswith(".") else mime_extension(F.col("source_mime"), before)
@@ -182,4 +186,4 @@ def convert(docs: DataFrame, tool: str, timeout: float = 600.0, parallel: int |
         out_name = F.concat(F.lit("output" + dot), mime_extension(F.col("target_mime"), family))
     else:
         out_name = F.lit(after)
-    return run_tool(docs, build_command(tool, **paths), in_ext, out_name, timeout, parallel)
+    return run_tool(docs, build_command(tool, **paths), in_ext, out_name, timeout, parallel, keep)

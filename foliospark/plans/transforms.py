@@ -20,12 +20,15 @@ from foliospark.operators.routing import resolve_options
 from foliospark.sources import parsers
 
 RESULT = ["doc_id", "target_mime", "content", "status", "error"]
-NO_ERROR = F.lit(None).cast("string")
+
+
+def no_error() -> Column:
+    return F.lit(None).cast("string").alias("error")
 
 
 def _text_result(docs: DataFrame, text: Column) -> DataFrame:
     return docs.select("doc_id", "target_mime", F.encode(text, "UTF-8").alias("content"),
-                       F.lit("ok").alias("status"), NO_ERROR.alias("error"))
+                       F.lit("ok").alias("status"), no_error())
 
 
 def html2md(docs: DataFrame) -> DataFrame:
@@ -41,15 +44,8 @@ def by_tool(tool: str, **paths) -> Callable[[DataFrame], DataFrame]:
     """A transform that runs a known external tool."""
     def run(docs: DataFrame) -> DataFrame:
         typed = docs if "warnings" in docs.columns else resolve_options(docs)
-        done = tools.convert(typed, tool, **paths)
-        target = F.lit({"ocr": values.PDF, "pii": values.PDF, "markdown": values.PDF, "msg": values.PDF,
-                        "whisper": values.TEXT, "videothumb": "image/jpeg", "pdf2docx": values.DOCX,
-                        "convert2md": values.MARKDOWN}.get(tool)).cast("string")
-        if tool in ("md2doc", "heic"):
-            done = done.join(docs.select("doc_id", "target_mime"), "doc_id")
-            target = F.col("target_mime")
-        return done.select("doc_id", target.alias("target_mime"), "content", "status",
-                           F.when(F.col("status") != "ok", F.col("log")).alias("error"))
+        return tools.convert(typed, tool, keep=("target_mime",), **paths).select(
+            "doc_id", "target_mime", "content", "status", F.when(F.col("status") != "ok", F.col("log")).alias("error"))
     return run
 
 
@@ -75,7 +71,7 @@ def metadata_result(meta: DataFrame, extractor: str) -> DataFrame:
     resolved = metadata.resolve_collisions(metadata.map_metadata(rows, mapping))
     return metadata.metadata_json(resolved).select(
         "doc_id", F.lit(values.METADATA).alias("target_mime"),
-        F.encode("metadata_json", "UTF-8").alias("content"), F.lit("ok").alias("status"), NO_ERROR.alias("error"))
+        F.encode("metadata_json", "UTF-8").alias("content"), F.lit("ok").alias("status"), no_error())
 
 
 def _with_failures(results: DataFrame, rows: DataFrame) -> DataFrame:
