@@ -82,7 +82,7 @@ def register_pii_spans(spark: SparkSession, name: str = "pii_spans") -> None:
 
     For ad-hoc SQL; jobs use ``operators.pii``, which stays in the JVM.
     """
-    catalogue = [(e, p, s, v) for e, p, _run, s, v in values.RECOGNIZERS]
+    catalogue = [(e, p, s, v) for e, p, _run, _needle, s, v in values.RECOGNIZERS]
 
     class PiiSpans:
         def __init__(self):

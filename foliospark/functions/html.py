@@ -12,7 +12,8 @@ from itertools import count
 from pyspark.sql import Column, functions as F
 
 from foliospark.functions.arrays import let
-from foliospark.functions.text import squeeze
+from foliospark.functions.formats import lookup
+from foliospark.functions.text import replace_each, squeeze
 
 _codes = count(0xFDD0)
 (BREAK, LINE, PARA, RULE, ITEM, NUMBER, HEAD, HEAD_END, BOLD, BOLD_END, ITALIC, ITALIC_END, CODE,
@@ -24,13 +25,12 @@ BLOCK_TAGS = ("address|article|aside|body|center|dd|details|div|dl|dt|fieldset|f
               "header|html|main|nav|ol|p|section|summary|table|tbody|tfoot|thead|ul")
 _ATTRS = r"(?:\s[^>]*)?"
 
-# Named character references; ``&amp;`` is resolved after all others.
+# Named character references.
 ENTITIES = {
-    "&nbsp;": "\u00a0", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&#39;": "'",
-    "&copy;": "©", "&reg;": "®", "&trade;": "™", "&middot;": "·",
-    "&bull;": "•", "&hellip;": "…", "&ndash;": "–", "&mdash;": "—",
-    "&lsquo;": "‘", "&rsquo;": "’", "&ldquo;": "“", "&rdquo;": "”",
-    "&laquo;": "«", "&raquo;": "»", "&euro;": "€", "&deg;": "°",
+    "nbsp": "\u00a0", "lt": "<", "gt": ">", "amp": "&", "quot": '"', "apos": "'",
+    "copy": "©", "reg": "®", "trade": "™", "middot": "·", "bull": "•", "hellip": "…",
+    "ndash": "–", "mdash": "—", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”",
+    "laquo": "«", "raquo": "»", "euro": "€", "deg": "°",
 }
 
 
@@ -50,28 +50,20 @@ def _drop(tag: str) -> tuple[str, str]:
     return rf"(?is)<{tag}{_ATTRS}>.*?(?:</{tag}\s*>|\z)", " "
 
 
-def _numeric_entities(text: Column) -> Column:
-    def glyph(code: Column) -> Column:
-        number = F.when(F.lower(F.left(code, F.lit(1))) == "x",
-                        F.conv(F.substring(code, 2, 8), 16, 10)).otherwise(code).cast("bigint")
-        valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
-        return (F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
-                 .otherwise(F.lit("\ufffd")))
-
-    pattern = r"&#([xX][0-9A-Fa-f]{1,6}|[0-9]{1,7});"
-
-    def resolve(t: Column) -> Column:
-        glyphs = F.transform(F.regexp_extract_all(t, F.lit(pattern), F.lit(1)), glyph)
-        gaps = F.split(t, pattern)
-        return F.array_join(
-            F.zip_with(gaps, glyphs, lambda gap, g: F.concat(gap, F.coalesce(g, F.lit("")))), "")
-
-    return F.when(F.contains(text, F.lit("&#")), let(text, resolve)).otherwise(text)
+def _glyph(name: Column) -> Column:
+    """The character behind a reference (name, #decimal or #xhex); unknown ones stay as written."""
+    hexadecimal = F.lower(F.substring(name, 2, 1)) == "x"
+    number = F.when(hexadecimal, F.conv(F.substring(name, 3, 6), 16, 10)).otherwise(
+        F.substring(name, 2, 7)).try_cast("bigint")
+    valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+    numeric = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
+    return F.when(F.startswith(name, F.lit("#")), numeric).otherwise(
+        F.coalesce(lookup(ENTITIES, name), F.concat(F.lit("&"), name, F.lit(";"))))
 
 
 def decode_entities(text: Column) -> Column:
-    named = _swap(text, *ENTITIES.items())
-    return _swap(_numeric_entities(named), ("&amp;", "&"))
+    pattern = r"&(#[xX][0-9A-Fa-f]{1,6}|#[0-9]{1,7}|[a-zA-Z]{2,8});"
+    return let(text, lambda t: F.when(F.contains(t, F.lit("&")), replace_each(t, pattern, _glyph)).otherwise(t))
 
 
 def without_code(html: Column) -> Column:
@@ -178,7 +170,7 @@ def _quotes(markdown: Column) -> Column:
     """Prefix the lines of quoted parts with ``> ``."""
     def quoted(piece: Column, i: Column) -> Column:
         parts = F.split(piece, QUOTE_END)
-        inside = F.concat(F.lit("> "), _swap(F.trim(_sub(parts[0], (r"^\n+|\n+\z", ""))), ("\n", "\n> ")))
+        inside = F.concat(F.lit("> "), _swap(_sub(parts[0], (r"^\s+|\s+\z", "")), ("\n", "\n> ")))
         after = F.array_join(F.slice(parts, F.lit(2), F.size(parts)), "")
         return F.when(i == 0, piece).otherwise(F.concat(inside, after))
 
@@ -191,23 +183,38 @@ def _escape(text: Column) -> Column:
     return _sub(
         text,
         (r"([\\`*\[\]<])", r"\\$1"),
-        (rf"(^|[{blocks}] ?)([#>+-]+)( |\z)", r"$1\\$2$3"),
-        (rf"(^|[{blocks}] ?)([0-9]{{1,9}})([.)])( |\z)", r"$1$2\\$3$4"),
+        (rf"([{blocks}] ?)([#>+-]+)( |\z)", r"$1\\$2$3"),
+        (rf"([{blocks}] ?)([0-9]{{1,9}})([.)])( |\z)", r"$1$2\\$3$4"),
     )
 
 
 def _inline(html: Column) -> Column:
+    """Paired inline tags as marks, the innermost first; unpaired ones are left to be dropped."""
     strong = (rf"(?i)<(?:b|strong){_ATTRS}>([^<]*)</(?:b|strong)\s*>", f"{BOLD}$1{BOLD_END}")
     emphasis = (rf"(?i)<(?:i|em){_ATTRS}>([^<]*)</(?:i|em)\s*>", f"{ITALIC}$1{ITALIC_END}")
-    return _sub(
-        html,
-        (rf"(?i)<code{_ATTRS}>([^<]*)</code\s*>", f"{CODE}$1{CODE}"),
-        (r"(?i)<br\s*/?\s*>", BREAK),
-        strong, emphasis, strong,
-        (r"""(?i)<a(?:\s[^>]*)?\shref\s*=\s*"([^">]*)"[^>]*>([^<]*)</a\s*>""", f"{LINK}$2{LINK_MID}$1{LINK_END}"),
-        (r"""(?i)<a(?:\s[^>]*)?\shref\s*=\s*'([^'>]*)'[^>]*>([^<]*)</a\s*>""", f"{LINK}$2{LINK_MID}$1{LINK_END}"),
-        strong, emphasis,
-    )
+    code = (rf"(?i)<code{_ATTRS}>([^<]*)</code\s*>", f"{CODE}$1{CODE}")
+    link = (r"""(?i)<a(?:\s[^>]*)?\shref\s*=\s*["']([^"'>]*)["'][^>]*>([^<]*)</a\s*>""",
+            f"{LINK}$2{LINK_MID}$1{LINK_END}")
+    broken = F.regexp_replace(html, r"(?i)<br\s*/?\s*>", BREAK)
+    return let(broken, lambda h: F.when(
+        F.regexp_like(h, F.lit(r"(?i)</(?:b|strong|i|em|code)\s*>")),
+        _sub(h, code, strong, emphasis, strong, link, strong, emphasis)).otherwise(_sub(h, link)))
+
+
+# Mark for each tag that lays out text; every other tag is dropped.
+_TAG_MARKS = {
+    **{tag: PARA for name in BLOCK_TAGS.split("|") for tag in (name, "/" + name)},
+    **{f"h{n}": f"{PARA}{HEAD}{n}{HEAD_END}" for n in range(1, 7)},
+    **{f"/h{n}": PARA for n in range(1, 7)},
+    "li": LINE + ITEM, "hr": PARA + RULE + PARA, "blockquote": PARA + QUOTE, "/blockquote": QUOTE_END + PARA,
+}
+
+_MARKDOWN = {
+    PARA: "\n\n", LINE: "\n", BREAK: "  \n", ITEM: "- ", NUMBER: "1. ", RULE: "---",
+    BOLD: "**", BOLD_END: "**", ITALIC: "*", ITALIC_END: "*", LINK: "[", LINK_MID: "](", LINK_END: ")",
+    CELL: "|", PIPE: "\\|", QUOTE: QUOTE, QUOTE_END: QUOTE_END,
+    **{f"{HEAD}{n}{HEAD_END}": "#" * n + " " for n in range(1, 7)},
+}
 
 
 def _flow(html: Column) -> Column:
@@ -218,17 +225,9 @@ def _flow(html: Column) -> Column:
         _inside(h, rf"(?i)</?ol{_ATTRS}>",
                 lambda s: F.concat(F.lit(PARA), _sub(s, (rf"(?i)<li{_ATTRS}>", LINE + NUMBER)), F.lit(PARA))),
     ).otherwise(h))
-    marked = _sub(
-        _inline(with_numbers),
-        (rf"(?i)<hr{_ATTRS}/?>", PARA + RULE + PARA),
-        (rf"(?i)<blockquote{_ATTRS}>", PARA + QUOTE),
-        (r"(?i)</blockquote\s*>", QUOTE_END + PARA),
-        (rf"(?i)<h([1-6]){_ATTRS}>", f"{PARA}{HEAD}$1{HEAD_END}"),
-        (rf"(?i)<li{_ATTRS}>", LINE + ITEM),
-        (rf"(?i)</h[1-6]\s*>|</?(?:{BLOCK_TAGS}){_ATTRS}>", PARA),
-        (r"<[a-zA-Z/!?][^>]*>", ""),
-        (r"\s+", " "),
-    )
+    tags = replace_each(_inline(with_numbers), rf"<([!?/]?[a-zA-Z][a-zA-Z0-9]*){_ATTRS}/?>",
+                        lambda name: lookup(_TAG_MARKS, F.lower(name)))
+    marked = F.concat(F.lit(PARA), _sub(tags, (r"\s+", " ")))
     code_parts = F.split(decode_entities(marked), CODE)
     escaped = F.array_join(
         F.transform(code_parts, lambda s, i: F.when(i % 2 == 0, _escape(s)).otherwise(s)), "`")
@@ -238,19 +237,14 @@ def _flow(html: Column) -> Column:
         (f"([{ITEM}{NUMBER}{QUOTE}{HEAD_END}]) *[{BREAK}{LINE}{PARA}]+", "$1"),
         (f"[{BREAK}{LINE}{PARA}]*{PARA}[{BREAK}{LINE}{PARA}]*", PARA),
         (f"[{BREAK}{LINE}]*{LINE}[{BREAK}{LINE}]*", LINE),
-        (f"{PARA}?({QUOTE_END})", "$1"),
         (f"^[ {BREAK}{LINE}{PARA}]+|[ {BREAK}{LINE}{PARA}]+\\z", ""),
     )
-    spaced = _swap(merged, (BOLD + " ", " " + BOLD), (" " + BOLD_END, BOLD_END + " "),
-                   (ITALIC + " ", " " + ITALIC), (" " + ITALIC_END, ITALIC_END + " "),
-                   (BOLD + BOLD_END, ""), (ITALIC + ITALIC_END, ""))
-    final = _swap(
-        spaced,
-        (PARA, "\n\n"), (LINE, "\n"), (BREAK, "  \n"), (ITEM, "- "), (NUMBER, "1. "), (RULE, "---"),
-        *[(f"{HEAD}{n}{HEAD_END}", "#" * n + " ") for n in range(1, 7)],
-        (BOLD, "**"), (BOLD_END, "**"), (ITALIC, "*"), (ITALIC_END, "*"),
-        (LINK, "["), (LINK_MID, "]("), (LINK_END, ")"), (CELL, "|"), (PIPE, "\\|"),
-    )
+    spaced = let(merged, lambda m: F.when(
+        F.contains(m, F.lit(BOLD)) | F.contains(m, F.lit(ITALIC)),
+        _swap(m, (BOLD + " ", " " + BOLD), (" " + BOLD_END, BOLD_END + " "),
+              (ITALIC + " ", " " + ITALIC), (" " + ITALIC_END, ITALIC_END + " "),
+              (BOLD + BOLD_END, ""), (ITALIC + ITALIC_END, ""))).otherwise(m))
+    final = replace_each(spaced, f"({HEAD}[1-6]{HEAD_END}|{MARKS})", lambda mark: lookup(_MARKDOWN, mark))
     return let(final, lambda f: F.when(F.contains(f, F.lit(QUOTE)), _quotes(f)).otherwise(f))
 
 

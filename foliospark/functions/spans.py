@@ -44,7 +44,14 @@ def positions(text: Column, pattern: Column, matches: Column) -> Column:
     return let(gaps, lambda g: starts(g, matches))
 
 
-def find(text: Column, entity: str, pattern: str, score: float, validator: str | None = None) -> Column:
+def occurs(text: Column, pattern: str, needle: str | None = None) -> Column:
+    """Does ``pattern`` match anywhere? Texts without ``needle`` are not searched."""
+    found = F.regexp_like(text, F.lit(pattern))
+    return found if needle is None else F.contains(text, F.lit(needle)) & found
+
+
+def find(text: Column, entity: str, pattern: str, score: float, validator: str | None = None,
+         needle: str | None = None) -> Column:
     """All matches of ``pattern`` in ``text`` as an array of spans."""
     def spans(t: Column) -> Column:
         found = let(
@@ -59,7 +66,7 @@ def find(text: Column, entity: str, pattern: str, score: float, validator: str |
             return found
         return F.filter(found, lambda s: VALIDATORS[validator](s["matched"]))
 
-    return F.when(F.regexp_like(text, F.lit(pattern)), let(text, spans)).otherwise(
+    return F.when(occurs(text, pattern, needle), let(text, spans)).otherwise(
         F.from_json(F.lit("[]"), SPAN))
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 from foliospark import values
+from foliospark.functions.arrays import let
 
 WORD_BREAK = r"[^\p{L}]+"
 
@@ -40,3 +43,16 @@ def cut(text: Column, n: int = values.AI_MAX_CHARS) -> Column:
 def csv_items(text: Column) -> Column:
     """Comma list as trimmed, non-empty items in order."""
     return F.filter(F.transform(F.split(text, ","), lambda x: trim_control(x)), lambda x: x != "")
+
+
+def replace_each(text: Column, pattern: str, replacement: Callable[[Column], Column]) -> Column:
+    """Replace every match by what ``replacement`` makes of its first group.
+
+    One pass for any number of different replacements.
+    """
+    def weave(t: Column) -> Column:
+        new = F.transform(F.regexp_extract_all(t, F.lit(pattern), F.lit(1)), replacement)
+        return F.array_join(F.zip_with(
+            F.split(t, pattern), new, lambda gap, x: F.concat(gap, F.coalesce(x, F.lit("")))), "")
+
+    return let(text, weave)

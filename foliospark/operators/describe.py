@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from foliospark import values
 from foliospark.functions.arrays import let
 from foliospark.functions.text import csv_items, cut, first_words, squeeze, trim_control, words
+from foliospark.operators.tables import union_by
 
 # A word that occurs in more than 1/HOT_WORDS of all (document, word) rows is
 # hot. There are fewer than HOT_WORDS such words in any corpus, whatever its
@@ -161,14 +162,15 @@ def word_scores(docs: DataFrame, places: bool = False) -> DataFrame:
     else:
         per_doc = docs.select("doc_id", F.explode(_long_words(F.col("text"))).alias("word")).groupBy(
             "doc_id", "word").agg(F.count("*").alias("tf"))
-    # The condition keeps every column of per_doc, so that all branches share its one shuffle.
+    # Both conditions keep the plan of per_doc the same in all branches, which then share its one shuffle.
+    per_doc = per_doc.filter("word is not null")
     counts = per_doc.groupBy("word").agg(F.count_if(F.col("tf") > 0).alias("df"))
     n_docs = docs.select(F.count("*").alias("n")).scalar()
     share = counts.select((F.sum("df") / HOT_WORDS).alias("share")).scalar()
     hot = counts.filter(F.col("df") > share)
     cold = counts.filter(F.col("df") <= share)
-    scored = per_doc.join(F.broadcast(hot), "word").unionByName(
-        per_doc.join(F.broadcast(hot.select("word")), "word", "left_anti").join(cold, "word"))
+    scored = union_by("doc_id", per_doc.join(F.broadcast(hot), "word"), per_doc.join(
+        F.broadcast(hot.select("word")), "word", "left_anti").join(cold, "word"))
     return scored.withColumn("score", F.round(F.col("tf") * F.log((n_docs + 1) / (F.col("df") + 1)), 6))
 
 

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from foliospark import values
 from foliospark.functions.text import trim_control
-from foliospark.operators.tables import small_table
+from foliospark.operators.tables import small_table, union_by
 
 # White space that makes a value blank (no-break spaces do not).
 _VISIBLE = "[^\t-\r\x1c-\x20\u1680\u2000-\u2006\u2008-\u200a\u2028\u2029\u205f\u3000]"
@@ -104,7 +102,7 @@ def expand_qname(resolved: DataFrame, ns: DataFrame) -> DataFrame:
 
 def merge_metadata(**metas: DataFrame) -> DataFrame:
     """Long metadata of several extractors in one table, extractor name kept."""
-    return reduce(lambda a, b: a.unionByName(b), [
+    return union_by("doc_id", *[
         meta.select("doc_id", F.lit(name).alias("extractor"), "key", "value") for name, meta in metas.items()])
 
 

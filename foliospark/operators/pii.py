@@ -16,7 +16,8 @@ from foliospark.functions import spans as S
 from foliospark.functions.arrays import let
 from foliospark.functions.text import csv_items
 
-RECOGNIZER_SCHEMA = "entity_type string, pattern string, run string, score double, validator string"
+RECOGNIZER_SCHEMA = ("entity_type string, pattern string, run string, needle string, score double, "
+                     "validator string")
 WORD = r"[\p{L}'’-]+"
 
 
@@ -29,7 +30,7 @@ def _catalogue(table: DataFrame | None) -> list[tuple]:
     """Rows of the catalogue; each becomes one expression, so it is read on the driver."""
     if table is None:
         return values.RECOGNIZERS
-    rows = table.select("entity_type", "pattern", "run", "score", "validator").take(201)
+    rows = table.select("entity_type", "pattern", "run", "needle", "score", "validator").take(201)
     if len(rows) > 200:
         raise ValueError("a recognizer catalogue holds at most 200 patterns")
     return [tuple(row) for row in rows]
@@ -39,11 +40,15 @@ def page_spans(text: Column, catalogue: list[tuple] | None = None) -> Column:
     """All spans of one page as an array, for every recognizer in the catalogue."""
     rows = values.RECOGNIZERS if catalogue is None else catalogue
     return F.flatten(F.array(*[
-        S.find(text, entity, S.bounded(pattern, run), score, validator)
-        for entity, pattern, run, score, validator in rows
+        S.find(text, entity, S.bounded(pattern, run), score, validator, needle)
+        for entity, pattern, run, needle, score, validator in rows
     ]))
 
 
+def _anything(text: Column, catalogue: list[tuple]) -> Column:
+    return reduce(lambda a, b: a | b, [S.occurs(text, S.bounded(row[1], row[2]), row[3]) for row in catalogue])
+
+
 def wanted(spans: Column, entities: Column | None, threshold: Column | float | None) -> Column:
     """Spans of the listed types (csv) with at least the given score."""
     if entities is not None:
@@ -73,11 +78,10 @@ def detect_pii(pages: DataFrame, table: DataFrame | None = None, entities: str |
         names = {name.strip() for name in entities.split(",")}
         catalogue = [row for row in catalogue if row[0] in names]
     if threshold is not None:
-        catalogue = [row for row in catalogue if row[3] >= threshold]
+        catalogue = [row for row in catalogue if row[4] >= threshold]
     if not catalogue:
         return pages.select("doc_id", "page_no", F.inline(F.from_json(F.lit("[]"), S.SPAN)))
-    anything = reduce(lambda a, b: a | b,
-                      [F.regexp_like("text", F.lit(S.bounded(row[1], row[2]))) for row in catalogue])
+    anything = _anything(F.col("text"), catalogue)
     return pages.filter(anything).select(
         "doc_id", "page_no", F.inline(page_spans(F.col("text"), catalogue)))
 
@@ -109,7 +113,9 @@ def pii_summary(docs: DataFrame, spans: DataFrame) -> DataFrame:
 def summarise_documents(docs: DataFrame, sep: str = "\f", table: DataFrame | None = None) -> DataFrame:
     """The same summary straight from the texts: one narrow stage, nothing is shuffled."""
     catalogue = _catalogue(table)
-    found = F.flatten(F.transform(F.split("text", _literal(sep)), lambda page: page_spans(page, catalogue)))
+    found = F.when(_anything(F.col("text"), catalogue), F.flatten(F.transform(
+        F.split("text", _literal(sep)), lambda page: page_spans(page, catalogue)))
+    ).otherwise(F.from_json(F.lit("[]"), S.SPAN))
     small = docs.select("doc_id", let(found, lambda s: F.struct(
         F.size(s).cast("bigint").alias("count"),
         F.array_join(F.array_sort(F.array_distinct(F.transform(s, lambda x: x["entity_type"]))), ",").alias("entities"),
@@ -165,11 +171,10 @@ def redact_documents(docs: DataFrame, sep: str = "\f", table: DataFrame | None =
         names = {name.strip() for name in entities.split(",")}
         catalogue = [row for row in catalogue if row[0] in names]
     if threshold is not None:
-        catalogue = [row for row in catalogue if row[3] >= threshold]
+        catalogue = [row for row in catalogue if row[4] >= threshold]
     if not catalogue:
         return docs.withColumn(out, F.col("text"))
-    anything = reduce(lambda a, b: a | b,
-                      [F.regexp_like("text", F.lit(S.bounded(row[1], row[2]))) for row in catalogue])
+    anything = _anything(F.col("text"), catalogue)
     pages = F.transform(F.split("text", _literal(sep)), lambda page: redact_text(page, catalogue, label=label))
     return docs.withColumn(out, F.when(anything, F.array_join(pages, sep)).otherwise(F.col("text")))
 
@@ -198,25 +203,21 @@ def detect_names(pages: DataFrame, names: DataFrame, max_words: int = 3,
     Catalyst broadcasts ``names`` while it is small and joins by shuffle beyond
     that; only keys, positions and word runs take part, not page texts.
     """
-    none = F.from_json(F.lit("[]"), "array<struct<start:int,matched:string>>")
-
-    def of_length(words: Column, gaps: Column, begin: Column, n: int) -> Column:
-        places = F.filter(F.sequence(F.lit(0), F.size(words) - n), lambda i: one_space(gaps, i, n))
-        return F.when(F.size(words) >= n, F.transform(places, lambda i: F.struct(
-            F.get(begin, i).alias("start"),
-            F.array_join(F.slice(words, i + 1, F.lit(n)), " ").alias("matched")))).otherwise(none)
-
-    def runs(text: Column, words: Column) -> Column:
-        return let(F.split(text, WORD), lambda gaps: let(
-            S.positions(text, F.lit(WORD), words),
-            lambda begin: F.flatten(F.array(*[of_length(words, gaps, begin, n) for n in range(1, max_words + 1)]))))
-
-    def one_space(gaps: Column, i: Column, n: int) -> Column:
-        return F.forall(F.slice(gaps, i + 2, F.lit(n - 1)), lambda gap: gap == " ")
-
-    grams = pages.filter(F.regexp_like("text", F.lit(WORD))).select(
-        "doc_id", "page_no", F.inline(let(F.col("text"), lambda t: let(
-            F.regexp_extract_all(t, F.lit(WORD), F.lit(0)), lambda w: runs(t, w)))))
+    text = F.col("text")
+    found = pages.select("doc_id", "page_no", let(text, lambda t: let(
+        F.regexp_extract_all(t, F.lit(WORD), F.lit(0)), lambda w: F.struct(
+            w.alias("words"), F.split(t, WORD).alias("gaps"),
+            S.positions(t, F.lit(WORD), w).alias("starts")))).alias("t"))
+    at = found.select("doc_id", "page_no", "t", F.posexplode("t.starts").alias("i", "start"))
+
+    # Word runs are built after the words have become rows: compiled code, one row at a time.
+    runs, joined = [], F.lit(True)
+    for n in range(1, max_words + 1):
+        joined = joined & (F.get("t.gaps", F.col("i") + n - 1) == " ") if n > 1 else joined
+        word_run = F.concat_ws(" ", *[F.get("t.words", F.col("i") + k) for k in range(n)])
+        runs.append(F.when(joined & (F.col("i") + n <= F.size("t.words")), word_run))
+    grams = at.select("doc_id", "page_no", "start", F.explode(F.array(*runs)).alias("matched")).filter(
+        "matched is not null")
     known = names.select(F.col("name").alias("matched")).distinct()
     return grams.join(known, "matched").select(
         "doc_id", "page_no",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,3 +14,14 @@ def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFram
     names = [part.strip().split(" ")[0] for part in schema.split(",")]
     columns = {name: [row[i] for row in rows] for i, name in enumerate(names)}
     return spark.createDataFrame(pa.table(columns), schema)
+
+
+def union_by(key: str, *parts: DataFrame) -> DataFrame:
+    """Union of tables that is going to be grouped by ``key``.
+
+    Spark 4.1 takes over the partitioning of a union's children when they agree
+    at planning time; when adaptive execution changes one of them afterwards, a
+    group by that trusts it gives a key twice. The shuffle that the grouping
+    needs is therefore made explicit here, once, after the union.
+    """
+    return reduce(lambda a, b: a.unionByName(b), parts).repartition(key)

@@ -17,7 +17,7 @@ from foliospark.api import Toolbox, register_pii_spans
 from foliospark.functions import formats, text as T
 from foliospark.operators import convert, describe, metadata, pii, quality, routing, tools
 from foliospark.plans import transforms
-from foliospark.session import shared_dir
+from foliospark.session import shared_dir, spread
 from foliospark.sources import files, parsers
 from foliospark.streaming import jobs
 
@@ -40,6 +40,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table for work on texts, spread over the cores while the table is small."""
+    return spread(table(spark, sf, name).select(*columns))
+
+
 def pick(items: list[str], index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(x) for x in items]), (index + 1).cast("int"))
 
@@ -64,12 +69,12 @@ def requests(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def doc_pages(spark: SparkSession, sf: str) -> DataFrame:
-    return pii.split_pages(table(spark, sf, "documents").select("doc_id", "text"), "\n")
+    return pii.split_pages(texts(spark, sf, "documents", "doc_id", "text"), "\n")
 
 
 def markdown_docs(spark: SparkSession, sf: str) -> DataFrame:
     """Documents with mark-up added by line number."""
-    docs = table(spark, sf, "documents")
+    docs = texts(spark, sf, "documents", "doc_id", "text")
 
     def mark(line: Column, i: Column) -> Column:
         k = (i + F.length(line)) % 12
@@ -194,7 +199,7 @@ def results(spark: SparkSession, sf: str) -> DataFrame:
 def parsed_fields(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as if a model had answered for every field."""
     first = F.split(T.squeeze(F.col("text")), " ")
-    return table(spark, sf, "documents").select("doc_id", F.inline(F.array(
+    return texts(spark, sf, "documents", "doc_id", "text", "lang").select("doc_id", F.inline(F.array(
         *[F.struct(F.lit(f).alias("field"), v.alias("value")) for f, v in (
             ("title", F.array_join(F.slice(first, F.lit(1), (F.col("doc_id") % 12 + 1).cast("int")), " ")),
             ("description", F.col("text")),
@@ -323,11 +328,11 @@ def p6_pii_summary(spark, sf):
 
 
 def p6_pii_summary_inline(spark, sf):
-    return pii.summarise_documents(table(spark, sf, "documents"), "\n").withColumn("scoreAvg", F.round("scoreAvg", 6))
+    return pii.summarise_documents(texts(spark, sf, "documents", "doc_id", "text"), "\n").withColumn("scoreAvg", F.round("scoreAvg", 6))
 
 
 def p7_pii_metadata(spark, sf):
-    return pii.pii_metadata(pii.summarise_documents(table(spark, sf, "documents"), "\n"))
+    return pii.pii_metadata(pii.summarise_documents(texts(spark, sf, "documents", "doc_id", "text"), "\n"))
 
 
 def _overlapping(spans: DataFrame) -> DataFrame:
@@ -341,7 +346,7 @@ def p8_redact_spans(spark, sf):
 
 
 def p8_redact_documents(spark, sf):
-    return pii.redact_documents(table(spark, sf, "documents").select("doc_id", "text"), "\n")
+    return pii.redact_documents(texts(spark, sf, "documents", "doc_id", "text"), "\n")
 
 
 def p9_redact_occurrences(spark, sf):
@@ -417,20 +422,20 @@ def a8_check_ai_contract(spark, sf):
 
 
 def a9_offline_title(spark, sf):
-    return describe.offline_title(table(spark, sf, "documents"))
+    return describe.offline_title(texts(spark, sf, "documents", "doc_id", "text"))
 
 
 def a10_offline_tags(spark, sf):
-    return describe.offline_tags(table(spark, sf, "documents").select("doc_id", "text")).select(
+    return describe.offline_tags(texts(spark, sf, "documents", "doc_id", "text")).select(
         "doc_id", "word", "tf", "score", "rank")
 
 
 def a11_offline_language(spark, sf):
-    return describe.offline_language(table(spark, sf, "documents"))
+    return describe.offline_language(texts(spark, sf, "documents", "doc_id", "text"))
 
 
 def a12_offline_description(spark, sf):
-    return describe.offline_description(table(spark, sf, "documents").select("doc_id", "text"))
+    return describe.offline_description(texts(spark, sf, "documents", "doc_id", "text"))
 
 
 def m1_xml_top_level(spark, sf):
@@ -474,8 +479,8 @@ def m7_expand_qname(spark, sf):
 
 
 def m8_merge_metadata(spark, sf):
-    summary = pii.summarise_documents(table(spark, sf, "documents"), "\n")
-    title = describe.offline_title(table(spark, sf, "documents")).select(
+    summary = pii.summarise_documents(texts(spark, sf, "documents", "doc_id", "text"), "\n")
+    title = describe.offline_title(texts(spark, sf, "documents", "doc_id", "text")).select(
         "doc_id", F.lit("ai.title").alias("key"), F.col("title").alias("value"))
     mapping, _ = metadata.builtin_mapping(spark)
     merged = metadata.merge_metadata(pii=pii.pii_metadata(summary), ai=title)
@@ -494,19 +499,19 @@ def m9_load_mapping(spark, sf):
 
 
 def c1_html_text(spark, sf):
-    return convert.html_text(table(spark, sf, "pages"))
+    return convert.html_text(texts(spark, sf, "pages", "page_id", "html"))
 
 
 def c2_html_to_markdown(spark, sf):
-    return convert.html_to_markdown(table(spark, sf, "pages"))
+    return convert.html_to_markdown(texts(spark, sf, "pages", "page_id", "html"))
 
 
 def c3_html_blocks(spark, sf):
-    return convert.html_blocks(table(spark, sf, "pages"))
+    return convert.html_blocks(texts(spark, sf, "pages", "page_id", "html"))
 
 
 def c4_html_links(spark, sf):
-    return convert.html_links(table(spark, sf, "pages"))
+    return convert.html_links(texts(spark, sf, "pages", "page_id", "html"))
 
 
 def c5_markdown_to_html(spark, sf):

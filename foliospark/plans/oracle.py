@@ -76,7 +76,7 @@ def _found(entity, pattern, score, validator) -> str:
                     FROM pages_ WHERE regexp_matches(text, {q(pattern)})))) {check}"""
 
 
-SPANS = "spans AS (" + " UNION ALL ".join(_found(e, p, s, v) for e, p, _r, s, v in values.RECOGNIZERS) + ")"
+SPANS = "spans AS (" + " UNION ALL ".join(_found(e, p, s, v) for e, p, _r, _n, s, v in values.RECOGNIZERS) + ")"
 WITH_SPANS = f"WITH {PAGES}, {SPANS}"
 
 REGISTRY = "registry AS (SELECT * FROM " + rows(
@@ -377,7 +377,7 @@ def _statements() -> dict[str, str]:
     s["r8_queue_of"] = f"""WITH {ROUTED}, {ENGINES} SELECT engine || '-engine-queue' AS queue, count(*) AS requests
       FROM routed JOIN engines USING (transformer) WHERE status = 'ok' GROUP BY ALL"""
 
-    catalogue = rows((e, sc, v or "") for e, _p, _r, sc, v in values.RECOGNIZERS)
+    catalogue = rows((e, sc, v or "") for e, _p, _r, _n, sc, v in values.RECOGNIZERS)
     s["p1_recognizers"] = f"""{WITH_SPANS} SELECT entity_type, c.score::DOUBLE AS score, validator, coalesce(n, 0) AS found
       FROM {catalogue} c(entity_type, score, validator) LEFT JOIN (SELECT entity_type, count(*) AS n FROM spans GROUP BY 1) USING (entity_type)"""
     s["p2_split_pages"] = f"WITH {PAGES} SELECT * FROM pages_"

@@ -17,6 +17,7 @@ from foliospark.functions import html as H, markdown as M
 from foliospark.functions.text import decode_utf8
 from foliospark.operators import convert, describe, metadata, pii, tools
 from foliospark.operators.routing import resolve_options
+from foliospark.operators.tables import union_by
 from foliospark.sources import parsers
 
 RESULT = ["doc_id", "target_mime", "content", "status", "error"]
@@ -118,14 +119,15 @@ def describe_offline(texts: DataFrame) -> DataFrame:
     tags = describe.offline_tags(texts)
     joined = tags.groupBy("doc_id").agg(F.transform(
         F.array_sort(F.collect_list(F.struct("rank", "word"))), lambda t: t["word"]).alias("words"))
-    return (describe.offline_title(texts).select("doc_id", F.lit("ai.title").alias("key"), F.col("title").alias("value"))
-            .unionByName(describe.offline_language(texts).select(
-                "doc_id", F.lit("ai.locale").alias("key"), F.col("language").alias("value")))
-            .unionByName(joined.select(
-                "doc_id", F.lit("ai.taggable").alias("key"), F.array_join("words", ", ").alias("value")))
-            .unionByName(describe.offline_description(texts).select(
-                "doc_id", F.lit("ai.description").alias("key"), F.col("description").alias("value")))
-            .filter("value is not null"))
+    def rows(df: DataFrame, key: str, value: str | Column) -> DataFrame:
+        return df.select("doc_id", F.lit(key).alias("key"), (F.col(value) if isinstance(value, str) else value).alias("value"))
+
+    return union_by(
+        "doc_id",
+        rows(describe.offline_title(texts), "ai.title", "title"),
+        rows(describe.offline_description(texts), "ai.description", "description"),
+        rows(joined, "ai.taggable", F.array_join("words", ", ")),
+        rows(describe.offline_language(texts), "ai.locale", "language")).filter("value is not null")
 
 
 def builtin_transforms(scripts: dict[str, str] | None = None) -> dict[str, Callable[[DataFrame], DataFrame]]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -30,3 +30,21 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir")
     return configured or tempfile.mkdtemp(prefix="foliospark-")
+
+
+# Below this much input per core a shuffle of the input costs less than idle cores.
+SPREAD_BYTES_PER_CORE = 32 * 1024 * 1024
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of a small input that is stored in one piece.
+
+    A file with a single row group is read by a single task. Inputs larger than
+    ``SPREAD_BYTES_PER_CORE`` per core by Catalyst's estimate have enough
+    pieces of their own and are returned as they are, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if df.isStreaming or size > cores * SPREAD_BYTES_PER_CORE:
+        return df
+    return df.repartition(cores)
