@@ -231,20 +231,20 @@ def _flow(html: Column) -> Column:
     code_parts = F.split(decode_entities(marked), CODE)
     escaped = F.array_join(
         F.transform(code_parts, lambda s, i: F.when(i % 2 == 0, _escape(s)).otherwise(s)), "`")
+    spaced = let(escaped, lambda m: F.when(
+        F.contains(m, F.lit(BOLD)) | F.contains(m, F.lit(ITALIC)),
+        _swap(m, (BOLD + " ", " " + BOLD), (" " + BOLD_END, BOLD_END + " "),
+              (ITALIC + " ", " " + ITALIC), (" " + ITALIC_END, ITALIC_END + " "),
+              (BOLD + BOLD_END, ""), (ITALIC + ITALIC_END, ""))).otherwise(m))
     merged = _sub(
-        escaped,
+        spaced,
         (f" *([{BREAK}{LINE}{PARA}]) *", "$1"),
         (f"([{ITEM}{NUMBER}{QUOTE}{HEAD_END}]) *[{BREAK}{LINE}{PARA}]+", "$1"),
         (f"[{BREAK}{LINE}{PARA}]*{PARA}[{BREAK}{LINE}{PARA}]*", PARA),
         (f"[{BREAK}{LINE}]*{LINE}[{BREAK}{LINE}]*", LINE),
         (f"^[ {BREAK}{LINE}{PARA}]+|[ {BREAK}{LINE}{PARA}]+\\z", ""),
     )
-    spaced = let(merged, lambda m: F.when(
-        F.contains(m, F.lit(BOLD)) | F.contains(m, F.lit(ITALIC)),
-        _swap(m, (BOLD + " ", " " + BOLD), (" " + BOLD_END, BOLD_END + " "),
-              (ITALIC + " ", " " + ITALIC), (" " + ITALIC_END, ITALIC_END + " "),
-              (BOLD + BOLD_END, ""), (ITALIC + ITALIC_END, ""))).otherwise(m))
-    final = replace_each(spaced, f"({HEAD}[1-6]{HEAD_END}|{MARKS})", lambda mark: lookup(_MARKDOWN, mark))
+    final = replace_each(merged, f"({HEAD}[1-6]{HEAD_END}|{MARKS})", lambda mark: lookup(_MARKDOWN, mark))
     return let(final, lambda f: F.when(F.contains(f, F.lit(QUOTE)), _quotes(f)).otherwise(f))
 
 

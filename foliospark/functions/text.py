@@ -36,7 +36,8 @@ def first_words(text: Column, n: int) -> Column:
     return F.array_join(F.slice(F.split(squeeze(text), " "), 1, n), " ")
 
 
-def cut(text: Column, n: int = values.AI_MAX_CHARS) -> Column:
+def truncate_text(text: Column, n: int = values.AI_MAX_CHARS) -> Column:
+    """The first n characters."""
     return F.left(text, F.lit(n))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from foliospark import values
 from foliospark.functions.arrays import let
-from foliospark.functions.text import csv_items, cut, first_words, squeeze, trim_control, words
+from foliospark.functions.text import WORD_BREAK, csv_items, first_words, squeeze, trim_control, truncate_text, words
 from foliospark.operators.tables import union_by
 
 # A word that occurs in more than 1/HOT_WORDS of all (document, word) rows is
@@ -45,7 +45,7 @@ def build_requests(docs: DataFrame, fields: Column | None = None, model: str = v
         F.array(message("system", prompts[F.col("field")]), message("user", F.col("_text"))).alias("messages"),
         F.lit(values.AI_TEMPERATURE).alias("temperature"),
         F.lit(values.AI_MAX_TOKENS).alias("max_tokens")))
-    return docs.select("doc_id", cut(F.col("text")).alias("_text"), F.explode(wanted).alias("field")).select(
+    return docs.select("doc_id", truncate_text(F.col("text")).alias("_text"), F.explode(wanted).alias("field")).select(
         "doc_id", "field", body.alias("body"))
 
 
@@ -144,8 +144,10 @@ def offline_language(docs: DataFrame, stopwords: dict[str, list[str]] | None = N
                        (-F.col("best.minus")).alias("hits"))
 
 
-def _long_words(text: Column) -> Column:
-    return F.filter(words(text), lambda w: F.length(w) >= MIN_LETTERS)
+def _long_words(sentences: DataFrame, text: str, *keys: str) -> DataFrame:
+    """Rows (keys, word) for the words that count."""
+    return sentences.select(*keys, F.explode(F.split(F.lower(text), WORD_BREAK)).alias("word")).filter(
+        F.length("word") >= MIN_LETTERS)
 
 
 def word_scores(docs: DataFrame, places: bool = False) -> DataFrame:
@@ -157,11 +159,9 @@ def word_scores(docs: DataFrame, places: bool = False) -> DataFrame:
     """
     if places:
         sentences = docs.select("doc_id", F.posexplode(F.split("text", SENTENCE_BREAK)).alias("pos", "sentence"))
-        per_doc = sentences.select("doc_id", "pos", F.explode(_long_words(F.col("sentence"))).alias("word")).groupBy(
-            "doc_id", "word").agg(F.count("*").alias("tf"), F.collect_list("pos").alias("places"))
+        per_doc = _long_words(sentences, "sentence", "doc_id", "pos").groupBy("doc_id", "word").agg(F.count("*").alias("tf"), F.collect_list("pos").alias("places"))
     else:
-        per_doc = docs.select("doc_id", F.explode(_long_words(F.col("text"))).alias("word")).groupBy(
-            "doc_id", "word").agg(F.count("*").alias("tf"))
+        per_doc = _long_words(docs, "text", "doc_id").groupBy("doc_id", "word").agg(F.count("*").alias("tf"))
     # Both conditions keep the plan of per_doc the same in all branches, which then share its one shuffle.
     per_doc = per_doc.filter("word is not null")
     counts = per_doc.groupBy("word").agg(F.count_if(F.col("tf") > 0).alias("df"))
@@ -169,8 +169,10 @@ def word_scores(docs: DataFrame, places: bool = False) -> DataFrame:
     share = counts.select((F.sum("df") / HOT_WORDS).alias("share")).scalar()
     hot = counts.filter(F.col("df") > share)
     cold = counts.filter(F.col("df") <= share)
-    scored = union_by("doc_id", per_doc.join(F.broadcast(hot), "word"), per_doc.join(
-        F.broadcast(hot.select("word")), "word", "left_anti").join(cold, "word"))
+    # An outer join, not an anti join: that one would be pushed below the shuffle and undo the sharing.
+    marked = per_doc.join(F.broadcast(hot), "word", "left")
+    scored = union_by("doc_id", marked.filter("df is not null"),
+                      marked.filter("df is null").drop("df").join(cold, "word"))
     return scored.withColumn("score", F.round(F.col("tf") * F.log((n_docs + 1) / (F.col("df") + 1)), 6))
 
 

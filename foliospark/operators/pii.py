@@ -45,6 +45,13 @@ def page_spans(text: Column, catalogue: list[tuple] | None = None) -> Column:
     ]))
 
 
+def _narrowed(catalogue: list[tuple], entities: str | None, threshold: float | None) -> list[tuple]:
+    """The recognizers whose spans can pass: others are not even searched for."""
+    names = None if entities is None else {name.strip() for name in entities.split(",")}
+    return [row for row in catalogue
+            if (names is None or row[0] in names) and (threshold is None or row[4] >= threshold)]
+
+
 def _anything(text: Column, catalogue: list[tuple]) -> Column:
     return reduce(lambda a, b: a | b, [S.occurs(text, S.bounded(row[1], row[2]), row[3]) for row in catalogue])
 
@@ -73,16 +80,10 @@ def _literal(sep: str) -> str:
 def detect_pii(pages: DataFrame, table: DataFrame | None = None, entities: str | None = None,
                threshold: float | None = None) -> DataFrame:
     """Pages to span rows with 0-based ``start`` and exclusive ``end``."""
-    catalogue = _catalogue(table)
-    if entities is not None:
-        names = {name.strip() for name in entities.split(",")}
-        catalogue = [row for row in catalogue if row[0] in names]
-    if threshold is not None:
-        catalogue = [row for row in catalogue if row[4] >= threshold]
+    catalogue = _narrowed(_catalogue(table), entities, threshold)
     if not catalogue:
         return pages.select("doc_id", "page_no", F.inline(F.from_json(F.lit("[]"), S.SPAN)))
-    anything = _anything(F.col("text"), catalogue)
-    return pages.filter(anything).select(
+    return pages.filter(_anything(F.col("text"), catalogue)).select(
         "doc_id", "page_no", F.inline(page_spans(F.col("text"), catalogue)))
 
 
@@ -154,29 +155,36 @@ def redact_spans(pages: DataFrame, spans: DataFrame, label: str = values.DEFAULT
 
 
 def redact_text(text: Column, catalogue: list[tuple] | None = None, entities: Column | None = None,
-                threshold: Column | float | None = None, label: Column | str = values.DEFAULT_LABEL) -> Column:
-    """Redact one page as a column expression; options may differ from row to row."""
+                threshold: Column | float | None = None, label: Column | str = values.DEFAULT_LABEL,
+                everywhere: bool = False, ignore_case: bool = False) -> Column:
+    """Redact one page as a column expression; options may differ from row to row.
+
+    With ``everywhere`` each found string is hidden wherever it stands on the
+    page, not only where it was found.
+    """
     mark = F.lit(label) if isinstance(label, str) else label
-    hidden = wanted(page_spans(text, catalogue), entities, threshold)
-    return let(text, lambda t: let(hidden, lambda h: F.when(F.size(h) == 0, t).otherwise(
-        S.replace(t, S.merge(h), mark))))
+    found = wanted(page_spans(text, catalogue), entities, threshold)
+
+    def hide(t: Column, spans: Column) -> Column:
+        if everywhere:
+            spans = S.occurrences(t, F.transform(spans, lambda s: s["matched"]), ignore_case)
+        return S.replace(t, S.merge(spans), mark)
+
+    return let(text, lambda t: let(found, lambda h: F.when(F.size(h) == 0, t).otherwise(hide(t, h))))
 
 
 def redact_documents(docs: DataFrame, sep: str = "\f", table: DataFrame | None = None,
                      entities: str | None = None, threshold: float | None = None,
-                     label: str = values.DEFAULT_LABEL, out: str = "text") -> DataFrame:
+                     label: str = values.DEFAULT_LABEL, everywhere: bool = False, ignore_case: bool = False,
+                     out: str = "text") -> DataFrame:
     """Whole documents redacted page by page and put together again inside their rows."""
-    catalogue = _catalogue(table)
-    if entities is not None:
-        names = {name.strip() for name in entities.split(",")}
-        catalogue = [row for row in catalogue if row[0] in names]
-    if threshold is not None:
-        catalogue = [row for row in catalogue if row[4] >= threshold]
+    catalogue = _narrowed(_catalogue(table), entities, threshold)
     if not catalogue:
         return docs.withColumn(out, F.col("text"))
-    anything = _anything(F.col("text"), catalogue)
-    pages = F.transform(F.split("text", _literal(sep)), lambda page: redact_text(page, catalogue, label=label))
-    return docs.withColumn(out, F.when(anything, F.array_join(pages, sep)).otherwise(F.col("text")))
+    pages = F.transform(F.split("text", _literal(sep)), lambda page: redact_text(
+        page, catalogue, label=label, everywhere=everywhere, ignore_case=ignore_case))
+    return docs.withColumn(out, F.when(_anything(F.col("text"), catalogue), F.array_join(pages, sep))
+                                 .otherwise(F.col("text")))
 
 
 def redact_occurrences(pages: DataFrame, spans: DataFrame, label: str = values.DEFAULT_LABEL,

@@ -356,6 +356,11 @@ def p9_redact_occurrences(spark, sf):
     return pii.redact_occurrences(docs, found)
 
 
+def p9_redact_documents_everywhere(spark, sf):
+    """The same within each line, inside the row."""
+    return pii.redact_documents(texts(spark, sf, "documents", "doc_id", "text"), "\n", everywhere=True)
+
+
 def p10_join_pages(spark, sf):
     return pii.join_pages(doc_pages(spark, sf), "\n")
 
@@ -377,7 +382,7 @@ def a1_select_fields(spark, sf):
 
 
 def a2_truncate_text(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", T.cut(F.col("text")).alias("text"))
+    return table(spark, sf, "documents").select("doc_id", T.truncate_text(F.col("text")).alias("text"))
 
 
 def a3_build_requests(spark, sf):

@@ -405,6 +405,13 @@ def _statements() -> dict[str, str]:
           SELECT doc_id, matched, generate_subscripts(gs, 1) AS i, len(gs) AS n, unnest(gs) AS gap
           FROM (SELECT doc_id, matched, string_split(text, matched) AS gs FROM needles JOIN documents USING (doc_id))) WHERE i < n)),
       {_redacted('found').replace('pages_', 'whole')} SELECT * FROM redacted"""
+    s["p9_redact_documents_everywhere"] = f"""{WITH_SPANS},
+      needles AS (SELECT DISTINCT doc_id, page_no, matched FROM spans),
+      found AS (SELECT doc_id, page_no, (till - length(matched))::INTEGER AS "start", till::INTEGER AS "end" FROM (
+        SELECT *, sum(length(gap) + length(matched)) OVER (PARTITION BY doc_id, page_no, matched ORDER BY i) AS till FROM (
+          SELECT doc_id, page_no, matched, generate_subscripts(gs, 1) AS i, len(gs) AS n, unnest(gs) AS gap
+          FROM (SELECT doc_id, page_no, matched, string_split(text, matched) AS gs FROM needles JOIN pages_ USING (doc_id, page_no))) WHERE i < n)),
+      {_redacted('found')} SELECT doc_id, string_agg(text, chr(10) ORDER BY page_no) AS text FROM redacted GROUP BY doc_id"""
     s["p10_join_pages"] = "SELECT doc_id, text FROM documents"
     s["p11_detect_names"] = f"""WITH {_GRAMS} SELECT doc_id, page_no, 'PERSON' AS entity_type, "start",
       ("start" + length(matched))::INTEGER AS "end", matched, 0.85::DOUBLE AS score FROM grams JOIN names ON name = matched"""

@@ -43,8 +43,8 @@ def spread(df: DataFrame) -> DataFrame:
     ``SPREAD_BYTES_PER_CORE`` per core by Catalyst's estimate have enough
     pieces of their own and are returned as they are, without a shuffle.
     """
+    if df.isStreaming:
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if df.isStreaming or size > cores * SPREAD_BYTES_PER_CORE:
-        return df
-    return df.repartition(cores)
+    return df if size > cores * SPREAD_BYTES_PER_CORE else df.repartition(cores)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -54,7 +52,13 @@ def decode_text(docs: DataFrame) -> DataFrame:
 
 
 def with_file_name(results: DataFrame) -> DataFrame:
-    stem = F.regexp_replace(F.col("doc_id").cast("string"), r"^.*/", "")
+    """Add ``file_name``: the document id and the extension of the target type.
+
+    An id that is a path keeps its folders, so that equal names in different
+    folders stay apart; scheme, root and ``..`` are taken out.
+    """
+    path = F.regexp_replace(F.col("doc_id").cast("string"), r"^[A-Za-z][A-Za-z0-9+.-]*:(?=/)", "")
+    stem = F.regexp_replace(F.regexp_replace(path, r"^/+", ""), r"(^|/)\.\.(?=/|$)", "$1_")
     return results.withColumn("file_name", F.concat_ws(".", stem, mime_extension(F.col("target_mime"), "result")))
 
 
@@ -69,27 +73,44 @@ def write_results(results: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def export_files(results: DataFrame, folder: str) -> DataFrame:
-    """Write each result to its own file below ``folder`` (a folder all executors share).
+    """Write each result to its own file below ``folder``: a path or URI that all executors share.
 
     Returns one row per document with the file written; evaluated by an action.
     A file appears under its name only when complete, so a repeated task does no harm.
     """
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import posixpath
+        import re
+        import uuid
+
+        from pyarrow import fs
+
+        if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:/", folder):
+            system, root = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", folder))
+        else:
+            system, root = fs.LocalFileSystem(), folder
+        made = set()
+
+        def store(path: str, content: bytes) -> None:
+            parent = posixpath.dirname(path)
+            if parent not in made:
+                system.create_dir(parent, recursive=True)
+                made.add(parent)
+            partial = f"{path}.{uuid.uuid4().hex}.part"
+            with system.open_output_stream(partial) as out:
+                out.write(content)
+            system.move(partial, path)
+
         for batch in batches:
             rows = []
             for doc_id, target, name, content in zip(
                     batch["doc_id"], batch["target"], batch["file_name"], batch["content"]):
-                path = os.path.join(folder, target, name)
-                error = None
+                path = posixpath.join(root, target, name)
                 try:
-                    os.makedirs(os.path.dirname(path), exist_ok=True)
-                    partial = f"{path}.{uuid.uuid4().hex}.part"
-                    with open(partial, "wb") as out:
-                        out.write(content)
-                    os.replace(partial, path)
+                    store(path, content)
+                    rows.append((doc_id, path, "ok", None))
                 except OSError as problem:
-                    error = str(problem)
-                rows.append((doc_id, path, "ok" if error is None else "error", error))
+                    rows.append((doc_id, path, "error", str(problem)))
             yield pd.DataFrame(rows, columns=["doc_id", "path", "status", "error"])
 
     named = with_file_name(results).select(
