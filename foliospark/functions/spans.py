@@ -50,24 +50,32 @@ def occurs(text: Column, pattern: str, needle: str | None = None) -> Column:
     return found if needle is None else F.contains(text, F.lit(needle)) & found
 
 
-def find(text: Column, entity: str, pattern: str, score: float, validator: str | None = None,
-         needle: str | None = None) -> Column:
-    """All matches of ``pattern`` in ``text`` as an array of spans."""
+def nothing() -> Column:
+    return F.from_json(F.lit("[]"), SPAN)
+
+
+def find(text: Column, rule: Column) -> Column:
+    """All matches in ``text`` of one rule as an array of spans.
+
+    ``rule`` is a struct (entity_type, pattern, needle, score, validator), so
+    that one expression serves a whole list of rules.
+    """
+    pattern = rule["pattern"]
+
     def spans(t: Column) -> Column:
-        found = let(
-            F.regexp_extract_all(t, F.lit(pattern), F.lit(0)),
-            lambda m: F.zip_with(positions(t, F.lit(pattern), m), m, lambda start, hit: F.struct(
-                F.lit(entity).alias("entity_type"),
+        found = let(F.regexp_extract_all(t, pattern, F.lit(0)), lambda m: F.zip_with(
+            positions(t, pattern, m), m, lambda start, hit: F.struct(
+                rule["entity_type"].alias("entity_type"),
                 start.alias("start"),
                 (start + F.length(hit)).alias("end"),
                 hit.alias("matched"),
-                F.lit(float(score)).alias("score"))))
-        if validator is None:
-            return found
-        return F.filter(found, lambda s: VALIDATORS[validator](s["matched"]))
+                rule["score"].alias("score"))))
+        return F.filter(found, lambda s: F.coalesce(
+            *[F.when(rule["validator"] == name, check(s["matched"])) for name, check in VALIDATORS.items()],
+            F.lit(True)))
 
-    return F.when(occurs(text, pattern, needle), let(text, spans)).otherwise(
-        F.from_json(F.lit("[]"), SPAN))
+    present = F.contains(text, F.coalesce(rule["needle"], F.lit(""))) & F.regexp_like(text, pattern)
+    return F.when(present, let(text, spans)).otherwise(nothing())
 
 
 def occurrences(text: Column, needles: Column, ignore_case: bool = False) -> Column:

@@ -39,10 +39,13 @@ def _catalogue(table: DataFrame | None) -> list[tuple]:
 def page_spans(text: Column, catalogue: list[tuple] | None = None) -> Column:
     """All spans of one page as an array, for every recognizer in the catalogue."""
     rows = values.RECOGNIZERS if catalogue is None else catalogue
-    return F.flatten(F.array(*[
-        S.find(text, entity, S.bounded(pattern, run), score, validator, needle)
-        for entity, pattern, run, needle, score, validator in rows
-    ]))
+    rules = F.array(*[F.struct(
+        F.lit(entity).alias("entity_type"), F.lit(S.bounded(pattern, run)).alias("pattern"),
+        F.lit(needle).cast("string").alias("needle"), F.lit(float(score)).alias("score"),
+        F.lit(validator).cast("string").alias("validator"),
+    ) for entity, pattern, run, needle, score, validator in rows])
+    return F.when(_anything(text, rows), F.flatten(F.transform(rules, lambda rule: S.find(text, rule)))).otherwise(
+        S.nothing())
 
 
 def _narrowed(catalogue: list[tuple], entities: str | None, threshold: float | None) -> list[tuple]:
@@ -82,7 +85,7 @@ def detect_pii(pages: DataFrame, table: DataFrame | None = None, entities: str |
     """Pages to span rows with 0-based ``start`` and exclusive ``end``."""
     catalogue = _narrowed(_catalogue(table), entities, threshold)
     if not catalogue:
-        return pages.select("doc_id", "page_no", F.inline(F.from_json(F.lit("[]"), S.SPAN)))
+        return pages.select("doc_id", "page_no", F.inline(S.nothing()))
     return pages.filter(_anything(F.col("text"), catalogue)).select(
         "doc_id", "page_no", F.inline(page_spans(F.col("text"), catalogue)))
 
@@ -116,7 +119,7 @@ def summarise_documents(docs: DataFrame, sep: str = "\f", table: DataFrame | Non
     catalogue = _catalogue(table)
     found = F.when(_anything(F.col("text"), catalogue), F.flatten(F.transform(
         F.split("text", _literal(sep)), lambda page: page_spans(page, catalogue)))
-    ).otherwise(F.from_json(F.lit("[]"), S.SPAN))
+    ).otherwise(S.nothing())
     small = docs.select("doc_id", let(found, lambda s: F.struct(
         F.size(s).cast("bigint").alias("count"),
         F.array_join(F.array_sort(F.array_distinct(F.transform(s, lambda x: x["entity_type"]))), ",").alias("entities"),
