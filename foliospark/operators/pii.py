@@ -15,9 +15,12 @@ from foliospark import values
 from foliospark.functions import spans as S
 from foliospark.functions.arrays import let
 from foliospark.functions.text import csv_items
+from foliospark.session import broadcast_limit, estimated_bytes
 
 RECOGNIZER_SCHEMA = ("entity_type string, pattern string, run string, needle string, score double, "
                      "validator string")
+# Tasks a single name is spread over when names are joined by shuffle.
+SALTS = 16
 WORD = r"[\p{L}'’-]+"
 
 
@@ -211,8 +214,8 @@ def detect_names(pages: DataFrame, names: DataFrame, max_words: int = 3,
                  score: float = values.PERSON_SCORE) -> DataFrame:
     """PERSON spans by dictionary: runs of 1 to ``max_words`` words looked up in ``names(name)``.
 
-    Catalyst broadcasts ``names`` while it is small and joins by shuffle beyond
-    that; only keys, positions and word runs take part, not page texts.
+    Catalyst broadcasts ``names`` while it is small and joins by shuffle, salted,
+    beyond that; only keys, positions and word runs take part, not page texts.
     """
     text = F.col("text")
     found = pages.select("doc_id", "page_no", let(text, lambda t: let(
@@ -230,7 +233,13 @@ def detect_names(pages: DataFrame, names: DataFrame, max_words: int = 3,
     grams = at.select("doc_id", "page_no", "start", F.explode(F.array(*runs)).alias("matched")).filter(
         "matched is not null")
     known = names.select(F.col("name").alias("matched")).distinct()
-    return grams.join(known, "matched").select(
+    keys = ["matched"]
+    if estimated_bytes(names) > broadcast_limit(names.sparkSession):
+        # Joined by shuffle: a name that every page holds is spread over several tasks.
+        known = known.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        grams = grams.withColumn("_salt", F.pmod(F.hash("doc_id", "page_no", "start"), F.lit(SALTS)))
+        keys.append("_salt")
+    return grams.join(known, keys).select(
         "doc_id", "page_no",
         F.lit("PERSON").alias("entity_type"),
         "start",

@@ -79,7 +79,7 @@ def _found(entity, pattern, score, validator) -> str:
 SPANS = "spans AS (" + " UNION ALL ".join(_found(e, p, s, v) for e, p, _r, _n, s, v in values.RECOGNIZERS) + ")"
 WITH_SPANS = f"WITH {PAGES}, {SPANS}"
 
-REGISTRY = "registry AS (SELECT * FROM " + rows(
+REGISTRY = "registry AS (SELECT * REPLACE (max_bytes::BIGINT AS max_bytes) FROM " + rows(
     (name, s, t, limit, options) for name, _e, options, groups in values.TRANSFORMERS
     for ss, ts, limit in groups for s in ss for t in ts
 ) + " r(transformer, source_mime, target_mime, max_bytes, options))"

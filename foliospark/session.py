@@ -36,6 +36,16 @@ def shared_dir(spark: SparkSession) -> str:
 SPREAD_BYTES_PER_CORE = 32 * 1024 * 1024
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate, the one it decides broadcasts by; huge when nothing is known."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes."""
+    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give every core a share of a small input that is stored in one piece.
 
@@ -46,5 +56,4 @@ def spread(df: DataFrame) -> DataFrame:
     if df.isStreaming:
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df if size > cores * SPREAD_BYTES_PER_CORE else df.repartition(cores)
+    return df if estimated_bytes(df) > cores * SPREAD_BYTES_PER_CORE else df.repartition(cores)

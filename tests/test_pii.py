@@ -120,6 +120,13 @@ def test_names(spark):
     pages = spark.createDataFrame([(1, 0, "Hi Ana Maria López, Ana\nMaria"), (2, 0, ""), (3, 0, "Anamaria")], PAGES)
     got = sorted((r.doc_id, r.start, r.end, r.matched) for r in pii.detect_names(pages, names).collect())
     assert got == [(1, 3, 6, "Ana"), (1, 3, 12, "Ana Maria"), (1, 3, 18, "Ana Maria López"), (1, 20, 23, "Ana")]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        salted = pii.detect_names(pages, names)
+        assert "_salt" in salted._jdf.queryExecution().analyzed().toString()
+        assert sorted((r.doc_id, r.start, r.end, r.matched) for r in salted.collect()) == got
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
