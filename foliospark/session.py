@@ -11,8 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Rows that carry whole files: few per Arrow batch.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
+    # Rows that carry whole files: the bytes of an Arrow batch are what has to be bounded.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
 }
 
 
