@@ -90,7 +90,7 @@ def markdown_docs(spark: SparkSession, sf: str) -> DataFrame:
 
 def emails(spark: SparkSession, sf: str) -> DataFrame:
     """Conversation turns as RFC 822 messages; every third conversation as multipart."""
-    turn = table(spark, sf, "conversations")
+    turn = texts(spark, sf, "conversations", "conv_id", "turn", "role", "text")
     head = F.format_string(
         "From: %s <%s@example.com>\nTo: a@example.com, b@example.com\nSubject: Conversation %d turn %d\n"
         "Date: Thu, 01 Jan 2026 12:00:%02d +0200\nMIME-Version: 1.0\n",
@@ -110,7 +110,7 @@ def _turn_id() -> Column:
 
 def xml_docs(spark: SparkSession, sf: str) -> DataFrame:
     """Conversation turns as XML; every tenth conversation has a DOCTYPE."""
-    turn = table(spark, sf, "conversations")
+    turn = texts(spark, sf, "conversations", "conv_id", "turn", "role", "text")
     escaped = F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
     start = F.when(F.col("conv_id") % 10 == 0, "<!DOCTYPE turn>").otherwise("")
     return turn.select(_turn_id(), F.concat(
@@ -140,7 +140,7 @@ def workbooks(spark: SparkSession, sf: str) -> DataFrame:
                 made.append(out.getvalue())
             yield pd.DataFrame({"doc_id": batch["doc_id"], "content": made})
 
-    docs = table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    docs = texts(spark, sf, "documents", "doc_id", "text", "lang", "source")
     return docs.mapInPandas(build, "doc_id bigint, content binary")
 
 
