@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from foliospark.llm import automaton, fingerprints, licences, sharding, token_counts, urls
+from foliospark.llm import automaton, fingerprints, licences, mixing, sharding, token_counts, toxicity, urls
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -28,6 +28,11 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(_table(spark, sf_dir, "pages"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op6_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return automaton.encode(_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), keep_ids=False)
 
@@ -36,13 +41,17 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op2_document_fingerprints, op3_license_scan, op4_url_filter, op6_bpe_encoding,
-                            op8_token_counts, op10_sharding)
+    q.__name__: q for q in (op2_document_fingerprints, op3_license_scan, op4_url_filter, op5_toxicity, op6_bpe_encoding,
+                            op8_token_counts, op9_mixing, op10_sharding)
 }
 
 
@@ -75,4 +84,59 @@ SELECT page_id, host, path, found.rule AS rule,
 FROM judged"""
 
 
-ORACLE: dict[str, str] = {"op4_url_filter": _op4_sql()}
+def _op9_sql() -> str:
+    """The same plan; the exponent by plain bisection, a step for each row of a recursive table."""
+    t = mixing.Target()
+    key = "md5(concat_ws('|', '{seed}', coalesce(source, ''), {epoch}::VARCHAR, {what}))"
+    block_key = key.format(seed=t.seed, epoch="epochs", what="block::VARCHAR")
+    doc_key = key.format(seed=t.seed, epoch="epochs", what="doc_id::VARCHAR")
+    return f"""
+WITH RECURSIVE light AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\r\\f]+')) AS n_tokens FROM documents),
+totals AS (SELECT source, sum(n_tokens)::BIGINT AS n_tokens FROM light GROUP BY source HAVING sum(n_tokens) > 0),
+whole AS (SELECT sum(n_tokens)::BIGINT AS n FROM totals),
+shares AS (SELECT list(n_tokens / n::DOUBLE) AS p FROM totals, whole),
+ends AS (SELECT ln(len(p)) AS most, -list_sum(list_transform(p, lambda x: x * ln(x))) AS own FROM shares),
+bisect AS (
+  SELECT 0 AS step, 0.0::DOUBLE AS low, 1.0::DOUBLE AS high
+  UNION ALL
+  SELECT step + 1, CASE WHEN entropy < own + {t.entropy} * (most - own) THEN low ELSE middle END,
+    CASE WHEN entropy < own + {t.entropy} * (most - own) THEN middle ELSE high END
+  FROM (SELECT step, low, high, (low + high) / 2 AS middle, most, own,
+      ln(list_sum(list_transform(p, lambda x: pow(x, (low + high) / 2))))
+      - (low + high) / 2 * list_sum(list_transform(p, lambda x: pow(x, (low + high) / 2) * ln(x)))
+        / list_sum(list_transform(p, lambda x: pow(x, (low + high) / 2))) AS entropy
+    FROM bisect, shares, ends WHERE step < 45)),
+power AS (SELECT round(CASE WHEN most <= own THEN 1 ELSE high END, 9) AS x FROM bisect, ends WHERE step = 45),
+sources AS (
+  SELECT source, n_tokens, weight, floor(weight * n)::BIGINT AS part, ceil(n_tokens / {t.block})::BIGINT AS n_blocks,
+    floor(floor(weight * n) / n_tokens)::BIGINT AS epochs,
+    floor(weight * n)::BIGINT - floor(floor(weight * n) / n_tokens)::BIGINT * n_tokens AS rest
+  FROM (SELECT source, n_tokens, n, round(pow(n_tokens / n::DOUBLE, x) / sum(pow(n_tokens / n::DOUBLE, x)) OVER (), 9) AS weight
+    FROM totals, whole, power)),
+placed AS (
+  SELECT l.doc_id, l.source, l.n_tokens, weight, n_blocks, epochs, rest,
+    ('0x' || substr(md5(l.doc_id::VARCHAR), 1, 15))::BIGINT % n_blocks AS block
+  FROM light l JOIN sources s ON l.source IS NOT DISTINCT FROM s.source),
+keyed AS (SELECT *, {block_key} AS cut_key, {doc_key} AS doc_key FROM placed),
+blocks AS (
+  SELECT source, cut_key, rest, size, sum(size) OVER (PARTITION BY source ORDER BY cut_key) AS upto
+  FROM (SELECT source, cut_key, rest, sum(n_tokens) AS size FROM keyed WHERE rest > 0 GROUP BY ALL)),
+cuts AS (
+  SELECT source, min(cut_key) AS cut_block, arg_min(rest - upto + size, cut_key) AS remaining
+  FROM blocks WHERE upto >= rest AND upto - size < rest GROUP BY source),
+doc_cuts AS (
+  SELECT source, min(doc_key) AS cut_doc FROM (
+    SELECT k.source, doc_key, remaining, sum(n_tokens) OVER (PARTITION BY k.source ORDER BY doc_key) AS upto
+    FROM keyed k JOIN cuts c ON k.source IS NOT DISTINCT FROM c.source AND k.cut_key = c.cut_block)
+  WHERE upto >= remaining GROUP BY source),
+lasts AS (
+  SELECT k.*, CASE WHEN cut_key < cut_block OR (cut_key = cut_block AND doc_key <= cut_doc) THEN epochs ELSE epochs - 1 END AS last
+  FROM keyed k LEFT JOIN cuts c ON k.source IS NOT DISTINCT FROM c.source
+  LEFT JOIN doc_cuts d ON k.source IS NOT DISTINCT FROM d.source)
+SELECT doc_id, source, n_tokens::BIGINT AS n_tokens, weight, epoch, block,
+  {key.format(seed=t.seed, epoch="epoch", what="block::VARCHAR")} AS block_key
+FROM (SELECT *, unnest(range(0, last + 1))::BIGINT AS epoch FROM lasts)"""
+
+
+ORACLE: dict[str, str] = {"op4_url_filter": _op4_sql(), "op9_mixing": _op9_sql()}
