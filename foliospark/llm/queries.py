@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from foliospark.llm import automaton, fingerprints, licences, mixing, sharding, token_counts, toxicity, urls
+from foliospark.llm import automaton, fingerprints, grid_join, licences, mixing, ngram_join, sharding, token_counts, toxicity, urls
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -16,6 +16,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grid_join.join(_table(spark, sf_dir, "embeddings"))
+
+
 def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.against_edits(_table(spark, sf_dir, "documents"))
 
@@ -37,6 +41,10 @@ def op6_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return automaton.encode(_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), keep_ids=False)
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(_table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
@@ -50,8 +58,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op2_document_fingerprints, op3_license_scan, op4_url_filter, op5_toxicity, op6_bpe_encoding,
-                            op8_token_counts, op9_mixing, op10_sharding)
+    q.__name__: q for q in (op1_embedding_join, op2_document_fingerprints, op3_license_scan, op4_url_filter, op5_toxicity, op6_bpe_encoding,
+                            op7_ngram_join, op8_token_counts, op9_mixing, op10_sharding)
 }
 
 
@@ -139,4 +147,50 @@ SELECT doc_id, source, n_tokens::BIGINT AS n_tokens, weight, epoch, block,
 FROM (SELECT *, unnest(range(0, last + 1))::BIGINT AS epoch FROM lasts)"""
 
 
-ORACLE: dict[str, str] = {"op4_url_filter": _op4_sql(), "op9_mixing": _op9_sql()}
+_REACH = """
+reach(node, other) AS (
+  SELECT rep, rep FROM reps UNION SELECT r.node, e.b FROM reach r JOIN both_ways e ON r.other = e.a),
+classes AS (SELECT node, min(other) AS component FROM reach GROUP BY node)"""
+
+
+def _op1_sql() -> str:
+    return f"""
+WITH RECURSIVE good AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+reps AS (SELECT vec_id AS rep, v FROM good),
+both_ways AS (
+  SELECT x.rep AS a, y.rep AS b FROM reps x JOIN reps y ON x.rep <> y.rep
+  WHERE list_cosine_similarity(x.v, y.v) >= {grid_join.COSINE}),
+{_REACH},
+counts AS (SELECT a, count(*) AS n FROM both_ways GROUP BY a)
+SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(component, e.vec_id) AS component_id,
+  coalesce(component, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN classes ON node = e.vec_id LEFT JOIN counts ON a = e.vec_id"""
+
+
+def _op7_sql() -> str:
+    n = ngram_join.WORDS
+    return f"""
+WITH RECURSIVE texts AS (
+  SELECT coalesce(text, '') AS text, min(doc_id) AS rep, count(*) AS copies FROM documents GROUP BY 1),
+reps AS (
+  SELECT rep, copies, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS words FROM texts),
+grams AS (
+  SELECT DISTINCT rep, array_to_string(words[i:i + {n} - 1], ' ') AS gram
+  FROM (SELECT rep, words, unnest(range(1, greatest(len(words) - {n} + 2, 2))) AS i FROM reps WHERE len(words) > 0)),
+sizes AS (SELECT rep, count(*) AS size FROM grams GROUP BY rep),
+shared AS (
+  SELECT x.rep AS a, y.rep AS b, count(*) AS common FROM grams x JOIN grams y ON x.gram = y.gram AND x.rep <> y.rep GROUP BY ALL),
+both_ways AS (
+  SELECT a, b FROM shared JOIN sizes p ON p.rep = a JOIN sizes q ON q.rep = b
+  WHERE common >= {ngram_join.THRESHOLD} * (p.size + q.size - common) - 1e-9),
+{_REACH},
+counts AS (SELECT a, sum(copies) AS n FROM both_ways JOIN reps ON rep = b GROUP BY a)
+SELECT d.doc_id, component AS class_id, (copies - 1 + coalesce(n, 0))::BIGINT AS n_links, component = d.doc_id AS kept
+FROM documents d JOIN texts t ON t.text = coalesce(d.text, '') JOIN classes ON node = t.rep LEFT JOIN counts ON a = t.rep"""
+
+
+ORACLE: dict[str, str] = {"op1_embedding_join": _op1_sql(), "op7_ngram_join": _op7_sql(),
+                          "op4_url_filter": _op4_sql(), "op9_mixing": _op9_sql()}
