@@ -4,8 +4,9 @@ Vectors of unit length with cosine c are at the distance sqrt(2 - 2c), so pairs
 Vectors are turned to their principal axes and sorted by the epsilon cells of the leading ones; ties follow the
 first coordinate, so a full cell can be cut anywhere. The sequence is cut into intervals of ``BLOCK`` vectors with
 a bounding box each. Intervals are joined recursively: pairs of groups of intervals whose boxes are further than
-epsilon from each other are dropped, the others are opened, down to pairs of intervals. Of the later interval only
-the vectors within epsilon of the earlier one's box are sent to it, where cosines are computed in double precision.
+epsilon from each other are dropped, the others are opened, down to pairs of intervals. Two intervals meet first
+with codes of a byte for each leading coordinate; only vectors with a partner that the codes cannot rule out are sent
+whole, and their cosines are computed in double precision.
 
 Turning keeps distances, so no pair is lost whatever the axes are; they are fitted on a bounded sample.
 """
@@ -29,6 +30,8 @@ FAN = 16               # intervals, or groups of them, in a group of the next le
 CELL_DIMENSIONS = 8
 # Vectors the axes are fitted on, at most: the first in order of a hash.
 SAMPLE = 20_000
+# Leading coordinates that have a code, and its step; codes differ from coordinates by less than a step.
+CODED, STEP = 16, 0.01
 _SLACK = 1e-6
 
 
@@ -111,7 +114,7 @@ def _blocks(reps: DataFrame, turn: np.ndarray, epsilon: float) -> DataFrame:
     ordered = sequence.repartitionByRange(parts, "cells", "first", "rep").sortWithinPartitions("cells", "first", "rep")
     return ordered.select("rep", "copies", "unit", "turned").mapInArrow(
         cut, "part long, number long, low array<double>, high array<double>, reps binary, copies binary, units binary, "
-             "turned binary")
+             "codes binary")
 
 
 def _block(table: pa.Table, part: int, number: int, width: int) -> pa.RecordBatch:
@@ -120,8 +123,9 @@ def _block(table: pa.Table, part: int, number: int, width: int) -> pa.RecordBatc
     data = [table.column(c).to_numpy().astype(np.int64).tobytes() for c in ("rep", "copies")]
     return pa.record_batch([pa.array([part]), pa.array([number]), pa.array([box.min(0)], pa.list_(pa.float64())),
                             pa.array([box.max(0)], pa.list_(pa.float64())), *(pa.array([d], pa.binary()) for d in data),
-                            pa.array([b"".join(table.column("unit").to_pylist())], pa.binary()), pa.array([y], pa.binary())],
-                           ["part", "number", "low", "high", "reps", "copies", "units", "turned"])
+                            pa.array([b"".join(table.column("unit").to_pylist())], pa.binary()),
+                            pa.array([np.floor(box[:, :CODED] / STEP).astype(np.int8).tobytes()], pa.binary())],
+                           ["part", "number", "low", "high", "reps", "copies", "units", "codes"])
 
 
 def _apart(a_low, a_high, b_low, b_high):
@@ -184,51 +188,65 @@ def compare(x: np.ndarray, y: np.ndarray | None, x_copies: np.ndarray, y_copies:
         label = least
 
 
+def possible(x: np.ndarray, y: np.ndarray, epsilon: float) -> np.ndarray:
+    """Pairs whose coded coordinates do not put them further apart than epsilon."""
+    x, y = x.astype(np.float32), y.astype(np.float32)
+    square = (x * x).sum(1)[:, None] + (y * y).sum(1)[None, :] - 2 * (x @ y.T)      # whole numbers, exact
+    return square <= (epsilon / STEP + math.sqrt(x.shape[1]) + _SLACK) ** 2
+
+
 def _links(blocks: DataFrame, pairs: DataFrame, width: int, epsilon: float, cosine: float) -> DataFrame:
     """``rep, root, links`` for every vector with a link in a pair of intervals."""
-    reach = epsilon + _SLACK
+    coded = min(CODED, width)
 
-    def send(batches):
+    def sift(batches):
+        for batch in batches:
+            rows = []
+            for row in batch.to_pylist():
+                near = possible(*(np.frombuffer(row[c], np.int8).reshape(-1, coded) for c in ("x", "y")), epsilon)
+                if row["a"] == row["b"]:
+                    np.fill_diagonal(near, False)
+                if near.any():
+                    rows.append((row["a"], row["b"], near.any(1).tobytes(), near.any(0).tobytes()))
+            columns = list(zip(*rows, strict=True)) or [[]] * 4
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 2 + [pa.binary()] * 2, strict=True)],
+                                  ["a", "b", "in_a", "in_b"])
+
+    def pick(batches):
         for batch in batches:
             rows = []
             for row in batch.to_pylist():
-                keep = slice(None)
-                if row["a"] != row["block"]:
-                    y = np.frombuffer(row["turned"]).reshape(-1, width)
-                    gap = np.maximum(np.maximum(np.array(row["low"]) - y, y - np.array(row["high"])), 0)
-                    keep = (gap * gap).sum(1) <= reach * reach
-                    if not keep.any():
-                        continue
-                rows.append([row["a"], row["block"]] + [
-                    np.frombuffer(row[c], t).reshape(-1, w)[keep].tobytes()
-                    for c, t, w in (("reps", np.int64, 1), ("copies", np.int64, 1), ("units", np.float64, width))])
-            columns = list(zip(*rows, strict=True)) or [[]] * 5
-            yield pa.record_batch([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
-                                   *(pa.array(c, pa.binary()) for c in columns[2:])],
-                                  ["a", "b", "b_reps", "b_copies", "b_units"])
+                keep = np.frombuffer(row["in_a"], bool)
+                rows.append([row["a"], row["b"], row["in_b"]] + [
+                    np.frombuffer(row[c], np.uint8).reshape(len(keep), -1)[keep].tobytes()
+                    for c in ("reps", "copies", "units")])
+            columns = list(zip(*rows, strict=True)) or [[]] * 6
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 2 + [pa.binary()] * 4, strict=True)],
+                                  ["a", "b", "in_b", "a_reps", "a_copies", "a_units"])
 
     def meet(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                x, y = (np.frombuffer(row[c]).reshape(-1, width) for c in ("units", "b_units"))
-                reps, weights = (np.frombuffer(row[c], np.int64) for c in ("reps", "copies"))
-                other, other_weights = (np.frombuffer(row[c], np.int64) for c in ("b_reps", "b_copies"))
+                keep = np.frombuffer(row["in_b"], bool)
+                x, y = np.frombuffer(row["a_units"]).reshape(-1, width), np.frombuffer(row["units"]).reshape(-1, width)[keep]
+                reps, weights = (np.frombuffer(row[c], np.int64) for c in ("a_reps", "a_copies"))
                 if row["a"] == row["b"]:
                     counts, label = compare(x, None, weights, weights, cosine)
                 else:
+                    other, other_weights = (np.frombuffer(row[c], np.int64)[keep] for c in ("reps", "copies"))
                     counts, label = compare(x, y, weights, other_weights, cosine)
                     reps = np.concatenate([reps, other])
                 some = counts > 0
                 yield pa.record_batch([pa.array(reps[some]), pa.array(reps[label[some]]), pa.array(counts[some])],
                                       ["rep", "root", "links"])
 
-    corners = blocks.select(F.col("block").alias("a"), F.col("low").alias("a_low"), F.col("high").alias("a_high"))
-    outgoing = (blocks.join(pairs.withColumnRenamed("b", "block"), "block").join(corners, "a")
-                .select("a", "block", F.col("a_low").alias("low"), F.col("a_high").alias("high"), "reps", "copies",
-                        "units", "turned")
-                .mapInArrow(send, "a long, b long, b_reps binary, b_copies binary, b_units binary"))
-    data = blocks.select(F.col("block").alias("a"), "reps", "copies", "units")
-    return outgoing.join(data, "a").mapInArrow(meet, "rep long, root long, links long")
+    codes, data = blocks.select("block", "codes"), blocks.select("block", "reps", "copies", "units")
+    hits = (pairs.join(codes.withColumnsRenamed({"block": "a", "codes": "x"}), "a")
+            .join(codes.withColumnsRenamed({"block": "b", "codes": "y"}), "b")
+            .mapInArrow(sift, "a long, b long, in_a binary, in_b binary"))
+    picked = (hits.join(data.withColumnRenamed("block", "a"), "a").select("a", "b", "in_a", "in_b", "reps", "copies", "units")
+              .mapInArrow(pick, "a long, b long, in_b binary, a_reps binary, a_copies binary, a_units binary"))
+    return picked.join(data.withColumnRenamed("block", "b"), "b").mapInArrow(meet, "rep long, root long, links long")
 
 
 def join(vectors: DataFrame, cosine: float = COSINE, id_column: str = "vec_id",
@@ -272,4 +290,4 @@ def join(vectors: DataFrame, cosine: float = COSINE, id_column: str = "vec_id",
 
 def _no_blocks(spark) -> DataFrame:
     return spark.createDataFrame([], "part long, number long, low array<double>, high array<double>, reps binary, "
-                                     "copies binary, units binary, turned binary")
+                                     "copies binary, units binary, codes binary")
