@@ -204,9 +204,11 @@ def _blocks(texts: DataFrame) -> DataFrame:
     sizes = entries.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = shared.stored(entries.join(sizes, ["band", "hash"]), "buckets")
     home = members.groupBy("rep").agg(F.max(F.struct("size", F.col("band"), F.col("hash"))).alias("home"))
-    parts = F.ceil(F.col("home.size") / BLOCK).cast("long")
-    block = F.xxhash64(F.col("home.band"), F.col("home.hash"), F.pmod(F.xxhash64(F.col("rep")), parts))
-    return members.join(home.select("rep", block.alias("block")), "rep").select("rep", "band", "hash", "block")
+    home = shared.stored(home.select("rep", "home.band", "home.hash"), "homes")
+    living = home.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("living"))
+    part = F.pmod(F.xxhash64(F.col("rep")), F.ceil(F.col("living") / BLOCK).cast("long"))
+    blocks = home.join(living, ["band", "hash"]).select("rep", F.xxhash64("band", "hash", part).alias("block"))
+    return members.join(blocks, "rep").select("rep", "band", "hash", "block")
 
 
 def _block_pairs(placed: DataFrame) -> DataFrame:
@@ -219,15 +221,14 @@ def _block_pairs(placed: DataFrame) -> DataFrame:
 
 def _verified(docs: DataFrame, texts: DataFrame, placed: DataFrame, pairs: DataFrame, n: int,
               threshold: float) -> DataFrame:
-    """``rep, root, links`` for each member of each pair of blocks that has a link there."""
-    spark = docs.sparkSession
+    """``rep, root, links`` for each member of each pair of blocks that has a link there.
+
+    A block is one row with the n-gram sets of its members; pairs of blocks are joined with these rows.
+    """
     pairs = shared.stored(pairs, "block-pairs")
-    members = placed.select("rep", "block").distinct()
-    tasks = pairs.select("first", "second", F.explode(F.array_distinct(F.array("first", "second"))).alias("block"))
-    wanted = shared.stored(members.join(tasks, "block").join(texts.select("rep", "copies", "text_key"), "rep")
-                           .groupBy("rep", "text_key", "block", "copies")
-                           .agg(F.collect_list(F.struct("first", "second")).alias("tasks")), "tasks")
-    bits = spark.sparkContext.broadcast(shared.id_filter(wanted, "rep"))
+    wanted = shared.stored(placed.select("rep", "block").distinct().join(
+        texts.select("rep", "copies", "text_key"), "rep"), "members")
+    bits = docs.sparkSession.sparkContext.broadcast(shared.id_filter(wanted, "rep"))
 
     def gather(batches):
         shingler = _shingler(n)
@@ -238,31 +239,42 @@ def _verified(docs: DataFrame, texts: DataFrame, placed: DataFrame, pairs: DataF
                                    pa.array([shingler.set(t).tobytes() for t in texts], pa.binary())],
                                   ["rep", "text_key", "grams"])
 
-    chosen = docs.where("doc_id IS NOT NULL").select("doc_id", "text", shared.filter_position(F.col("doc_id")).alias("at"))
-    grams = chosen.mapInArrow(gather, "rep long, text_key binary, grams binary").join(wanted, ["rep", "text_key"]) \
-        .select("rep", "text_key", "block", "copies", "grams", F.explode("tasks").alias("task")) \
-        .select("rep", "text_key", "block", "copies", "grams", "task.first", "task.second")
-
-    def verify(key, table):
+    def pack(key, table):
         table = table.sort_by([("rep", "ascending"), ("text_key", "ascending")])
         names = list(zip(table.column("rep").to_pylist(), table.column("text_key").to_pylist(), strict=True))
         table = table.filter(pa.array([k == 0 or x != names[k - 1] for k, x in enumerate(names)]))    # repeated rows
-        blocks = table.column("block").to_numpy()
-        first, second = key[0].as_py(), key[1].as_py()
-        if first != second:
-            order = np.concatenate([np.flatnonzero(blocks == first), np.flatnonzero(blocks == second)])
-            table = table.take(pa.array(order))
-            split = int((blocks == first).sum())
-        else:
-            split = None
-        sets = [np.frombuffer(g.as_py(), np.uint64) for g in table.column("grams")]
-        reps = table.column("rep").to_numpy()
-        counts, label = compare(sets, table.column("copies").to_numpy(), split, threshold)
-        some = counts > 0
-        return pa.table({"rep": reps[some], "root": reps[label[some]], "links": counts[some].astype(np.int64)},
-                        pa.schema([("rep", pa.int64()), ("root", pa.int64()), ("links", pa.int64())]))
-
-    return grams.groupBy("first", "second").applyInArrow(verify, "rep long, root long, links long")
+        sets = table.column("grams").to_pylist()
+        row = [table.column("rep").to_numpy().tobytes(), table.column("copies").to_numpy().tobytes(),
+               np.array([len(g) // 8 for g in sets], np.int64).tobytes(), b"".join(sets)]
+        return pa.table([pa.array([key[0].as_py()], pa.int64()), *(pa.array([x], pa.binary()) for x in row)],
+                        ["block", "reps", "copies", "sizes", "grams"])
+
+    def verify(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                sides = [_unpacked(row, ""), _unpacked(row, "b_")] if "b_reps" in row else [_unpacked(row, "")]
+                reps, copies = (np.concatenate([side[k] for side in sides]) for k in (0, 1))
+                counts, label = compare([g for side in sides for g in side[2]], copies,
+                                        len(sides[0][0]) if len(sides) == 2 else None, threshold)
+                some = counts > 0
+                yield pa.record_batch([pa.array(reps[some]), pa.array(reps[label[some]]),
+                                       pa.array(counts[some].astype(np.int64))], ["rep", "root", "links"])
+
+    chosen = docs.where("doc_id IS NOT NULL").select("doc_id", "text", shared.filter_position(F.col("doc_id")).alias("at"))
+    blocks = shared.stored(
+        chosen.mapInArrow(gather, "rep long, text_key binary, grams binary").join(wanted, ["rep", "text_key"])
+        .groupBy("block").applyInArrow(pack, "block long, reps binary, copies binary, sizes binary, grams binary"), "blocks")
+    result = "rep long, root long, links long"
+    within = blocks.join(pairs.where("first = second").select(F.col("first").alias("block")), "block").drop("block")
+    others = blocks.withColumnsRenamed({c: f"b_{c}" for c in blocks.columns})
+    between = (pairs.where("first < second").join(blocks, F.col("first") == F.col("block"))
+               .join(others, F.col("second") == F.col("b_block")).drop("first", "second", "block", "b_block"))
+    return within.mapInArrow(verify, result).unionByName(between.mapInArrow(verify, result))
+
+
+def _unpacked(row: dict, prefix: str) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    reps, copies, sizes = (np.frombuffer(row[prefix + c], np.int64) for c in ("reps", "copies", "sizes"))
+    return reps, copies, np.split(np.frombuffer(row[prefix + "grams"], np.uint64), np.cumsum(sizes)[:-1])
 
 
 def kept_documents(docs: DataFrame, n: int = WORDS, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
