@@ -72,7 +72,7 @@ def without_code(html: Column) -> Column:
 
 
 def plain_text(html: Column) -> Column:
-    return squeeze(decode_entities(_sub(without_code(html), (r"<[a-zA-Z/!?][^>]*>", " "))))
+    return squeeze(decode_entities(_sub(without_code(html), (r"<[a-zA-Z/!?][^<>]*>", " "))))
 
 
 def title_of(html: Column) -> Column:
@@ -249,7 +249,7 @@ def _flow(html: Column) -> Column:
 
 
 def _preformatted(html: Column) -> Column:
-    text = decode_entities(_sub(html, (r"<[a-zA-Z/!?][^>]*>", "")))
+    text = decode_entities(_sub(html, (r"<[a-zA-Z/!?][^<>]*>", "")))
     return F.concat(F.lit("```\n"), _sub(text, (r"^\n|\n+\z", "")), F.lit("\n```"))
 
 

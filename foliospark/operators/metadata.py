@@ -38,7 +38,7 @@ def parse_mapping(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     prefix = "namespace.prefix."
     declared = F.startswith("name", F.lit(prefix))
     ns = lines.filter(declared).select(
-        F.substring("name", len(prefix) + 1, 1000).alias("prefix"), F.col("target").alias("uri")).distinct()
+        F.substring(F.col("name"), F.lit(len(prefix) + 1), F.length("name")).alias("prefix"), F.col("target").alias("uri")).distinct()
     mapping = lines.filter(~declared).select(
         "extractor", F.col("name").alias("raw_key"),
         F.split_part("target", F.lit(":"), F.lit(1)).alias("prefix"),

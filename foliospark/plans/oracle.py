@@ -146,7 +146,7 @@ results AS (SELECT doc_id, engine, transformer, source_mime, target_mime,
   CASE WHEN doc_id % 11 = 0 THEN 'exit code ' || (doc_id % 3) END AS error,
   CASE WHEN doc_id % 13 = 0 THEN 0 ELSE n_chars END AS out_len,
   CASE WHEN doc_id % 5 = 0 THEN '{{}}' WHEN doc_id % 7 = 0 THEN 'no json' ELSE '{{"cm:title":"' || lang || '"}}' END AS metadata_json,
-  n_chars * 3 AS bytes_in, n_chars AS bytes_out
+  n_chars * 3 AS bytes_in, n_chars AS bytes_out, n_chars / 1000 AS seconds
   FROM documents JOIN slots ON slot = doc_id % {len(catalog.registry_list())}),
 checked AS (SELECT *, CASE
     WHEN status <> 'ok' THEN error
@@ -179,7 +179,7 @@ def _html_markdown() -> str:
         NO_CODE, (r"(?is)<head(?:\s[^>]*)?>.*?</head\s*>", " "), (r"(?i)<br\s*/?\s*>", br),
         (r'(?i)<a(?:\s[^>]*)?\shref\s*=\s*"([^">]*)"[^>]*>([^<]*)</a\s*>', rf"{lo}\2{lm}\1{le}"),
         (r"(?i)<h([1-6])(?:\s[^>]*)?>", rf"{para}{head}\1{end}"), (r"(?i)<li(?:\s[^>]*)?>", li),
-        (rf"(?i)</h[1-6]\s*>|</?(?:{BLOCK})(?:\s[^>]*)?>", para), (r"<[a-zA-Z/!?][^>]*>", ""), (r"\s+", " "))
+        (rf"(?i)</h[1-6]\s*>|</?(?:{BLOCK})(?:\s[^>]*)?>", para), (r"<[a-zA-Z/!?][^<>]*>", ""), (r"\s+", " "))
     text = sub(
         swap(text, *_ENT), (r"([\\`*\[\]<])", r"\\\1"),
         (rf"(^|[{br}{li}{para}{end}] ?)([#>+-]+)( |\z)", r"\1\\\2\3"),
@@ -479,7 +479,7 @@ def _statements() -> dict[str, str]:
         unnest(['p' || least, 'last']) AS "local", unnest([3, 4]) AS priority,
         (SELECT count(DISTINCT event_type) FROM events) AS uris FROM t"""
 
-    plain = f"{squeeze(swap(sub(NO_CODE, (r'<[a-zA-Z/!?][^>]*>', ' ')), *_ENT))}"
+    plain = f"{squeeze(swap(sub(NO_CODE, (r'<[a-zA-Z/!?][^<>]*>', ' ')), *_ENT))}"
     s["c1_html_text"] = f"SELECT page_id, {plain} AS text FROM pages"
     s["c2_html_to_markdown"] = f"SELECT page_id, {_html_markdown()} AS markdown FROM pages"
     cut = (rf"(?is)</?(?:h[1-6]|li|{BLOCK})(?:\s[^>]*)?>.*\z", "")
@@ -545,7 +545,8 @@ def _statements() -> dict[str, str]:
     s["q4_probe_check"] = f"""WITH {RESULTS} SELECT doc_id, engine, out_len, expected::BIGINT AS expected, tolerance::BIGINT AS tolerance,
       abs(out_len - expected) <= tolerance AS in_range FROM results JOIN {probes} p(engine, expected, tolerance) USING (engine)"""
     s["q5_run_stats"] = f"""WITH {RESULTS} SELECT transformer, count(*) AS documents, count(*) FILTER (WHERE status <> 'ok') AS failed,
-      sum(bytes_in)::BIGINT AS bytes_in, sum(bytes_out)::BIGINT AS bytes_out FROM results GROUP BY transformer"""
+      sum(bytes_in)::BIGINT AS bytes_in, sum(bytes_out)::BIGINT AS bytes_out,
+      quantile_disc(seconds, 0.5) AS p50_seconds, quantile_disc(seconds, 0.95) AS p95_seconds FROM results GROUP BY transformer"""
 
     s["t1_stream_transform"] = f"SELECT page_id, markdown, 'ok' AS status FROM ({s['c2_html_to_markdown']})"
     s["t2_stream_redact"] = WHOLE_REDACTED

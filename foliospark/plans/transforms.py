@@ -62,7 +62,9 @@ def msg(docs: DataFrame) -> DataFrame:
     binary = docs.filter(F.col("source_mime") != values.EML).select(
         "doc_id", "target_mime", F.lit(None).cast("binary").alias("content"),
         F.lit("unsupported").alias("status"), F.lit("binary mail format").alias("error"))
-    return done.unionByName(binary)
+    failed = parsed.filter(F.col("status") != "ok").select(
+        "doc_id", F.lit(values.PDF).alias("target_mime"), F.lit(None).cast("binary").alias("content"), "status", "error")
+    return done.unionByName(binary).unionByName(failed)
 
 
 def metadata_result(meta: DataFrame, extractor: str) -> DataFrame:
@@ -82,14 +84,26 @@ def _with_failures(results: DataFrame, rows: DataFrame) -> DataFrame:
     return results.unionByName(failed)
 
 
+def _for_every(docs: DataFrame, results: DataFrame) -> DataFrame:
+    """One result for each document; where nothing was found, the metadata is an empty object."""
+    found = union_by("doc_id", results)
+    empty = F.col("status").isNull()
+    return docs.select("doc_id").distinct().join(found, "doc_id", "left").select(
+        "doc_id", F.coalesce("target_mime", F.lit(values.METADATA)).alias("target_mime"),
+        F.when(empty, F.encode(F.lit("{}"), "UTF-8")).otherwise(F.col("content")).alias("content"),
+        F.when(empty, "ok").otherwise(F.col("status")).alias("status"), "error")
+
+
 def xmlextract(docs: DataFrame) -> DataFrame:
     rows = parsers.parse_xml(docs.select("doc_id", decode_utf8(F.col("content")).alias("xml")))
-    return _with_failures(metadata_result(metadata.last_of_each_key(rows.filter("status = 'ok'")), "xml"), rows)
+    found = metadata_result(metadata.last_of_each_key(rows.filter("status = 'ok'")), "xml")
+    return _for_every(docs, _with_failures(found, rows))
 
 
 def excelextract(docs: DataFrame) -> DataFrame:
     rows = parsers.read_xlsx_properties(docs)
-    return _with_failures(metadata_result(metadata.xlsx_metadata(rows.filter("status = 'ok'")), "excel"), rows)
+    found = metadata_result(metadata.xlsx_metadata(rows.filter("status = 'ok'")), "excel")
+    return _for_every(docs, _with_failures(found, rows))
 
 
 def pdf_text(docs: DataFrame, command: list[str] | None = None) -> DataFrame:
@@ -101,7 +115,7 @@ def pdf_text(docs: DataFrame, command: list[str] | None = None) -> DataFrame:
 def pdf_pii_metadata(docs: DataFrame) -> DataFrame:
     texts = pdf_text(docs)
     summary = pii.summarise_documents(texts.filter("status = 'ok'").select("doc_id", "text"))
-    return _with_failures(metadata_result(pii.pii_metadata(summary), "pii"), texts)
+    return _for_every(docs, _with_failures(metadata_result(pii.pii_metadata(summary), "pii"), texts))
 
 
 def ai_metadata(docs: DataFrame) -> DataFrame:
@@ -111,7 +125,7 @@ def ai_metadata(docs: DataFrame) -> DataFrame:
     meta = describe_offline(plain)
     pdf = docs.filter(F.col("source_mime") != values.TEXT).select(
         "doc_id", F.lit("unsupported").alias("status"), F.lit("text of PDF needs an external tool").alias("error"))
-    return _with_failures(metadata_result(meta, "ai"), pdf)
+    return _for_every(docs, _with_failures(metadata_result(meta, "ai"), pdf))
 
 
 def describe_offline(texts: DataFrame) -> DataFrame:

@@ -26,9 +26,11 @@ def build(master: str | None = None, name: str = "foliospark", **conf: str) -> S
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor sees; a temporary one only where none is set (tests)."""
+    """The folder every executor sees; a temporary one only where none is set and all runs on one machine (tests)."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not configured and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return configured or tempfile.mkdtemp(prefix="foliospark-")
 
 

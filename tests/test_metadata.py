@@ -153,3 +153,19 @@ def test_embed(spark):
     docs = spark.createDataFrame([(1, "a/b", b"\x00\xff")], "doc_id int, source_mime string, content binary")
     assert bytes(metadata.embed_passthrough(docs).first().content) == b"\x00\xff"
     assert docs.select(F.lit(1)).count() == 1
+
+
+def test_every_document_has_a_result(spark):
+    from foliospark import values
+    from foliospark.plans import transforms
+    rows = [(1, b"<r><price>3</price></r>"), (2, b"<r/>"), (3, b"<r><title>T</title></r>"), (4, b"<r>")]
+    docs = spark.createDataFrame([(i, values.METADATA, c) for i, c in rows], "doc_id long, target_mime string, content binary")
+    got = {r.doc_id: (bytes(r.content).decode() if r.content else None, r.status) for r in transforms.xmlextract(docs).collect()}
+    assert got[1] == got[2] == ("{}", "ok") and "T" in got[3][0] and got[4][1] == "error" and len(got) == 4
+
+
+def test_long_prefixes_stay_whole(spark):
+    from foliospark.operators import metadata
+    name = "p" * 2000
+    texts = spark.createDataFrame([("x", f"namespace.prefix.{name}=uri")], "extractor string, text string")
+    assert metadata.parse_mapping(texts)[1].first().prefix == name
