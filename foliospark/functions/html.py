@@ -7,6 +7,8 @@ pattern runs in one pass over the text even when tags stay unclosed.
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
 from itertools import count
 
 from pyspark.sql import Column, functions as F
@@ -23,9 +25,10 @@ MARKS = "[\ufdd0-\ufdef]"
 
 BLOCK_TAGS = ("address|article|aside|body|center|dd|details|div|dl|dt|fieldset|figcaption|figure|footer|form|"
               "header|html|main|nav|ol|p|section|summary|table|tbody|tfoot|thead|ul")
-_ATTRS = r"(?:\s[^>]*)?"
+# Up to the next tag at most: a tag that is never closed is not searched to the end of the page.
+_ATTRS = r"(?:\s[^<>]*)?"
 
-# Named character references.
+# The usual character references, tried before all others.
 ENTITIES = {
     "nbsp": "\u00a0", "lt": "<", "gt": ">", "amp": "&", "quot": '"', "apos": "'",
     "copy": "©", "reg": "®", "trade": "™", "middot": "·", "bull": "•", "hellip": "…",
@@ -53,16 +56,23 @@ def _drop(tag: str) -> tuple[str, str]:
 def _glyph(name: Column) -> Column:
     """The character behind a reference (name, #decimal or #xhex); unknown ones stay as written."""
     hexadecimal = F.lower(F.substring(name, 2, 1)) == "x"
-    number = F.when(hexadecimal, F.conv(F.substring(name, 3, 6), 16, 10)).otherwise(
-        F.substring(name, 2, 7)).try_cast("bigint")
+    digits = F.regexp_replace(name, "^#[xX]?0*", "")
+    number = F.when(F.length(digits) > 7, F.lit(None)).when(hexadecimal, F.conv(digits, 16, 10)).otherwise(
+        digits).try_cast("bigint")
     valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
     numeric = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
     return F.when(F.startswith(name, F.lit("#")), numeric).otherwise(
-        F.coalesce(lookup(ENTITIES, name), F.concat(F.lit("&"), name, F.lit(";"))))
+        F.coalesce(lookup(ENTITIES, name), _all_entities()[name], F.concat(F.lit("&"), name, F.lit(";"))))
+
+
+def _all_entities() -> Column:
+    """Every name of the HTML standard; one literal, folded to a map before the query runs."""
+    names = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
+    return F.from_json(F.lit(json.dumps(names)), "map<string,string>")
 
 
 def decode_entities(text: Column) -> Column:
-    pattern = r"&(#[xX][0-9A-Fa-f]{1,6}|#[0-9]{1,7}|[a-zA-Z]{2,8});"
+    pattern = r"&(#[xX][0-9A-Fa-f]+|#[0-9]+|[a-zA-Z][a-zA-Z0-9]{1,31});"
     return let(text, lambda t: F.when(F.contains(t, F.lit("&")), replace_each(t, pattern, _glyph)).otherwise(t))
 
 
@@ -102,17 +112,18 @@ def block_pieces(html: Column) -> Column:
 
 def link_pieces(html: Column) -> Column:
     """Links as ``array<struct<href, text>>`` in text order; anchors without href are left out."""
-    opened = F.regexp_replace(without_code(html), r"(?i)<a(\s[^>]*)>", f"{CUT}$1{LINE}")
+    opened = F.regexp_replace(without_code(html), r"(?i)<a(\s[^<>]*)>", f"{CUT}$1{LINE}")
 
     def link(piece: Column) -> Column:
         attributes = F.substring_index(piece, LINE, 1)
         inner = F.regexp_replace(F.substring_index(piece, LINE, -1), r"(?is)</a\s*>.*\z", "")
         quoted = F.regexp_extract(attributes, r"""(?is)\shref\s*=\s*(?:"([^"]*)"|'[^']*')""", 1)
         single = F.regexp_extract(attributes, r"""(?is)\shref\s*=\s*'([^']*)'""", 1)
+        bare = F.regexp_extract(attributes, r"""(?is)\shref\s*=\s*([^\s"']\S*)""", 1)
         return F.struct(
-            decode_entities(F.concat(quoted, single)).alias("href"),
-            squeeze(decode_entities(_sub(inner, (r"<[^>]*>", " ")))).alias("text"),
-            F.regexp_like(attributes, F.lit(r"(?is)\shref\s*=\s*[\"']")).alias("linked"),
+            decode_entities(F.concat(quoted, single, bare)).alias("href"),
+            squeeze(decode_entities(_sub(inner, (r"<[^<>]*>", " ")))).alias("text"),
+            F.regexp_like(attributes, F.lit(r"(?is)\shref\s*=\s*\S")).alias("linked"),
         )
 
     pieces = F.split(opened, CUT)
@@ -193,7 +204,7 @@ def _inline(html: Column) -> Column:
     strong = (rf"(?i)<(?:b|strong){_ATTRS}>([^<]*)</(?:b|strong)\s*>", f"{BOLD}$1{BOLD_END}")
     emphasis = (rf"(?i)<(?:i|em){_ATTRS}>([^<]*)</(?:i|em)\s*>", f"{ITALIC}$1{ITALIC_END}")
     code = (rf"(?i)<code{_ATTRS}>([^<]*)</code\s*>", f"{CODE}$1{CODE}")
-    link = (r"""(?i)<a(?:\s[^>]*)?\shref\s*=\s*["']([^"'>]*)["'][^>]*>([^<]*)</a\s*>""",
+    link = (r"""(?i)<a(?:\s[^<>]*)?\shref\s*=\s*["']([^"'<>]*)["'][^<>]*>([^<]*)</a\s*>""",
             f"{LINK}$2{LINK_MID}$1{LINK_END}")
     broken = F.regexp_replace(html, r"(?i)<br\s*/?\s*>", BREAK)
     return let(broken, lambda h: F.when(

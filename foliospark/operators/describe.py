@@ -144,36 +144,51 @@ def offline_language(docs: DataFrame, stopwords: dict[str, list[str]] | None = N
                        (-F.col("best.minus")).alias("hits"))
 
 
-def _long_words(sentences: DataFrame, text: str, *keys: str) -> DataFrame:
-    """Rows (keys, word) for the words that count."""
-    return sentences.select(*keys, F.explode(F.split(F.lower(text), WORD_BREAK)).alias("word")).filter(
-        F.length("word") >= MIN_LETTERS)
+def _word_counts(text: Column) -> Column:
+    """``array<struct<word, tf, places>>`` of one text: words that count, how often, and the sentence of each time."""
+    sentences = F.split(F.lower(text), SENTENCE_BREAK)
+    placed = F.flatten(F.transform(sentences, lambda sentence, pos: F.transform(
+        F.filter(F.split(sentence, WORD_BREAK), lambda w: F.length(w) >= MIN_LETTERS),
+        lambda w: F.struct(w.alias("word"), pos.alias("pos")))))
+
+    def lasts(words: Column) -> Column:
+        """Of each stretch of equal words in sorted order the last index."""
+        ends = F.transform(words, lambda x, i: F.struct(
+            x["word"].alias("word"), i.alias("i"), F.get(words, i + 1)["word"].alias("next")))
+        return F.filter(ends, lambda x: x["next"].isNull() | (x["next"] != x["word"]))
+
+    def stretch(words: Column, ends: Column) -> Column:
+        def row(x: Column, k: Column) -> Column:
+            before = F.coalesce(F.get(ends, k - 1)["i"], F.lit(-1))
+            tf = x["i"] - before
+            places = F.transform(F.slice(words, before + 2, tf), lambda w: w["pos"])
+            return F.struct(x["word"].alias("word"), tf.cast("bigint").alias("tf"), places.alias("places"))
+        return F.transform(ends, row)
+
+    return let(F.sort_array(placed), lambda words: let(lasts(words), lambda ends: stretch(words, ends)))
 
 
 def word_scores(docs: DataFrame, places: bool = False) -> DataFrame:
-    """TF-IDF of each (document, word); ``places`` adds the sentences the word stands in.
+    """TF-IDF of each (document, word); ``places`` adds the sentences the word stands in, once for each time.
 
-    Document counts of hot words come by broadcast (see ``HOT_WORDS``), so no
-    word sends more than 1/HOT_WORDS of the rows to one task; all other words
-    are joined by shuffle.
+    Words are counted inside the document's row; only the document counts of words are grouped. Counts of
+    hot words come by broadcast (see ``HOT_WORDS``), and their rows are dealt by document in the join of
+    all others, so no word sends more than 1/HOT_WORDS of the rows to one task.
     """
-    if places:
-        sentences = docs.select("doc_id", F.posexplode(F.split("text", SENTENCE_BREAK)).alias("pos", "sentence"))
-        per_doc = _long_words(sentences, "sentence", "doc_id", "pos").groupBy("doc_id", "word").agg(F.count("*").alias("tf"), F.collect_list("pos").alias("places"))
-    else:
-        per_doc = _long_words(docs, "text", "doc_id").groupBy("doc_id", "word").agg(F.count("*").alias("tf"))
-    # Both conditions keep the plan of per_doc the same in all branches, which then share its one shuffle.
-    per_doc = per_doc.filter("word is not null")
-    counts = per_doc.groupBy("word").agg(F.count_if(F.col("tf") > 0).alias("df"))
+    columns = ["word", "tf", "places"] if places else ["word", "tf"]
+    per_doc = docs.select("doc_id", F.inline(_word_counts(F.col("text")))).select("doc_id", *columns)
+    counts = per_doc.groupBy("word").agg(F.count("*").alias("df"))
     n_docs = docs.select(F.count("*").alias("n")).scalar()
     share = counts.select((F.sum("df") / HOT_WORDS).alias("share")).scalar()
-    hot = counts.filter(F.col("df") > share)
-    cold = counts.filter(F.col("df") <= share)
-    # An outer join, not an anti join: that one would be pushed below the shuffle and undo the sharing.
+    hot = counts.filter(F.col("df") > share).withColumnRenamed("df", "hot_df")
+    cold = counts.filter(F.col("df") <= share).withColumnsRenamed({"word": "key"})
     marked = per_doc.join(F.broadcast(hot), "word", "left")
-    scored = union_by("doc_id", marked.filter("df is not null"),
-                      marked.filter("df is null").drop("df").join(cold, "word"))
-    return scored.withColumn("score", F.round(F.col("tf") * F.log((n_docs + 1) / (F.col("df") + 1)), 6))
+    # A blank is in no word, so the key of a hot row meets none of the others.
+    key = F.when(F.col("hot_df").isNull(), F.col("word")).otherwise(F.concat(F.lit(" "), F.col("doc_id").cast("string")))
+    scored = marked.withColumn("key", key).join(cold, "key", "left")
+    df = F.coalesce("hot_df", "df")
+    return scored.select("doc_id", *columns, df.alias("df"),
+                         F.round(F.col("tf") * F.log((n_docs + 1) / (df + 1)), 6).alias("score"))
 
 
 def offline_tags(docs: DataFrame, k: int = 10) -> DataFrame:
@@ -184,7 +199,7 @@ def offline_tags(docs: DataFrame, k: int = 10) -> DataFrame:
 
 
 def offline_description(docs: DataFrame, n: int = 3) -> DataFrame:
-    """The n sentences with the highest mean TF-IDF, in text order."""
+    """The n sentences with the highest mean TF-IDF, in text order; null for a text without words that count."""
     by_sentence = word_scores(docs, places=True).select("doc_id", F.explode("places").alias("pos"), "score").groupBy(
         "doc_id", "pos").agg(F.round(F.avg("score"), 6).alias("score"))
     w = Window.partitionBy("doc_id").orderBy(F.desc("score"), "pos")
@@ -192,4 +207,4 @@ def offline_description(docs: DataFrame, n: int = 3) -> DataFrame:
     chosen = best.groupBy("doc_id").agg(F.array_sort(F.collect_list("pos")).alias("chosen"))
     parts = F.split("text", SENTENCE_BREAK)
     text = let(parts, lambda s: F.array_join(F.transform(F.col("chosen"), lambda p: squeeze(F.get(s, p))), ". "))
-    return docs.join(chosen, "doc_id").select("doc_id", text.alias("description"))
+    return docs.join(chosen, "doc_id", "left").select("doc_id", text.alias("description"))

@@ -23,8 +23,13 @@ def last_of_each_key(rows: DataFrame) -> DataFrame:
 
 
 def guard_doctype(docs: DataFrame, text: str = "xml") -> DataFrame:
-    """Status error for every text with a DOCTYPE; such texts must not be parsed."""
-    found = F.regexp_like(text, F.lit("(?i)<!DOCTYPE"))
+    """Status error for every text with a DOCTYPE; such texts must not be parsed.
+
+    Within comments, CDATA sections and processing instructions the word is text like any other.
+    """
+    declared = F.regexp_replace(
+        text, r"(?s)<!--.*?(?:-->|\z)|<!\[CDATA\[.*?(?:\]\]>|\z)|<\?.*?(?:\?>|\z)", "")
+    found = F.regexp_like(declared, F.lit("(?i)<!DOCTYPE"))
     return docs.withColumn("status", F.when(found, "error").otherwise("ok")).withColumn(
         "error", F.when(found, "DOCTYPE is not allowed"))
 

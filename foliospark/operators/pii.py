@@ -15,12 +15,9 @@ from foliospark import values
 from foliospark.functions import spans as S
 from foliospark.functions.arrays import let
 from foliospark.functions.text import csv_items
-from foliospark.session import broadcast_limit, estimated_bytes
 
 RECOGNIZER_SCHEMA = ("entity_type string, pattern string, run string, needle string, score double, "
                      "validator string")
-# Tasks a single name is spread over when names are joined by shuffle.
-SALTS = 16
 WORD = r"[\p{L}'’-]+"
 
 
@@ -208,36 +205,35 @@ def join_pages(pages: DataFrame, sep: str = "\f") -> DataFrame:
         F.array_join(F.transform(ordered, lambda p: p["text"]), sep).alias("text"))
 
 
-def detect_names(pages: DataFrame, names: DataFrame, max_words: int = 3,
-                 score: float = values.PERSON_SCORE) -> DataFrame:
-    """PERSON spans by dictionary: runs of 1 to ``max_words`` words looked up in ``names(name)``.
+def detect_names(pages: DataFrame, names: DataFrame, score: float = values.PERSON_SCORE) -> DataFrame:
+    """PERSON spans by dictionary, ``names(name)``; a name is one word or any number of words parted by single blanks.
 
-    Catalyst broadcasts ``names`` while it is small and joins by shuffle, salted,
-    beyond that; only keys, positions and word runs take part, not page texts.
+    Each word of a page first meets the first words of all names, which say how many words their names
+    have; only runs of such a length are then looked up whole. Catalyst broadcasts both tables while they
+    are small and joins by shuffle beyond that, where adaptive execution splits skewed words. Positions and
+    runs as long as the longest name take part, not page texts. Other entries of ``names`` match nothing.
     """
+    known = names.select(F.col("name").alias("matched")).filter(
+        F.regexp_like("matched", F.lit(rf"^{WORD}(?: {WORD})*$"))).distinct()
+    n_words = F.size(F.split("matched", " "))
+    most = known.select(F.coalesce(F.max(n_words), F.lit(1)).alias("n")).scalar()
     text = F.col("text")
     found = pages.select("doc_id", "page_no", let(text, lambda t: let(
         F.regexp_extract_all(t, F.lit(WORD), F.lit(0)), lambda w: F.struct(
-            w.alias("words"), F.split(t, WORD).alias("gaps"),
+            w.alias("words"), F.transform(F.split(t, WORD), lambda gap: gap == " ").alias("blank"),
             S.positions(t, F.lit(WORD), w).alias("starts")))).alias("t"))
     at = found.select("doc_id", "page_no", "t", F.posexplode("t.starts").alias("i", "start"))
 
-    # Word runs are built after the words have become rows: compiled code, one row at a time.
-    runs, joined = [], F.lit(True)
-    for n in range(1, max_words + 1):
-        joined = joined & (F.get("t.gaps", F.col("i") + n - 1) == " ") if n > 1 else joined
-        word_run = F.concat_ws(" ", *[F.get("t.words", F.col("i") + k) for k in range(n)])
-        runs.append(F.when(joined & (F.col("i") + n <= F.size("t.words")), word_run))
-    grams = at.select("doc_id", "page_no", "start", F.explode(F.array(*runs)).alias("matched")).filter(
-        "matched is not null")
-    known = names.select(F.col("name").alias("matched")).distinct()
-    keys = ["matched"]
-    if estimated_bytes(names) > broadcast_limit(names.sparkSession):
-        # Joined by shuffle: a name that every page holds is spread over several tasks.
-        known = known.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        grams = grams.withColumn("_salt", F.pmod(F.hash("doc_id", "page_no", "start"), F.lit(SALTS)))
-        keys.append("_salt")
-    return grams.join(known, keys).select(
+    # A run ends before the first gap that is not a single blank.
+    broken = F.array_position(F.slice("t.blank", F.col("i") + 2, most - 1), F.lit(False)).cast("int")
+    run = F.slice("t.words", F.col("i") + 1, F.when(broken == 0, most).otherwise(broken))
+    runs = at.select("doc_id", "page_no", "start", F.get("t.words", F.col("i")).alias("first"), run.alias("run"))
+    firsts = known.groupBy(F.substring_index("matched", " ", 1).alias("first")).agg(
+        F.collect_set(n_words).alias("sizes"))
+    grams = runs.join(firsts, "first").select(
+        "doc_id", "page_no", "start", "run", F.explode("sizes").alias("n")).filter(F.col("n") <= F.size("run")).select(
+        "doc_id", "page_no", "start", F.array_join(F.slice("run", F.lit(1), F.col("n")), " ").alias("matched"))
+    return grams.join(known, "matched").select(
         "doc_id", "page_no",
         F.lit("PERSON").alias("entity_type"),
         "start",

@@ -79,7 +79,7 @@ def route(requests: DataFrame, registry: DataFrame) -> DataFrame:
     Chosen is a transformer with this source and target, room for ``size`` and
     all requested options; of several the one with the fewest other options,
     then the first by name. Requests without one keep their row with status
-    unsupported, too_large or bad_option.
+    unsupported, unknown_size (null where every candidate has a limit), too_large or bad_option.
     """
     asked = F.coalesce(F.map_keys("options"), F.array().cast("array<string>"))
     joined = requests.withColumn("target_mime", one_target(F.col("target_mime"))).join(
@@ -90,6 +90,7 @@ def route(requests: DataFrame, registry: DataFrame) -> DataFrame:
         (F.size(c["options"]) - F.size(asked)).alias("extra"), c["transformer"].alias("transformer"))))
     chosen = fitting.withColumn("_best", best)
     status = (F.when(F.col("_candidates").isNull(), "unsupported")
+               .when((F.size("_fitting") == 0) & F.col("size").isNull(), "unknown_size")
                .when(F.size("_fitting") == 0, "too_large")
                .when(F.col("_best").isNull(), "bad_option")
                .otherwise("ok"))

@@ -14,14 +14,14 @@ RESULT = "content binary, status string, exit_code int, log string, seconds doub
 
 
 def run_tool(docs: DataFrame, command: list[str] | Column, in_ext: str | Column = ".bin",
-             out_name: str | Column = "output", timeout: float = 600.0, parallel: int | None = None,
+             out_name: str | Column = "output", timeout: float | None = None, parallel: int | None = None,
              keep: tuple[str, ...] = ()) -> DataFrame:
     """Run a command once per document.
 
     ``{input}``, ``{output}`` and ``{dir}`` in the command stand for the input
     file, the expected output file and the fresh folder of that document. The
     command is started without a shell. A non-zero exit, a missing or empty
-    output and a timeout are rows with status error or timeout and the tool's
+    output and a timeout (none unless given, in seconds) are rows with status error or timeout and the tool's
     log. ``out_name`` may be a pattern such as ``*.txt``: then ``<stem of the
     input>`` is preferred, else the first match by name is taken. Columns
     named in ``keep`` come through unchanged.
@@ -175,7 +175,7 @@ _NAMES = {
 }
 
 
-def convert(docs: DataFrame, tool: str, timeout: float = 600.0, parallel: int | None = None,
+def convert(docs: DataFrame, tool: str, timeout: float | None = None, parallel: int | None = None,
             keep: tuple[str, ...] = (), **paths) -> DataFrame:
     """``run_tool`` with the command and file names of a known tool."""
     before, after = _NAMES[tool]

@@ -280,7 +280,7 @@ grams AS (
     ON a.doc_id = b.doc_id AND a.page_no = b.page_no AND b.i = a.i + 1 AND b.gap = ' '),
 names AS (SELECT DISTINCT unnest([regexp_extract(text, '^(\\p{{L}}+ \\p{{L}}+)', 1), regexp_extract(text, '^(\\p{{L}}+)', 1)]) AS name FROM conversations)"""
 
-_TURN = "conv_id * 1000 + turn"
+_TURN = "conv_id || '-' || turn"
 _EML_DATE = "'Thu Jan 01 10:00:' || lpad((turn % 60)::VARCHAR, 2, '0') || ' UTC 2026'"
 _MD_EMAIL = ("'# ' || {s} || chr(10) || chr(10) || '**From:** ' || {f} || chr(10) || chr(10) || '**To:** ' || {t} || chr(10) || chr(10) "
              "|| '**Date:** ' || {d} || chr(10) || chr(10) || '---' || chr(10) || chr(10) || {b} || chr(10)")
@@ -454,10 +454,13 @@ def _statements() -> dict[str, str]:
       seen AS (SELECT DISTINCT doc_id, pos, word FROM tokens WHERE length(word) >= 4),
       means AS (SELECT t.doc_id, t.pos, round(avg(score), 6) AS score FROM tokens t JOIN scored USING (doc_id, word) GROUP BY ALL),
       best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, pos) AS r FROM means) WHERE r <= 3)
-      SELECT doc_id, string_agg({squeeze('sentence')}, '. ' ORDER BY pos) AS description FROM best JOIN sentences USING (doc_id, pos) GROUP BY doc_id"""
+      SELECT d.doc_id, description FROM documents d LEFT JOIN (SELECT doc_id, string_agg({squeeze('sentence')}, '. ' ORDER BY pos) AS description
+        FROM best JOIN sentences USING (doc_id, pos) GROUP BY doc_id) USING (doc_id)"""
 
     s["m1_xml_top_level"] = f"""SELECT {_TURN} AS doc_id, unnest(['title', 'author', 'body']) AS key,
       unnest([role, role, {trim("text || 'end'")}]) AS value FROM conversations WHERE conv_id % 10 > 0"""
+    s["s7_one_row_per_document"] = f"""SELECT {_TURN} AS doc_id, 'ok' AS status,
+      CASE turn % 3 WHEN 0 THEN '{{"cm:title":"' || role || '"}}' ELSE '{{}}' END AS metadata_json FROM conversations"""
     s["m2_guard_doctype"] = f"""SELECT {_TURN} AS doc_id, CASE WHEN conv_id % 10 = 0 THEN 'error' ELSE 'ok' END AS status,
       CASE WHEN conv_id % 10 = 0 THEN 'DOCTYPE is not allowed' END AS error FROM conversations"""
     s["m3_xlsx_metadata"] = f"""SELECT doc_id, unnest(['excel.author', 'excel.description', 'excel.keywords', 'excel.revision']) AS key,

@@ -9,6 +9,7 @@ missing the documents come back with status error.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -41,22 +42,22 @@ def md2html(docs: DataFrame) -> DataFrame:
     return _text_result(docs, M.standalone(fragment, F.col("doc_id").cast("string")))
 
 
-def by_tool(tool: str, **paths) -> Callable[[DataFrame], DataFrame]:
-    """A transform that runs a known external tool."""
+def by_tool(tool: str, timeout: float | None = None, **paths) -> Callable[[DataFrame], DataFrame]:
+    """A transform that runs a known external tool; ``timeout`` in seconds for each document, none by default."""
     def run(docs: DataFrame) -> DataFrame:
         typed = docs if "warnings" in docs.columns else resolve_options(docs)
-        return tools.convert(typed, tool, keep=("target_mime",), **paths).select(
+        return tools.convert(typed, tool, timeout, keep=("target_mime",), **paths).select(
             "doc_id", "target_mime", "content", "status", F.when(F.col("status") != "ok", F.col("log")).alias("error"))
     return run
 
 
-def msg(docs: DataFrame) -> DataFrame:
+def msg(docs: DataFrame, timeout: float | None = None) -> DataFrame:
     """E-mail to PDF: parsed and laid out as Markdown here, rendered by the tool."""
     eml = docs.filter(F.col("source_mime") == values.EML)
     parsed = parsers.parse_eml(eml)
     markdown = convert.email_to_markdown(parsed.filter(F.col("status") == "ok"))
     pages = markdown.select("doc_id", F.encode("markdown", "UTF-8").alias("content"))
-    done = tools.convert(pages, "msg").select(
+    done = tools.convert(pages, "msg", timeout).select(
         "doc_id", F.lit(values.PDF).alias("target_mime"), "content", "status",
         F.when(F.col("status") != "ok", F.col("log")).alias("error"))
     binary = docs.filter(F.col("source_mime") != values.EML).select(
@@ -95,7 +96,7 @@ def _for_every(docs: DataFrame, results: DataFrame) -> DataFrame:
 
 
 def xmlextract(docs: DataFrame) -> DataFrame:
-    rows = parsers.parse_xml(docs.select("doc_id", decode_utf8(F.col("content")).alias("xml")))
+    rows = parsers.parse_xml(docs, "content")
     found = metadata_result(metadata.last_of_each_key(rows.filter("status = 'ok'")), "xml")
     return _for_every(docs, _with_failures(found, rows))
 
@@ -106,14 +107,14 @@ def excelextract(docs: DataFrame) -> DataFrame:
     return _for_every(docs, _with_failures(found, rows))
 
 
-def pdf_text(docs: DataFrame, command: list[str] | None = None) -> DataFrame:
+def pdf_text(docs: DataFrame, command: list[str] | None = None, timeout: float | None = None) -> DataFrame:
     """Text of PDF files by an external tool; pages end with a form feed."""
-    done = tools.run_tool(docs, command or ["pdftotext", "-enc", "UTF-8", "{input}", "{output}"], ".pdf", "output.txt")
+    done = tools.run_tool(docs, command or ["pdftotext", "-enc", "UTF-8", "{input}", "{output}"], ".pdf", "output.txt", timeout)
     return done.select("doc_id", decode_utf8(F.col("content")).alias("text"), "status", F.col("log").alias("error"))
 
 
-def pdf_pii_metadata(docs: DataFrame) -> DataFrame:
-    texts = pdf_text(docs)
+def pdf_pii_metadata(docs: DataFrame, timeout: float | None = None) -> DataFrame:
+    texts = pdf_text(docs, timeout=timeout)
     summary = pii.summarise_documents(texts.filter("status = 'ok'").select("doc_id", "text"))
     return _for_every(docs, _with_failures(metadata_result(pii.pii_metadata(summary), "pii"), texts))
 
@@ -144,16 +145,17 @@ def describe_offline(texts: DataFrame) -> DataFrame:
         rows(describe.offline_language(texts), "ai.locale", "language")).filter("value is not null")
 
 
-def builtin_transforms(scripts: dict[str, str] | None = None) -> dict[str, Callable[[DataFrame], DataFrame]]:
+def builtin_transforms(scripts: dict[str, str] | None = None,
+                       timeout: float | None = None) -> dict[str, Callable[[DataFrame], DataFrame]]:
     """All registered transformers by name. ``scripts`` gives the paths of the
-    Python scripts behind pdf2docx, convert2md and pii."""
+    Python scripts behind pdf2docx, convert2md and pii; ``timeout`` bounds the
+    seconds an external program may take for a document."""
     table = {
-        "html2md": html2md, "md2html": md2html, "msg": msg, "xmlextract": xmlextract,
-        "excelextract": excelextract, "pdf-pii-metadata": pdf_pii_metadata, "ai-metadata": ai_metadata,
-        "md2doc": by_tool("md2doc"), "markdown": by_tool("markdown"), "ocr": by_tool("ocr"),
-        "whisper": by_tool("whisper"), "videothumb": by_tool("videothumb"), "heic": by_tool("heic"),
+        "html2md": html2md, "md2html": md2html, "msg": partial(msg, timeout=timeout), "xmlextract": xmlextract,
+        "excelextract": excelextract, "pdf-pii-metadata": partial(pdf_pii_metadata, timeout=timeout), "ai-metadata": ai_metadata,
+        **{tool: by_tool(tool, timeout) for tool in ("md2doc", "markdown", "ocr", "whisper", "videothumb", "heic")},
     }
     for name, tool in (("pdf2docx", "pdf2docx"), ("convert2md", "convert2md"), ("pdf-pii-redaction", "pii")):
         if scripts and tool in scripts:
-            table[name] = by_tool(tool, script=scripts[tool])
+            table[name] = by_tool(tool, timeout, script=scripts[tool])
     return table

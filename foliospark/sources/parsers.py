@@ -98,17 +98,21 @@ def parse_eml(docs: DataFrame, column: str = "content", deep: bool = False) -> D
 def parse_xml(docs: DataFrame, column: str = "xml") -> DataFrame:
     """Children of the root element as long rows: local name and all text below, untrimmed.
 
-    A text with a DOCTYPE is refused before it is parsed; refused and broken
+    Binary files are read in the encoding they declare. A text with a DOCTYPE is refused before it is parsed; refused and broken
     texts keep one row with status error.
     """
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xml.etree.ElementTree as tree
 
+        class Guarded(tree.TreeBuilder):
+            def doctype(self, *_):
+                raise ValueError("DOCTYPE is not allowed")
+
         def rows(doc_id, text, status, error):
             if status != "ok":
                 return [(doc_id, None, None, None, status, error)]
             try:
-                root = tree.fromstring(text)
+                root = tree.fromstring(text, tree.XMLParser(target=Guarded()))
                 found = [(doc_id, i, child.tag.rpartition("}")[2], "".join(child.itertext()), "ok", None)
                          for i, child in enumerate(c for c in root if isinstance(c.tag, str))]
                 return found or [(doc_id, None, None, None, "ok", None)]
@@ -122,7 +126,11 @@ def parse_xml(docs: DataFrame, column: str = "xml") -> DataFrame:
             out["pos"] = out["pos"].astype("Int32")
             yield out
 
-    guarded = guard_doctype(docs.select("doc_id", F.col(column).alias("xml")))
+    slim = docs.select("doc_id", F.col(column).alias("xml"))
+    if slim.schema["xml"].dataType.simpleString() == "binary":
+        guarded = slim.withColumns({"status": F.lit("ok"), "error": F.lit(None).cast("string")})
+    else:
+        guarded = guard_doctype(slim)
     checked = guarded.withColumn("xml", F.when(F.col("status") == "ok", F.col("xml")))
     return checked.mapInPandas(parse, f"doc_id {_key_type(docs)}, {LONG}")
 
@@ -145,20 +153,33 @@ def read_xlsx_properties(docs: DataFrame, min_inflate_ratio: float = 0.001) -> D
             "lastModifiedBy": "excel.lastModifiedByUser", "revision": "excel.revision",
         }
 
+        class Guarded(tree.TreeBuilder):
+            def doctype(self, *_):
+                raise ValueError("DOCTYPE is not allowed")
+
+        def part(archive, name):
+            info = archive.getinfo(name)
+            if info.file_size and info.compress_size / info.file_size < min_inflate_ratio:
+                raise ValueError("compression ratio beyond the limit")
+            return tree.fromstring(archive.read(info), tree.XMLParser(target=Guarded()))
+
+        def core_part(archive, names):
+            """The package relationship says which part holds the core properties."""
+            if "_rels/.rels" in names:
+                for link in part(archive, "_rels/.rels"):
+                    if link.get("Type", "").endswith("/metadata/core-properties"):
+                        return link.get("Target", "").lstrip("/")
+            return "docProps/core.xml"
+
         def properties(content):
             with zipfile.ZipFile(io.BytesIO(content)) as archive:
                 names = set(archive.namelist())
                 if "xl/workbook.xml" not in names:
                     raise ValueError("not an XLSX or XLSM workbook")
-                if "docProps/core.xml" not in names:
+                core = core_part(archive, names)
+                if core not in names:
                     return []
-                info = archive.getinfo("docProps/core.xml")
-                if info.file_size and info.compress_size / info.file_size < min_inflate_ratio:
-                    raise ValueError("compression ratio beyond the limit")
-                data = archive.read(info)
-            if b"<!DOCTYPE" in data:
-                raise ValueError("DOCTYPE is not allowed")
-            root = tree.fromstring(data)
+                root = part(archive, core)
             return [(keys[name], "".join(child.itertext())) for child in root
                     if (name := child.tag.rpartition("}")[2]) in keys]
 

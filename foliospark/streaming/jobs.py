@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from foliospark import values
-from foliospark.functions.formats import queue_of
 from foliospark.operators import metadata, pii
 from foliospark.operators.routing import route
 from foliospark.sources.files import stream_documents
@@ -26,9 +25,8 @@ def stream_transform(spark: SparkSession, in_dir: str, out_dir: str, checkpoint:
     is repeated after a failure replaces its own output and nothing else.
     Requests that were not routed go to ``rejected`` with their status.
     """
-    queues = {row["name"]: row["queue"] for row in spark.createDataFrame(
-        [(name,) for name in transforms], "name string").select(
-        "name", queue_of(F.col("name")).alias("queue")).collect()}
+    engines = {name: engine for name, engine, *_ in values.TRANSFORMERS}
+    queues = {name: engines.get(name, name) + values.QUEUE_SUFFIX for name in transforms}
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         routed = route(request(batch), registry).persist(StorageLevel.MEMORY_AND_DISK)

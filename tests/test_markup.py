@@ -105,3 +105,21 @@ def test_email_body(spark):
     parts = spark.createDataFrame(rows, "doc_id int, part_no int, content_type string, content string")
     got = {r.doc_id: r.body for r in convert.email_body(parts).collect()}
     assert got == {1: "", 2: "only", 3: "p1", 4: "h2", 5: "", 6: "a,b"}
+
+
+def test_unclosed_tags_take_linear_time(spark):
+    import time
+
+    page = spark.range(1).select(F.lit(1).alias("page_id"), F.repeat(F.lit("<p x <a y <td "), 70_000).alias("html"))
+    page.count()
+    for operator in (convert.html_text, convert.html_to_markdown, convert.html_blocks, convert.html_links):
+        started = time.monotonic()
+        operator(page).collect()
+        assert time.monotonic() - started < 20, operator.__name__
+
+
+def test_all_references_and_unquoted_links(spark):
+    page = spark.createDataFrame([(1, "<a class=x href=/a?b=1>Caf&eacute;</a> &NotEqualTilde; &#x1F600; &#00000233; &nosuch; &#x110000;")],
+                                 "page_id int, html string")
+    assert convert.html_text(page).first().text == "Café ≂̸ 😀 é &nosuch; \ufffd"
+    assert [(r.href, r.text) for r in convert.html_links(page).collect()] == [("/a?b=1", "Café")]

@@ -169,3 +169,15 @@ def test_long_prefixes_stay_whole(spark):
     name = "p" * 2000
     texts = spark.createDataFrame([("x", f"namespace.prefix.{name}=uri")], "extractor string, text string")
     assert metadata.parse_mapping(texts)[1].first().prefix == name
+
+
+def test_xml_in_its_declared_encoding_and_words_that_are_no_doctype(spark):
+    text = '<?xml version="1.0" encoding="ISO-8859-1"?><r><!-- <!DOCTYPE x> --><title>Caf\xe9 <![CDATA[<!DOCTYPE html>]]></title></r>'
+    rows = [(1, text.encode("latin-1")), (2, text.replace("ISO-8859-1", "UTF-16").encode("utf-16")),
+            (3, b"<!DOCTYPE r [<!ENTITY a 'b'>]><r><title>&a;</title></r>"), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, content binary")
+    got = {r.doc_id: (r.value, r.status) for r in parsers.parse_xml(docs, "content").collect()}
+    assert got[1] == got[2] == ("Caf\xe9 <!DOCTYPE html>", "ok")
+    assert got[3] == (None, "error") and got[4] == (None, "error")
+    texts = docs.filter("doc_id in (1, 3)").selectExpr("doc_id", "decode(content, 'ISO-8859-1') AS xml")
+    assert {r.doc_id: r.status for r in metadata.guard_doctype(texts).collect()} == {1: "ok", 3: "error"}

@@ -122,9 +122,9 @@ def test_names(spark):
     assert got == [(1, 3, 6, "Ana"), (1, 3, 12, "Ana Maria"), (1, 3, 18, "Ana Maria López"), (1, 20, 23, "Ana")]
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        salted = pii.detect_names(pages, names)
-        assert "_salt" in salted._jdf.queryExecution().analyzed().toString()
-        assert sorted((r.doc_id, r.start, r.end, r.matched) for r in salted.collect()) == got
+        joined = pii.detect_names(pages, names)
+        assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r.doc_id, r.start, r.end, r.matched) for r in joined.collect()) == got
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -173,3 +173,12 @@ def test_long_catalogue(spark):
                                    F.lit(1.0).alias("score"), F.lit(None).cast("string").alias("validator"))
     found = pii.detect_pii(spark.createDataFrame([(1, 0, "x")], PAGES), many).collect()
     assert {r.entity_type for r in found} == {f"X{k}" for k in range(300)}
+
+
+def test_names_of_any_length(spark):
+    pages = spark.createDataFrame([(1, 0, "Seen: Maria da Silva Santos, Maria da  Silva, maria da Silva Santos."), (2, 0, ""),
+                                   (3, 0, None)], "doc_id long, page_no int, text string")
+    names = spark.createDataFrame([("Maria da Silva Santos",), ("Maria da Silva",), ("Maria",), ("x 1",), (None,)], "name string")
+    got = sorted((r.doc_id, r.start, r.end, r.matched) for r in pii.detect_names(pages, names).collect())
+    assert got == [(1, 6, 11, "Maria"), (1, 6, 20, "Maria da Silva"), (1, 6, 27, "Maria da Silva Santos"), (1, 29, 34, "Maria")]
+    assert pii.detect_names(pages, names.limit(0)).count() == 0

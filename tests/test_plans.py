@@ -3,7 +3,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-from foliospark import session
 from foliospark.operators import convert, describe, metadata, pii, routing, tables
 from foliospark.plans import catalog
 
@@ -69,18 +68,10 @@ def test_no_cross_joins(spark, sf):
         assert "CartesianProduct" not in text and "NestedLoop" not in text, name
 
 
-def test_word_counts_share_one_shuffle(spark, sf, docs):
-    rows = describe.word_scores(docs.select("doc_id", "text"))
-    rows.collect()
-    text = rows._jdf.queryExecution().executedPlan().toString()
-    final = text[:text.index("== Initial Plan ==")] if text.startswith("Adaptive") else text
-    assert text.count("ReusedExchange") >= 2 and "CartesianProduct" not in final
-
-
-def test_spread_only_small_inputs(spark, docs, monkeypatch):
-    assert session.spread(docs).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    monkeypatch.setattr(session, "SPREAD_BYTES_PER_CORE", 10)
-    assert "Exchange" not in plan(session.spread(docs))
+def test_words_are_counted_inside_the_row(docs):
+    text = plan(describe.word_scores(docs.select("doc_id", "text")))
+    assert "hashpartitioning(doc_id" not in text and "CartesianProduct" not in text
+    assert all("text" not in line for line in text.splitlines() if "Exchange" in line)
 
 
 def test_grouping_a_union_gives_each_key_once(spark):
