@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 from foliospark.llm import pretokens, shared
 
 # Words kept with their ids by a Python worker; a full memory is emptied and filled anew.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
+# Tokens after which a batch of ids and decoded texts is handed on, so that only so much is held at a time.
+PIECE = 400_000
 
 
 class Automaton:
@@ -166,18 +168,6 @@ def compile(path: str) -> Automaton:  # noqa: A001
     return Automaton(pretokens.read(path))
 
 
-_encoders: dict[int, Encoder] = {}
-
-
-def _encoder(broadcast) -> Encoder:
-    """One encoder for each Python worker and automaton, so that known words outlive a task."""
-    key = id(broadcast.value)
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = broadcast.value.encoder()
-    return _encoders[key]
-
-
 def encode(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text",
            keep_ids: bool = True) -> DataFrame:
     """Each text's token ids and their decoded text.
@@ -192,14 +182,11 @@ def encode(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: s
     table = spark.sparkContext.broadcast(compile(path))
 
     def run(batches):
-        encoder = _encoder(table)
+        encoder = shared.worker_state(Encoder, table.value)  # known words outlive a task
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
             if keep_ids:
-                ids = [encoder.text(t.as_py()) for t in texts]
-                yield pa.record_batch([keys, pa.array(ids, pa.list_(pa.int32())),
-                                       pa.array([encoder.decode(i) for i in ids], pa.string())],
-                                      ["doc_id", "ids", "decoded"])
+                yield from pieces(encoder, keys, texts)
                 continue
             counts, first, second = [], [], []
             for text in texts:
@@ -211,6 +198,20 @@ def encode(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: s
                                    pa.array(second, pa.string())],
                                   ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
+    def pieces(encoder, keys, texts):
+        start, ids, decoded, held = 0, [], [], 0
+        for i, text in enumerate(texts, 1):
+            found = encoder.text(text.as_py())
+            decoded.append(encoder.decode(found))
+            ids.append(np.array(found, np.int32))
+            held += len(found)
+            if held >= PIECE or i == len(texts):
+                offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))
+                yield pa.record_batch([keys.slice(start, i - start), lists, pa.array(decoded, pa.string())],
+                                      ["doc_id", "ids", "decoded"])
+                start, ids, decoded, held = i, [], [], 0
+
     selected = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     kind = selected.schema["doc_id"].dataType.simpleString()
     rest = "ids array<int>, decoded string" if keep_ids else "n_tokens long, ids_sha256 string, decoded_sha256 string"

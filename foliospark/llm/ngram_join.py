@@ -94,17 +94,10 @@ def _text_key(text: str) -> bytes:
     return xxhash.xxh3_128_digest(text.encode())
 
 
-_shinglers: dict[int, Shingler] = {}
-
-
-def _shingler(n: int) -> Shingler:
-    return _shinglers.setdefault(n, Shingler(n))
-
-
 def signed(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
     """``doc_id, text_key, bands`` of every row."""
     def run(batches):
-        shingler = _shingler(n)
+        shingler = shared.worker_state(Shingler, n)
         for batch in batches:
             texts = [t.as_py() or "" for t in batch.column(1)]
             keys = [_text_key(t) for t in texts]
@@ -231,7 +224,7 @@ def _verified(docs: DataFrame, texts: DataFrame, placed: DataFrame, pairs: DataF
     bits = docs.sparkSession.sparkContext.broadcast(shared.id_filter(wanted, "rep"))
 
     def gather(batches):
-        shingler = _shingler(n)
+        shingler = shared.worker_state(Shingler, n)
         for batch in batches:
             part = batch.filter(pa.array(shared.in_filter(bits.value, batch.column(2).to_numpy(zero_copy_only=False))))
             texts = [t.as_py() or "" for t in part.column(1)]

@@ -37,6 +37,20 @@ def bytes_per_batch(spark: SparkSession, limit: int = 16 << 20) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(limit))
 
 
+_slot: list = []
+
+
+def worker_state(make, value):
+    """``make(value)``, kept by a Python worker between its tasks; ``value`` is a broadcast value or a number.
+
+    A worker keeps the latest one only: workers serve one stage after another, and what each would keep adds up.
+    """
+    if not (_slot and _slot[0] is make and (_slot[1] is value or (isinstance(value, int) and _slot[1] == value))):
+        _slot.clear()
+        _slot.extend((make, value, make(value)))
+    return _slot[2]
+
+
 def id_filter(ids: DataFrame, column: str) -> np.ndarray:
     """A bitmap of ``FILTER_BITS`` bits with the hash of each id set; false hits are possible, misses are not.
 

@@ -115,17 +115,6 @@ class Counter:
         return [sum(map(known.__getitem__, words)) for words in split]
 
 
-_counters: dict[int, Counter] = {}
-
-
-def _counter(broadcast) -> Counter:
-    key = id(broadcast.value)
-    if key not in _counters:
-        _counters.clear()
-        _counters[key] = Counter(broadcast.value)
-    return _counters[key]
-
-
 def count(docs: DataFrame, path: str, limit: int = 2048, id_column: str = "doc_id",
           text_column: str = "text") -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` of every row.
@@ -139,7 +128,7 @@ def count(docs: DataFrame, path: str, limit: int = 2048, id_column: str = "doc_i
     table = spark.sparkContext.broadcast(Ranks(pretokens.read(path)))
 
     def run(batches):
-        counter = _counter(table)
+        counter = shared.worker_state(Counter, table.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)

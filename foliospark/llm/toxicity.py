@@ -256,24 +256,13 @@ def fit_curve(model: Model, features: np.ndarray, toxic: np.ndarray, penalty: fl
     model.curve = weights
 
 
-_scorers: dict[int, Scorer] = {}
-
-
-def _scorer(broadcast) -> Scorer:
-    key = id(broadcast.value)
-    if key not in _scorers:
-        _scorers.clear()
-        _scorers[key] = Scorer(broadcast.value)
-    return _scorers[key]
-
-
 def featured(rows: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """Columns ``keep`` with ``whole, window, word``; one narrow stage."""
     held = rows.sparkSession.sparkContext.broadcast(model)
     selected = rows.select(*keep, "text")
 
     def run(batches):
-        scorer = _scorer(held)
+        scorer = shared.worker_state(Scorer, held.value)
         for batch in batches:
             found = np.array([scorer.features(t.as_py()) for t in batch.column(len(keep))]).reshape(-1, len(FEATURES))
             yield pa.record_batch([*batch.columns[:len(keep)], *(pa.array(c) for c in found.T)], [*keep, *FEATURES])
@@ -310,7 +299,7 @@ def ordinary_documents(docs: DataFrame, model: Model) -> DataFrame:
     place = docs.columns.index("text")
 
     def run(batches):
-        scorer = _scorer(held)
+        scorer = shared.worker_state(Scorer, held.value)
         for batch in batches:
             found = np.array([scorer.features(t.as_py()) for t in batch.column(place)]).reshape(-1, len(FEATURES))
             yield batch.filter(pa.array(held.value.score(found) < 0.5))
