@@ -21,6 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from foliospark.llm import shared
 from foliospark.llm.components import components
@@ -271,25 +272,27 @@ def _unpacked(row: dict, prefix: str) -> tuple[np.ndarray, np.ndarray, list[np.n
 
 
 def kept_documents(docs: DataFrame, n: int = WORDS, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """One document of each class, in its own columns; of rows that share a kept id and text one stays.
+    """One document of each class, in its own columns, whatever they are called.
 
+    Of rows that share a kept id and text one stays; rows that share a kept id but not the text all stay.
     Only documents that a fixed-size filter of removed (or repeated) ids may hold are shuffled.
     """
     spark = docs.sparkSession
     judged = shared.stored(join(docs, n, threshold, recall), "classes")
     odd = judged.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
         F.bool_or("kept").alias("kept"), F.count(F.lit(1)).alias("rows")).where("NOT kept OR rows > 1")
-    odd = shared.stored(odd, "removed")
-    bits = spark.sparkContext.broadcast(shared.id_filter(odd, "doc_id"))
+    odd = shared.stored(odd.select(F.col("doc_id").alias("id"), "kept"), "removed")
+    bits = spark.sparkContext.broadcast(shared.id_filter(odd, "id"))
+    rows = docs.select(F.struct("*").alias("row"), shared.filter_position(F.col("doc_id")).alias("at"))
 
     def part(inside: bool):
         def run(batches):
             for batch in batches:
-                hit = shared.in_filter(bits.value, batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False))
-                yield batch.filter(pa.array(hit == inside)).select(list(range(batch.num_columns - 1)))
-        return docs.withColumn("_at", shared.filter_position(F.col("doc_id"))).mapInArrow(run, docs.schema)
-
-    doubtful = part(True).join(odd.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"), "left")
-    once = doubtful.where("_id IS NULL")
-    repeated = doubtful.where("kept").dropDuplicates(["doc_id"])
-    return part(False).unionByName(once.select(docs.columns)).unionByName(repeated.select(docs.columns))
+                hit = shared.in_filter(bits.value, batch.column(1).to_numpy(zero_copy_only=False))
+                yield batch.filter(pa.array(hit == inside)).select([0])
+        return rows.mapInArrow(run, StructType([StructField("row", docs.schema)]))
+
+    doubtful = part(True).withColumn("doc_id", F.col("row.doc_id")).join(odd, F.col("doc_id") == F.col("id"), "left")
+    once = doubtful.where("id IS NULL")
+    repeated = doubtful.where("kept").withColumn("text", F.coalesce("row.text", F.lit(""))).dropDuplicates(["id", "text"])
+    return part(False).unionByName(once.select("row")).unionByName(repeated.select("row")).select("row.*")

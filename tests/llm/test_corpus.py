@@ -208,3 +208,14 @@ def test_pipeline_stages(spark, tmp_path):
 @pytest.fixture(autouse=True)
 def few_partitions(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_kept_documents_with_clashing_columns_and_shared_ids(spark):
+    text = "a b c d e f g h i j k l m"
+    rows = [(1, text, True, 5, 7, 0), (1, "another text with as many words in it", True, 5, 7, 1), (2, text, True, 5, 7, 2),
+            (3, None, None, 1, 1, 3), (3, "", None, 1, 1, 4), (None, "n", None, 1, 1, 5), (4, text, None, 1, 1, 6)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, kept boolean, rows int, _at int, row int")
+    kept = ngram_join.kept_documents(table)
+    assert kept.columns == table.columns
+    found = sorted(r["row"] for r in kept.collect())
+    assert found in ([0, 1, 3, 5], [0, 1, 4, 5])
