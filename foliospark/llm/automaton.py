@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from foliospark.llm import pretokens, shared
 
 # Words kept with their ids by a Python worker; a full memory is emptied and filled anew.
-REMEMBERED = 150_000
+REMEMBERED = 75_000
 # Tokens after which a batch of ids and decoded texts is handed on, so that only so much is held at a time.
 PIECE = 400_000
 
@@ -45,7 +45,7 @@ class Automaton:
         self.row, self.column = np.zeros(len(self.texts), np.int32), np.zeros(len(self.texts), np.int32)
         for text, number in self.ids.items():
             self.row[number], self.column[number] = state[text], column[text]
-        self.table = np.packbits(removed, axis=1, bitorder="little")
+        self.table = np.ascontiguousarray(np.packbits(removed, axis=1, bitorder="little"))
 
     def encoder(self) -> Encoder:
         return Encoder(self)
@@ -108,8 +108,7 @@ class Encoder:
         self.a = automaton
         self.ids, self.suffix, self.longest = automaton.ids, automaton.suffix, automaton.longest
         self.row, self.column = automaton.row.tolist(), automaton.column.tolist()
-        self.width, self.table = automaton.table.shape[1], automaton.table.tobytes()
-        self.number = [str(i) for i in range(len(automaton.texts))]
+        self.width, self.table = automaton.table.shape[1], memoryview(automaton.table).cast("B")
         self.known: dict[str, tuple[int, ...]] = {}
 
     def word(self, word: str) -> tuple[int, ...]:
@@ -192,7 +191,7 @@ def encode(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: s
             for text in texts:
                 ids = encoder.text(text.as_py())
                 counts.append(len(ids))
-                first.append(hashlib.sha256(" ".join(map(encoder.number.__getitem__, ids)).encode()).hexdigest())
+                first.append(hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
                 second.append(hashlib.sha256(encoder.decode(ids).encode()).hexdigest())
             yield pa.record_batch([keys, pa.array(counts, pa.int64()), pa.array(first, pa.string()),
                                    pa.array(second, pa.string())],
