@@ -11,6 +11,7 @@ of its source, and texts are never shuffled or sorted.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import log
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -69,14 +70,13 @@ def exponent(totals: DataFrame, target: Target) -> float:
     def at(points: list[float]) -> list[tuple[float, float, float]]:
         """Exponent, entropy and largest repetition, for each point."""
         share = F.col("n_tokens") / F.lit(float(whole))
-        rows = (totals.where("n_tokens > 0")
-                .select(share.alias("p"), F.explode(F.array(*map(F.lit, points))).alias("x"))
-                .select("x", F.pow("p", "x").alias("w"), F.log("p").alias("l"), "p")
-                .groupBy("x").agg(F.sum("w").alias("z"), F.sum(F.col("w") * F.col("l")).alias("s"),
-                                  F.max(F.col("w") / F.col("p")).alias("r"))
-                .select("x", (F.log("z") - F.col("x") * F.col("s") / F.col("z")).alias("entropy"),
-                        (F.col("r") / F.col("z") * F.lit(budget / whole)).alias("repeats"))).collect()
-        return sorted(tuple(r) for r in rows)
+        sums = []
+        for x in points:
+            w = F.pow("p", F.lit(x))
+            sums += [F.sum(w), F.sum(w * F.col("l")), F.max(w / F.col("p"))]
+        found = totals.where("n_tokens > 0").select(share.alias("p"), F.log(share).alias("l")).agg(*sums).first()
+        return [(x, log(z) - x * s / z, r / z * budget / whole)
+                for x, z, s, r in zip(points, found[::3], found[1::3], found[2::3], strict=True)]
 
     (_, most, _), (_, own, own_repeats) = at([0.0, 1.0])
     wanted = own + target.entropy * (most - own)
