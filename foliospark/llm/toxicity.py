@@ -7,29 +7,38 @@ difference of its log-likelihoods; a text is judged by length-normalised evidenc
 text and over its most toxic window of words, by its most toxic word and the mean of its three most toxic ones, and
 by all evidence beyond ``CLEAR`` over the root of the number of words. A logistic curve, fitted on learning rows
 that the counts leave out, turns these into a score.
+
+The models are tables: every order's grams and contexts are counted, weighted and looked up by joins, and nothing of
+them is collected. Documents are first packed in pieces of rows with the distinct words of each, so that a word is
+looked up once a piece, and its grams once for all documents. ``build`` and ``Model`` are the same models in memory,
+for small tables.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter, defaultdict
 from dataclasses import dataclass, field
 from math import log
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.llm import shared
+from foliospark.operators.tables import union_by
 
 ORDER, SHARED = 6, 2
 WINDOW = 5
 CLEAR = 3.0
 FEATURES = ("whole", "window", "word", "three_words", "clear")
-# Grams of the highest order in a model: the size of what is collected and broadcast. If the corpus has more,
-# those below a count that keeps the rest within the bound are left out.
-GRAMS = 300_000
+# Bytes of text in a piece, about; a longer text is a piece of its own.
+PIECE = 16 << 20
+# A gram with more than one in so many of all (word, gram) rows is hot; there are fewer hot ones than this.
+HOT = 10_000
 # Rows the logistic curve is fitted on, at most; they are the first in order of a hash.
 CURVE_ROWS = 20_000
 REMEMBERED = 300_000
@@ -53,14 +62,24 @@ def grams(word: str) -> list[str]:
     return [padded[k:k + ORDER] for k in range(len(word) + 1)]
 
 
+@dataclass
+class Curve:
+    """Logistic curve over scaled features."""
+
+    curve: np.ndarray = field(default_factory=lambda: np.array([0.0] * len(FEATURES) + [-3.0]))
+    scale: np.ndarray = field(default_factory=lambda: np.ones(len(FEATURES)))
+
+    def score(self, features: np.ndarray) -> np.ndarray:
+        z = np.clip(features / self.scale @ self.curve[:-1] + self.curve[-1], -40, 40)
+        return 1 / (1 + np.exp(-z))
+
+
 @dataclass
 class Model:
     """Log-ratio of a gram both models know, and of the weights a context leaves to the next lower order."""
 
     ratio: dict[str, float]
     backoff: dict[str, float]
-    curve: np.ndarray = field(default_factory=lambda: np.array([0.0] * len(FEATURES) + [-3.0]))
-    scale: np.ndarray = field(default_factory=lambda: np.ones(len(FEATURES)))
 
     def word(self, word: str) -> float:
         """log P(word | toxic) - log P(word | ordinary)."""
@@ -75,10 +94,6 @@ class Model:
                 gram = gram[1:]
         return total
 
-    def score(self, features: np.ndarray) -> np.ndarray:
-        z = np.clip(features / self.scale @ self.curve[:-1] + self.curve[-1], -40, 40)
-        return 1 / (1 + np.exp(-z))
-
 
 def build(table: dict[str, tuple[int, int]]) -> Model:
     """Both models from counts of the highest order, toxic and ordinary."""
@@ -124,31 +139,124 @@ def _probabilities(counts: dict, c: int, below: dict[str, float] | None) -> tupl
     return out, rest
 
 
-class Scorer:
-    """Features of texts under a model; remembers words for one Python worker."""
-
-    def __init__(self, model: Model):
-        self.model, self.known = model, {}
-
-    def features(self, text: str | None) -> tuple[float, ...]:
-        """The values of ``FEATURES``."""
-        found, known = words(text), self.known
-        if not found:
-            return (0.0,) * len(FEATURES)
-        missing = {w for w in found if w not in known}
-        if missing:
-            if len(known) + len(missing) > REMEMBERED:
-                known.clear()
-                missing = set(found)
-            known.update((w, self.model.word(w)) for w in missing)
-        evidence = np.fromiter(map(known.__getitem__, found), np.float64, len(found))
-        sizes = np.fromiter(map(len, found), np.float64, len(found)) + 1
-        sums, lengths = (np.concatenate(([0.0], np.cumsum(x))) for x in (evidence, sizes))
-        width = min(WINDOW, len(found))
-        best = ((sums[width:] - sums[:-width]) / (lengths[width:] - lengths[:-width])).max()
-        most = -np.partition(-evidence, min(3, len(evidence)) - 1)[:3]
-        clear = np.maximum(evidence - CLEAR, 0).sum() / np.sqrt(len(evidence))
-        return float(sums[-1] / lengths[-1]), float(best), float(evidence.max()), float(most.mean()), float(clear)
+@dataclass
+class Tables:
+    """The values of ``Model`` by order: ``gram, ratio`` of its grams and ``context, backoff`` of their contexts.
+
+    Both are empty where a class has no rows; no word is evidence then.
+    """
+
+    ratio: dict[int, DataFrame]
+    backoff: dict[int, DataFrame]
+    curve: Curve = field(default_factory=Curve)
+
+
+def build_tables(table: DataFrame) -> Tables:
+    """``build`` for a table ``gram, toxic, ordinary`` of any size."""
+    counts = {ORDER: table.select("gram", F.col("toxic").alias("c0"), F.col("ordinary").alias("c1"))}
+    for n in range(ORDER, 1, -1):
+        counts[n - 1] = shared.stored(
+            counts[n].groupBy(F.substring("gram", 2, n - 1).alias("gram"))
+            .agg(F.count_if(F.col("c0") > 0).alias("c0"), F.count_if(F.col("c1") > 0).alias("c1"),
+                 F.count(F.lit(1)).alias("c2")), f"toxic-counts-{n - 1}")
+    below, ratio, backoff = None, {}, {}
+    for n in range(1, ORDER + 1):
+        classes = ("c2", "c2") if n <= SHARED else ("c0", "c1")
+        probabilities, contexts = _probability_tables(counts[n], n, classes, below)
+        below = shared.stored(probabilities, f"toxic-probabilities-{n}")
+        if n > SHARED:
+            ratio[n] = below.select("gram", (F.log("p0") - F.log("p1")).alias("ratio"))
+            backoff[n] = contexts.select("context", (F.log(F.coalesce("rest0", F.lit(1.0)))
+                                                     - F.log(F.coalesce("rest1", F.lit(1.0)))).alias("backoff"))
+    return Tables(ratio, backoff)
+
+
+def _probability_tables(counts: DataFrame, n: int, classes: tuple[str, str],
+                        below: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """``_probabilities`` of both classes: ``gram, p0, p1``, and ``context, total0, total1, rest0, rest1``.
+
+    A context or suffix has no more grams than there are characters, whatever the data.
+    """
+    stats = counts.agg(F.count(F.lit(1)).alias("kinds"),
+                       *(F.count_if(F.col(c) == k).alias(f"{c}_{k}") for c in {*classes} for k in (1, 2))).first()
+    discounts = [stats[f"{c}_1"] / (stats[f"{c}_1"] + 2 * stats[f"{c}_2"]) if stats[f"{c}_1"] and stats[f"{c}_2"] else 0.75
+                 for c in classes]
+    grams_of = counts.withColumn("context", F.substring("gram", 1, n - 1))
+    totals = grams_of.groupBy("context").agg(
+        *(F.sum(c).alias(f"total{k}") for k, c in enumerate(classes)),
+        *(F.count_if(F.col(c) > 0).alias(f"kinds{k}") for k, c in enumerate(classes)))
+    contexts = shared.stored(totals.select("context", "total0", "total1", *(
+        F.when(F.col(f"total{k}") > 0, F.lit(discounts[k]) * F.col(f"kinds{k}") / F.col(f"total{k}")).alias(f"rest{k}")
+        for k in (0, 1))), f"toxic-contexts-{n}")
+    if below is None:                          # one context, as many grams as characters
+        uniform = F.lit(1 / (stats["kinds"] + 1))
+        joined = grams_of.join(F.broadcast(contexts), "context").select("*", uniform.alias("lower0"), uniform.alias("lower1"))
+    else:
+        lower = below.select(F.col("gram").alias("suffix"), F.col("p0").alias("lower0"), F.col("p1").alias("lower1"))
+        joined = (grams_of.withColumn("suffix", F.substring("gram", 2, n - 1))
+                  .join(contexts, "context").join(lower, "suffix"))
+
+    def probability_of(k: int) -> Column:
+        count, total, rest, low = F.col(classes[k]), F.col(f"total{k}"), F.col(f"rest{k}"), F.col(f"lower{k}")
+        return F.when(total > 0, F.greatest(count - F.lit(discounts[k]), F.lit(0.0)) / total + rest * low).otherwise(low)
+
+    return joined.select("gram", probability_of(0).alias("p0"), probability_of(1).alias("p1")), contexts
+
+
+def word_values(found: DataFrame, model: Tables) -> DataFrame:
+    """``word, value``: ``Model.word`` of each distinct word."""
+    distinct = found.select("word").distinct()
+    if not model.ratio:
+        return distinct.withColumn("value", F.lit(0.0))
+    numbered = shared.stored(distinct.withColumn("id", F.monotonically_increasing_id()), "toxic-words")
+
+    def run(batches):
+        for batch in batches:
+            ids, places, parts = [], [], []
+            for number, word in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found = grams(word)
+                ids += [number] * len(found)
+                places += range(len(found))
+                parts += found
+            for at in range(0, len(ids), 50_000):
+                end = at + 50_000
+                yield pa.record_batch([pa.array(ids[at:end], pa.int64()), pa.array(places[at:end], pa.int64()),
+                                       pa.array(parts[at:end], pa.string())], ["id", "place", "gram"])
+
+    rows = numbered.select("id", "word").mapInArrow(run, "id long, place long, gram string")
+    wanted = {ORDER: shared.stored(rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n")), "toxic-wanted")}
+    for n in range(ORDER - 1, SHARED, -1):
+        wanted[n] = wanted[n + 1].select(F.substring("gram", 2, n).alias("gram")).distinct()
+    values = None
+    for n in range(SHARED + 1, ORDER + 1):
+        asked = wanted[n].withColumns({"context": F.substring("gram", 1, n - 1), "suffix": F.substring("gram", 2, n - 1)})
+        asked = asked.join(model.ratio[n], "gram", "left").join(model.backoff[n], "context", "left")
+        lower = F.lit(0.0)
+        if values is not None:
+            asked = asked.join(values.select(F.col("gram").alias("suffix"), F.col("value").alias("lower")), "suffix")
+            lower = F.col("lower")
+        value = F.coalesce("ratio", F.coalesce("backoff", F.lit(0.0)) + lower).alias("value")
+        values = asked.select("gram", value, *(["n"] if n == ORDER else []))
+    values = shared.stored(values, "toxic-values")
+    hot = F.col("n") * HOT > (values.agg(F.sum("n")).first()[0] or 0)
+    frequent = F.broadcast(values.where(hot).drop("n"))          # first letters of words
+    valued = union_by("id", rows.join(frequent, "gram").select("id", "place", "value"),
+                      rows.join(frequent, "gram", "left_anti").join(values.where(~hot), "gram").select("id", "place", "value"))
+    ordered = F.array_sort(F.collect_list(F.struct("place", "value")))
+    sums = valued.groupBy("id").agg(F.aggregate(ordered, F.lit(0.0), lambda a, x: a + x["value"]).alias("value"))
+    return numbered.join(sums, "id").select("word", "value")
+
+
+def features(evidence: np.ndarray, sizes: np.ndarray) -> tuple[float, ...]:
+    """The values of ``FEATURES`` from the evidence of a text's words in order, and their lengths and one."""
+    if not len(evidence):
+        return (0.0,) * len(FEATURES)
+    sums, lengths = (np.concatenate(([0.0], np.cumsum(x))) for x in (evidence, sizes))
+    width = min(WINDOW, len(evidence))
+    best = ((sums[width:] - sums[:-width]) / (lengths[width:] - lengths[:-width])).max()
+    most = -np.partition(-evidence, min(3, len(evidence)) - 1)[:3]
+    clear = np.maximum(evidence - CLEAR, 0).sum() / np.sqrt(len(evidence))
+    return float(sums[-1] / lengths[-1]), float(best), float(evidence.max()), float(most.mean()), float(clear)
 
 
 def labelled(docs: DataFrame, labels: DataFrame, folds: list[int]) -> DataFrame:
@@ -199,40 +307,27 @@ def _gram_batches(found: tuple[Counter, Counter]):
                                pa.array([table[g][1] for g in part], pa.int64())], ["gram", "toxic", "ordinary"])
 
 
-def within_bound(table: DataFrame, bound: int = GRAMS) -> DataFrame:
-    """The grams down to the smallest count at which there are no more than ``bound``."""
-    top = 10_000
-    total = F.col("toxic") + F.col("ordinary")
-    sizes = dict(table.groupBy(F.least(total, F.lit(top)).alias("n")).count().collect())     # at most ``top`` rows
-    kept, least = 0, top
-    for n in sorted(sizes, reverse=True):
-        if kept + sizes[n] > bound:
-            break
-        kept, least = kept + sizes[n], n
-    return table.where(total >= least)
-
-
-def fit(docs: DataFrame, labels: DataFrame) -> Model:
+def fit(docs: DataFrame, labels: DataFrame) -> Tables:
     """Counts from all labelled rows of the learning folds but one, the curve from that one."""
     spark = docs.sparkSession
     shared.bytes_per_batch(spark)
     learning = [k for k in range(FOLDS) if k != HELD_OUT]
     table = shared.stored(counted(labelled(docs, labels, [k for k in learning if k != CURVE])), "toxic-grams")
-    found = within_bound(table).toPandas()
-    if not found["toxic"].sum() or not found["ordinary"].sum():
-        return Model({}, {})
-    model = build({g: (int(t), int(o)) for g, t, o in found.itertuples(index=False)})
+    sums = table.agg(F.sum("toxic"), F.sum("ordinary")).first()
+    if not sums[0] or not sums[1]:
+        return Tables({}, {})
+    model = build_tables(table)
     for folds in ([CURVE], learning):
         rows = featured(labelled(docs, labels, folds).select("doc_id", "text", F.col("toxic").cast("int").alias("toxic")),
                         model, ["doc_id", "toxic"])
         sample = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(CURVE_ROWS).toPandas()
         if sample["toxic"].nunique() > 1:
-            fit_curve(model, sample[list(FEATURES)].to_numpy(float), sample["toxic"].to_numpy(float))
+            fit_curve(model.curve, sample[list(FEATURES)].to_numpy(float), sample["toxic"].to_numpy(float))
             break
     return model
 
 
-def fit_curve(model: Model, features: np.ndarray, toxic: np.ndarray, penalty: float = 1e-4) -> None:
+def fit_curve(model: Curve, features: np.ndarray, toxic: np.ndarray, penalty: float = 1e-4) -> None:
     """Logistic regression by Newton steps on scaled features."""
     model.scale = np.maximum(features.std(0), 1e-6)
     x = np.column_stack([features / model.scale, np.ones(len(features))])
@@ -256,29 +351,92 @@ def fit_curve(model: Model, features: np.ndarray, toxic: np.ndarray, penalty: fl
     model.curve = weights
 
 
-def featured(rows: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` with ``whole, window, word``; one narrow stage."""
-    held = rows.sparkSession.sparkContext.broadcast(model)
-    selected = rows.select(*keep, "text")
+class _Numbers(dict):
+    """A number for each new key, in order."""
+
+    def __missing__(self, key):
+        self[key] = number = len(self)
+        return number
+
+
+def _pieces(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """``piece, words, rows``: the distinct words of each piece, and its rows with the numbers of their words."""
+    from pyspark import TaskContext
+
+    def run(batches):
+        made = 0
+        for batch in batches:
+            sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(len(keep))), 0).to_numpy()
+            ends = np.flatnonzero(np.diff(np.cumsum(sizes.astype(np.int64)) // PIECE)) + 1
+            for start, end in zip([0, *ends], [*ends, batch.num_rows], strict=True):
+                part = batch.slice(start, end - start)
+                numbers = _Numbers()
+                found = [np.fromiter(map(numbers.__getitem__, words(t.as_py())), np.uint32) for t in part.column(len(keep))]
+                names = pa.array(numbers, pa.string())
+                if numbers:                    # the most frequent words get the least numbers
+                    ranked = np.argsort(-np.bincount(np.concatenate(found), minlength=len(numbers)), kind="stable")
+                    ranks = np.empty(len(ranked), np.uint32)
+                    ranks[ranked] = np.arange(len(ranked), dtype=np.uint32)
+                    found, names = [ranks[x] for x in found], names.take(pa.array(ranked))
+                lengths = np.fromiter(map(len, names.to_pylist()), np.uint32)
+                planes = max(1, (len(numbers).bit_length() + 7) // 8)
+                packed = pa.record_batch(
+                    [*part.columns[:len(keep)], *(pa.array([(x >> 8 * k).astype(np.uint8).tobytes() for x in found], pa.large_binary())
+                                                  for k in range(planes))],
+                    pa.schema([*(pa.field(c, x.type) for c, x in zip(keep, part.columns, strict=False)),
+                               *(pa.field(f"_{k}", pa.large_binary()) for k in range(planes))],
+                              {"lengths": zlib.compress(lengths.tobytes())}))
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, packed.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                    writer.write_batch(packed)
+                number = TaskContext.get().partitionId() << 32 | made
+                made += 1
+                yield pa.record_batch([pa.array([number], pa.int64()), pa.array([names.to_pylist()], pa.list_(pa.string())),
+                                       pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["piece", "words", "rows"])
+
+    return rows.select(*keep, F.col("text").alias("_text")).mapInArrow(run, "piece long, words array<string>, rows binary")
+
+
+def _with_features(rows: DataFrame, model: Tables, keep: list[str], finish, schema: str) -> DataFrame:
+    """``finish`` of each piece's columns ``keep`` and its array of features, a row for each row."""
+    pieces = shared.stored(_pieces(rows, keep), "toxic-pieces")
+    places = pieces.select("piece", F.posexplode("words").alias("place", "word"))
+    values = (places.join(word_values(places, model), "word").groupBy("piece")
+              .agg(F.array_sort(F.collect_list(F.struct("place", "value"))).alias("found"))
+              .select("piece", F.col("found.value").alias("values")))
 
     def run(batches):
-        scorer = shared.worker_state(Scorer, held.value)
         for batch in batches:
-            found = np.array([scorer.features(t.as_py()) for t in batch.column(len(keep))]).reshape(-1, len(FEATURES))
-            yield pa.record_batch([*batch.columns[:len(keep)], *(pa.array(c) for c in found.T)], [*keep, *FEATURES])
+            for packed, values in zip(*(batch.column(c) for c in range(2)), strict=True):
+                evidence = np.array(values.as_py() or [], np.float64)
+                with pa.ipc.open_stream(packed.as_buffer()) as reader:
+                    lengths = np.frombuffer(zlib.decompress(reader.schema.metadata[b"lengths"]), np.uint32) + 1.0
+                    for part in reader:
+                        found = (sum(np.frombuffer(x.as_buffer(), np.uint8).astype(np.uint32) << 8 * k for k, x in enumerate(planes))
+                                 for planes in zip(*part.columns[len(keep):], strict=True))
+                        result = np.array([features(evidence[x], lengths[x]) for x in found]).reshape(-1, len(FEATURES))
+                        yield finish(part.select(range(len(keep))), result)
 
-    kinds = ", ".join(f"`{c}` {selected.schema[c].dataType.simpleString()}" for c in keep)
-    return selected.mapInArrow(run, ", ".join([kinds, *(f"{c} double" for c in FEATURES)]))
+    return pieces.join(values, "piece", "left").select("rows", "values").mapInArrow(run, schema)
 
 
-def probability(model: Model) -> Column:
+def featured(rows: DataFrame, model: Tables, keep: list[str]) -> DataFrame:
+    """Columns ``keep`` with ``FEATURES``."""
+    def finish(part, found):
+        return pa.record_batch([*part.columns, *(pa.array(c) for c in found.T)], [*keep, *FEATURES])
+
+    kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
+    return _with_features(rows, model, keep, finish, ", ".join([kinds, *(f"{c} double" for c in FEATURES)]))
+
+
+def probability(model: Curve) -> Column:
     z = F.lit(float(model.curve[-1]))
     for name, weight, scale in zip(FEATURES, model.curve, model.scale, strict=False):
         z = z + F.col(name) * F.lit(float(weight / scale))
     return 1 / (1 + F.exp(-F.greatest(F.lit(-40.0), F.least(F.lit(40.0), z))))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
+def score(docs: DataFrame, model: Tables) -> DataFrame:
     """``doc_id, held_out, score, predicted`` and ``FEATURES`` for every row.
 
     A null or empty text has no evidence and gets the curve's base score; without labels of both classes every
@@ -287,21 +445,17 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """
     shared.bytes_per_batch(docs.sparkSession)
     return (featured(docs.select("doc_id", "text"), model, ["doc_id"])
-            .withColumn("score", probability(model))
+            .withColumn("score", probability(model.curve))
             .select("doc_id", (fold(F.col("doc_id")) == HELD_OUT).alias("held_out"), "score",
                     (F.col("score") >= 0.5).cast("int").alias("predicted"), *FEATURES))
 
 
-def ordinary_documents(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows whose score is below 0.5, in their own columns; one narrow stage."""
+def ordinary_documents(docs: DataFrame, model: Tables) -> DataFrame:
+    """The rows whose score is below 0.5, in their own columns."""
     shared.bytes_per_batch(docs.sparkSession)
-    held = docs.sparkSession.sparkContext.broadcast(model)
-    place = docs.columns.index("text")
+    curve = model.curve
 
-    def run(batches):
-        scorer = shared.worker_state(Scorer, held.value)
-        for batch in batches:
-            found = np.array([scorer.features(t.as_py()) for t in batch.column(place)]).reshape(-1, len(FEATURES))
-            yield batch.filter(pa.array(held.value.score(found) < 0.5))
+    def finish(part, found):
+        return part.filter(pa.array(curve.score(found) < 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+    return _with_features(docs, model, docs.columns, finish, docs.schema)

@@ -219,3 +219,31 @@ def test_kept_documents_with_clashing_columns_and_shared_ids(spark):
     assert kept.columns == table.columns
     found = sorted(r["row"] for r in kept.collect())
     assert found in ([0, 1, 3, 5], [0, 1, 4, 5])
+
+
+def test_toxicity_keeps_every_gram(spark, monkeypatch):
+    """More than 300,000 grams: the tables' evidence is that of plain models over all of them."""
+    rng = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyzäöüß"
+    rows = [(k, " ".join("".join(rng.choice(letters) for _ in range(9)) for _ in range(170)) + (" zwofter" if k == 7 else ""),
+             int(k % 8 == 7)) for k in range(400)]
+    rows += [(500, None, 0), (501, "", 1), (502, "x" * 3000 + " abcdef", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(3)
+    plain = Counter(), Counter()
+    for _, text, toxic in rows:
+        for word in toxicity.words(text):
+            plain[1 - toxic].update(toxicity.grams(word))
+    table = {g: (plain[0][g], plain[1][g]) for g in plain[0] | plain[1]}
+    assert len(table) > 300_000
+    model, tables = toxicity.build(table), toxicity.build_tables(toxicity.shared.stored(toxicity.counted(docs), "grams"))
+    for plain_values, found in ((model.ratio, tables.ratio), (model.backoff, tables.backoff)):
+        got = {r[0]: r[1] for t in found.values() for r in t.collect()}
+        assert got.keys() == plain_values.keys()
+        assert all(math.isclose(got[k], v, rel_tol=1e-9, abs_tol=1e-9) for k, v in plain_values.items())
+    monkeypatch.setattr(toxicity, "PIECE", 20_000)
+    got = {r.doc_id: [r[c] for c in toxicity.FEATURES] for r in toxicity.featured(docs, tables, ["doc_id"]).collect()}
+    assert len(got) == len(rows)
+    for i, text, _ in rows:
+        found = toxicity.words(text)
+        expected = toxicity.features(np.array([model.word(w) for w in found]), np.array([len(w) + 1.0 for w in found]))
+        assert np.allclose(got[i], expected, rtol=1e-9, atol=1e-9), i
