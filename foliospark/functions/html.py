@@ -19,8 +19,8 @@ from foliospark.functions.text import replace_each, squeeze
 
 _codes = count(0xFDD0)
 (BREAK, LINE, PARA, RULE, ITEM, NUMBER, HEAD, HEAD_END, BOLD, BOLD_END, ITALIC, ITALIC_END, CODE,
- LINK, LINK_MID, LINK_END, QUOTE, QUOTE_END, ROW, FIRST_ROW, CELL, PIPE, CUT) = (
-    chr(next(_codes)) for _ in range(23))
+ LINK, LINK_MID, LINK_END, QUOTE, QUOTE_END, ROW, FIRST_ROW, CELL, PIPE, CUT, LESS, GREATER) = (
+    chr(next(_codes)) for _ in range(25))
 MARKS = "[\ufdd0-\ufdef]"
 
 BLOCK_TAGS = ("address|article|aside|body|center|dd|details|div|dl|dt|fieldset|figcaption|figure|footer|form|"
@@ -81,8 +81,24 @@ def without_code(html: Column) -> Column:
     return _sub(html, _drop("script"), _drop("style"), (r"(?s)<!--.*?(?:-->|\z)", " "))
 
 
+# A tag with its quoted values, closed or not: what is matched is never scanned again.
+_QUOTING_TAG = r"""(?s)<([a-zA-Z](?:[^<>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)"""
+
+
+def _mask(html: Column) -> Column:
+    """Angle brackets inside quoted attribute values as marks, so that they do not end tags."""
+    angled = F.regexp_like(html, F.lit(r"""(?s)=\s*+(?:"[^"<>]*+[<>]|'[^'<>]*+[<>])"""))
+    return F.when(angled, replace_each(html, _QUOTING_TAG, lambda tag: F.concat(
+        F.lit("<"), _swap(tag, ("<", LESS), (">", GREATER))))).otherwise(html)
+
+
+def _unmask(text: Column) -> Column:
+    return _swap(text, (LESS, "<"), (GREATER, ">"))
+
+
 def plain_text(html: Column) -> Column:
-    return squeeze(decode_entities(_sub(without_code(html), (r"<[a-zA-Z/!?][^<>]*>", " "))))
+    masked = _mask(without_code(html))
+    return squeeze(decode_entities(_unmask(_sub(masked, (r"<[a-zA-Z/!?][^<>]*>", " ")))))
 
 
 def title_of(html: Column) -> Column:
@@ -96,14 +112,14 @@ def block_pieces(html: Column) -> Column:
     An unclosed block ends where the next block-level tag begins.
     """
     opened = F.regexp_replace(
-        without_code(html), rf"(?i)<(h[1-6]|p|li){_ATTRS}>", f"{CUT}$1{LINE}")
+        _mask(without_code(html)), rf"(?i)<(h[1-6]|p|li){_ATTRS}>", f"{CUT}$1{LINE}")
     end = rf"(?is)</?(?:h[1-6]|li|{BLOCK_TAGS}){_ATTRS}>.*\z"
 
     def block(piece: Column) -> Column:
         body = F.substring_index(piece, LINE, -1)
         return F.struct(
             F.lower(F.substring_index(piece, LINE, 1)).alias("tag"),
-            squeeze(F.regexp_replace(body, end, "")).alias("html"),
+            squeeze(_unmask(F.regexp_replace(body, end, ""))).alias("html"),
         )
 
     pieces = F.split(opened, CUT)
@@ -112,7 +128,7 @@ def block_pieces(html: Column) -> Column:
 
 def link_pieces(html: Column) -> Column:
     """Links as ``array<struct<href, text>>`` in text order; anchors without href are left out."""
-    opened = F.regexp_replace(without_code(html), r"(?i)<a(\s[^<>]*)>", f"{CUT}$1{LINE}")
+    opened = F.regexp_replace(_mask(without_code(html)), r"(?i)<a(\s[^<>]*)>", f"{CUT}$1{LINE}")
 
     def link(piece: Column) -> Column:
         attributes = F.substring_index(piece, LINE, 1)
@@ -121,8 +137,8 @@ def link_pieces(html: Column) -> Column:
         single = F.regexp_extract(attributes, r"""(?is)\shref\s*=\s*'([^']*)'""", 1)
         bare = F.regexp_extract(attributes, r"""(?is)\shref\s*=\s*([^\s"']\S*)""", 1)
         return F.struct(
-            decode_entities(F.concat(quoted, single, bare)).alias("href"),
-            squeeze(decode_entities(_sub(inner, (r"<[^<>]*>", " ")))).alias("text"),
+            decode_entities(_unmask(F.concat(quoted, single, bare))).alias("href"),
+            squeeze(decode_entities(_unmask(_sub(inner, (r"<[^<>]*>", " "))))).alias("text"),
             F.regexp_like(attributes, F.lit(r"(?is)\shref\s*=\s*\S")).alias("linked"),
         )
 
@@ -223,7 +239,7 @@ _TAG_MARKS = {
 _MARKDOWN = {
     PARA: "\n\n", LINE: "\n", BREAK: "  \n", ITEM: "- ", NUMBER: "1. ", RULE: "---",
     BOLD: "**", BOLD_END: "**", ITALIC: "*", ITALIC_END: "*", LINK: "[", LINK_MID: "](", LINK_END: ")",
-    CELL: "|", PIPE: "\\|", QUOTE: QUOTE, QUOTE_END: QUOTE_END,
+    CELL: "|", PIPE: "\\|", LESS: "<", GREATER: ">", QUOTE: QUOTE, QUOTE_END: QUOTE_END,
     **{f"{HEAD}{n}{HEAD_END}": "#" * n + " " for n in range(1, 7)},
 }
 
@@ -260,7 +276,7 @@ def _flow(html: Column) -> Column:
 
 
 def _preformatted(html: Column) -> Column:
-    text = decode_entities(_sub(html, (r"<[a-zA-Z/!?][^<>]*>", "")))
+    text = decode_entities(_unmask(_sub(html, (r"<[a-zA-Z/!?][^<>]*>", ""))))
     return F.concat(F.lit("```\n"), _sub(text, (r"^\n|\n+\z", "")), F.lit("\n```"))
 
 
@@ -269,6 +285,6 @@ def to_markdown(html: Column) -> Column:
     clean = _sub(_sub(html, (MARKS, "")), _drop("head"), _drop("script"), _drop("style"),
                  (r"(?s)<!--.*?(?:-->|\z)", " "))
     parts = F.transform(
-        F.split(clean, rf"(?i)</?pre{_ATTRS}>"),
+        F.split(_mask(clean), rf"(?i)</?pre{_ATTRS}>"),
         lambda s, i: F.when(i % 2 == 1, _preformatted(s)).otherwise(_flow(s)))
     return F.array_join(F.filter(parts, lambda s: s != ""), "\n\n")

@@ -123,3 +123,25 @@ def test_all_references_and_unquoted_links(spark):
                                  "page_id int, html string")
     assert convert.html_text(page).first().text == "Café ≂̸ 😀 é &nosuch; \ufffd"
     assert [(r.href, r.text) for r in convert.html_links(page).collect()] == [("/a?b=1", "Café")]
+
+
+def test_angle_brackets_in_quoted_values(spark):
+    html = ("<p class='x<y'>one <a title=\"a < b\" href=\"/x\">text</a> <img alt=\"x<y\"> <b title='>'>two</b>"
+            "<li data-a=\"</p>\">it's <a href='/q?a<b'>L</a></li><p it's=1>three<p x=\"open")
+    page = spark.createDataFrame([(1, html)], "page_id int, html string")
+    assert [(r.href, r.text) for r in convert.html_links(page).collect()] == [("/x", "text"), ("/q?a<b", "L")]
+    assert convert.html_text(page).first().text == "one text two it's L three<p x=\"open"
+    assert convert.html_to_markdown(page).first().markdown.startswith("one [text](/x) **two**\n- it's [L](/q?a<b)")
+    assert [(b.tag, b.html) for b in one(spark, H.block_pieces, html)][0] == (
+        "p", "one <a title=\"a < b\" href=\"/x\">text</a> <img alt=\"x<y\"> <b title='>'>two</b>")
+
+
+def test_unclosed_quoting_tags_take_linear_time(spark):
+    import time
+
+    page = spark.range(1).select(F.lit(1).alias("page_id"), F.concat(F.lit("<p "), F.repeat(F.lit("a=\"<p \" b='<a '"), 60_000)).alias("html"))
+    page.count()
+    for operator in (convert.html_text, convert.html_to_markdown, convert.html_blocks, convert.html_links):
+        started = time.monotonic()
+        operator(page).collect()
+        assert time.monotonic() - started < 20, operator.__name__
