@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from foliospark.llm import automaton, fingerprints, grid_join, licences, mixing, ngram_join, sharding, token_counts, toxicity, urls
+from foliospark.llm import automaton, fingerprints, grid_join, licences, mixing, ngram_join, sharding, spelling, token_counts, toxicity, urls
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -57,9 +57,13 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q for q in (op1_embedding_join, op2_document_fingerprints, op3_license_scan, op4_url_filter, op5_toxicity, op6_bpe_encoding,
-                            op7_ngram_join, op8_token_counts, op9_mixing, op10_sharding)
+                            op7_ngram_join, op8_token_counts, op9_mixing, op10_sharding, op11_spelling_variants)
 }
 
 
@@ -192,5 +196,47 @@ SELECT d.doc_id, component AS class_id, (copies - 1 + coalesce(n, 0))::BIGINT AS
 FROM documents d JOIN texts t ON t.text = coalesce(d.text, '') JOIN classes ON node = t.rep LEFT JOIN counts ON a = t.rep"""
 
 
-ORACLE: dict[str, str] = {"op1_embedding_join": _op1_sql(), "op7_ngram_join": _op7_sql(),
+def _op11_sql() -> str:
+    """crc32 over the UTF-8 bytes by its table; near words by deleting one code point from each."""
+    table = []
+    for k in range(256):
+        for _ in range(8):
+            k = k >> 1 ^ (0xEDB88320 if k & 1 else 0)
+        table.append(k)
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, '{upper}', '{lower}'), '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents)
+  WHERE length(run) >= {spelling.SHORTEST} GROUP BY ALL),
+bytes AS (
+  SELECT run, n, flatten(list_transform(string_split(concat(doc_id, ':', run), ''),
+    lambda c: CASE WHEN ord(c) < 128 THEN [ord(c)::BIGINT] ELSE [(192 | (ord(c) >> 6))::BIGINT, (128 | (ord(c) & 63))::BIGINT] END)) AS b
+  FROM runs),
+hashed AS (
+  SELECT run, n, xor(list_reduce(b, lambda c, x: xor(c >> 8, ({table}::BIGINT[])[xor(c & 255, x) + 1]), 4294967295::BIGINT),
+    4294967295::BIGINT) AS h FROM bytes),
+damaged AS (
+  SELECT n, CASE WHEN h % {spelling.DAMAGE} = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word
+  FROM hashed),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM damaged WHERE length(word) >= {spelling.SHORTEST} GROUP BY word HAVING sum(n) >= 2),
+cut AS (
+  SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM (SELECT *, unnest(range(1, length(word) + 1))::INT AS i FROM words)),
+pairs AS (
+  SELECT x.word AS a, y.word AS b, y.n AS n FROM cut x JOIN cut y ON x.rest = y.rest AND x.i = y.i AND x.word <> y.word
+  UNION SELECT x.word, y.word, y.n FROM cut x JOIN words y ON x.rest = y.word
+  UNION SELECT y.word, x.word, x.n FROM cut x JOIN words y ON x.rest = y.word),
+best AS (SELECT a, count(*) AS n_near, min((-n, b)) AS first FROM pairs GROUP BY a),
+forms AS (
+  SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN -first[1] >= {spelling.TIMES} * n THEN first[2] END AS form,
+    CASE WHEN -first[1] >= {spelling.TIMES} * n THEN -first[1] END AS form_n
+  FROM words LEFT JOIN best ON a = word),
+chain AS (
+  SELECT word, word AS root, form FROM forms
+  UNION ALL SELECT c.word, c.form, f.form FROM chain c JOIN forms f ON f.word = c.form)
+SELECT word, f.form, root, n, n_near, form_n FROM forms f JOIN (SELECT word, root FROM chain WHERE form IS NULL) USING (word)"""
+
+
+ORACLE: dict[str, str] = {"op11_spelling_variants": _op11_sql(), "op1_embedding_join": _op1_sql(), "op7_ngram_join": _op7_sql(),
                           "op4_url_filter": _op4_sql(), "op9_mixing": _op9_sql()}
