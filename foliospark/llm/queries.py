@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from foliospark.llm import automaton, fingerprints, grid_join, licences, mixing, ngram_join, sharding, spelling, token_counts, toxicity, turns, urls
+from foliospark.llm import automaton, fingerprints, grid_join, licences, lines, mixing, ngram_join, sharding, spelling, token_counts, toxicity, turns, urls
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -61,6 +61,11 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group(_table(spark, sf_dir, "documents"))
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return lines.judge(docs, lines.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.repair(_table(spark, sf_dir, "conversations"))
 
@@ -68,7 +73,7 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q for q in (op1_embedding_join, op2_document_fingerprints, op3_license_scan, op4_url_filter, op5_toxicity, op6_bpe_encoding,
                             op7_ngram_join, op8_token_counts, op9_mixing, op10_sharding, op11_spelling_variants,
-                            op13_conversation_repair)
+                            op12_quality_rules, op13_conversation_repair)
 }
 
 
