@@ -4,8 +4,9 @@ import check_queries
 import pytest
 
 import __spark_entry__ as entry
+from foliospark.plans import catalog, oracle
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = catalog.QUERIES, oracle.statements()
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +21,7 @@ def test_query_equals_sql(name, spark, sf, con):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
