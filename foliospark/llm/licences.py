@@ -53,13 +53,20 @@ TAGS = ("spdx license identifier", "license identifier")
 BASE_SCORE, TAG_SCORE = 0.9, 1.0
 
 # How much a licence asks of those who use the text, from nothing (0) to everything (4).
-STRENGTH = {"cc0": 0, "unlicense": 0, "0bsd": 0, "wtfpl": 0, "mit": 1, "isc": 1, "bsd": 1, "apache": 1, "bsl": 1,
-            "zlib": 1, "cc-by": 1, "artistic": 2, "mpl": 2, "epl": 2, "cddl": 2, "lgpl": 2, "gpl": 3, "cc-by-sa": 3,
-            "agpl": 4, "cc-by-nc": 4, "cc-by-nd": 4}
+STRENGTH = {
+    **dict.fromkeys(("cc0", "unlicense", "0bsd", "wtfpl", "mit-0", "pddl"), 0),
+    **dict.fromkeys(("mit", "isc", "bsd", "apache", "bsl", "zlib", "cc-by", "afl", "beerware", "blueoak", "bzip2", "curl", "fsfap", "ftl", "hpnd", "icu",
+                     "ijg", "json", "libpng", "ms-pl", "ncsa", "ntp", "odc-by", "openssl", "php", "postgresql", "psf", "python", "ruby", "sleepycat",
+                     "tcl", "unicode", "upl", "vim", "w3c", "x11", "zpl"), 1),
+    **dict.fromkeys(("artistic", "mpl", "epl", "cddl", "lgpl", "cpl", "ipl", "ms-rl", "ofl", "apsl"), 2),
+    **dict.fromkeys(("gpl", "cc-by-sa", "gfdl", "eupl", "odbl", "osl", "cecill"), 3),
+    **dict.fromkeys(("agpl", "cc-by-nc", "cc-by-nd", "sspl", "busl"), 4),
+}
 KINDS = ("public", "permissive", "weak-copyleft", "copyleft", "restricted")
 UNKNOWN = 4
 
-_TOKEN = re.compile(r"[()]|[A-Za-z0-9][A-Za-z0-9.+:_-]*")
+_TOKEN = re.compile(rb"[()]|[A-Za-z0-9][A-Za-z0-9.+:_-]*")
+_LINE_END = re.compile(rb"[\r\n]")
 _RANK = {"or": 1, "and": 2, "with": 3}
 
 
@@ -67,13 +74,21 @@ class ExpressionError(ValueError):
     pass
 
 
-def to_postfix(text: str) -> list[str]:
-    """Shunting-yard: identifiers and operators in evaluation order; ``with`` binds tightest, then ``and``."""
+def to_postfix(text: str | bytes, start: int = 0, end: int | None = None) -> list[str]:
+    """Shunting-yard: identifiers and operators in evaluation order; ``with`` binds tightest, then ``and``.
+
+    Reads no further than the expression goes. Behind an operator a name that is no licence known here is an operand
+    too, unless it is outside of parentheses and more words of a sentence follow or it is in small letters alone, as
+    licences have no such names ("MIT and Others may", "MIT and others").
+    """
+    raw = text.encode() if isinstance(text, str) else text
+    tokens = (m.group().decode() for m in _TOKEN.finditer(raw, start, len(raw) if end is None else end))
     out: list[str] = []
     waiting: list[str] = []
-    operand = True
-    for token in _TOKEN.findall(text):
-        name = token.lower()
+    operand, opened = True, 0
+    token = next(tokens, None)
+    while token is not None:
+        name, following = token.lower(), None
         if name in _RANK:
             if operand:
                 raise ExpressionError(f"operand missing before {token}")
@@ -85,24 +100,29 @@ def to_postfix(text: str) -> list[str]:
             if not operand:
                 raise ExpressionError("operator missing before (")
             waiting.append(token)
+            opened += 1
         elif token == ")":
             if operand:
                 raise ExpressionError("operand missing before )")
-            while waiting and waiting[-1] != "(":
-                out.append(waiting.pop())
-            if not waiting:
+            if not opened:
                 raise ExpressionError("( missing")
+            while waiting[-1] != "(":
+                out.append(waiting.pop())
             waiting.pop()
+            opened -= 1
         elif not operand:
             break              # words behind a complete expression are not part of it
-        elif waiting and waiting[-1] in ("or", "and") and not _is_identifier(token):
-            waiting.pop()      # "MIT and others": the sentence goes on, the expression does not
-            operand = False
-            break
         else:
+            following = next(tokens, "")
+            goes_on = following and following.lower() not in _RANK and following not in "()"
+            if waiting and not opened and not _is_identifier(token) and (goes_on or token.isalpha() and token.islower()):
+                waiting.pop()  # the sentence goes on, the expression does not
+                operand = False
+                break
             out.append(token)
             operand = False
-    if operand or "(" in waiting:
+        token = next(tokens, None) if following is None else following or None
+    if operand or opened:
         raise ExpressionError("expression not complete")
     return out + waiting[::-1]
 
@@ -137,10 +157,10 @@ def evaluate(postfix: list[str]) -> tuple[int, set[str]]:
     return stack[-1]
 
 
-def evaluate_text(text: str) -> tuple[int, set[str]] | None:
+def evaluate_text(text: str | bytes, start: int = 0, end: int | None = None) -> tuple[int, set[str]] | None:
     """Strength and families of an expression, None where it is not one."""
     try:
-        return evaluate(to_postfix(text))
+        return evaluate(to_postfix(text, start, end))
     except ExpressionError:
         return None
 
@@ -165,6 +185,7 @@ class Scanner:
         words = _WORD.findall(raw.lower())
         line = (b" " + b" ".join(words) + b" ").decode("latin-1")
         places, base, labels, score, kinds = [], set(), set(), 0.0, set()
+        behind: dict[int, None] = {}       # numbers of words that end a tag, in order, each once
         at = seen = 0
         for end, (phrase, length) in self.automaton.iter(line):
             seen, at = seen + line.count(" ", at, end + 1), end + 1
@@ -177,24 +198,30 @@ class Scanner:
                 labels.add(NOTICES[phrase][0])
                 score = max(score, NOTICES[phrase][1])
             if phrase in TAGS:
-                found = evaluate_text(self._behind(raw, start + length))
-                if found:
-                    kinds.add(KINDS[found[0]])
-                    labels |= found[1]
-                    score = TAG_SCORE
+                behind[start + length] = None
+        for found in self._expressions(raw, list(behind)):
+            kinds.add(KINDS[found[0]])
+            labels |= found[1]
+            score = TAG_SCORE
         first, last = (min(places), max(places)) if places else (None, None)
         return (len(words), len(places), first, last, ",".join(sorted(base)), ",".join(sorted(base | labels)), score,
                 ",".join(sorted(kinds)))
 
     @staticmethod
-    def _behind(raw: bytes, words: int) -> str:
-        """What follows that many words, to the end of the line."""
-        lowered, place = raw.lower(), 0
-        for count, match in enumerate(_WORD.finditer(lowered), 1):
-            place = match.end()
-            if count == words:
-                break
-        return re.split(rb"[\r\n]", raw[place:], maxsplit=1)[0].lstrip(b": \t").decode("utf-8", "replace")
+    def _expressions(raw: bytes, counts: list[int]):
+        """What the expressions say that stand behind so many words, each up to the end of its line."""
+        if not counts:
+            return
+        ends = [m.end() for m in _WORD.finditer(raw.lower())]
+        stop = -1
+        for count in counts:
+            place = ends[count - 1]
+            if place > stop:
+                found = _LINE_END.search(raw, place)
+                stop = found.start() if found else len(raw)
+            result = evaluate_text(raw, place, stop)
+            if result:
+                yield result
 
 
 SCHEMA = ("n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "

@@ -1,5 +1,6 @@
 """Licence scan, URL filter, fingerprints and sharding on small tables and against plain versions."""
 
+import random
 import re
 import zlib
 from collections import Counter
@@ -105,3 +106,78 @@ def test_sharding(spark):
     moved = [r for r in got if r.next_shard != r.shard]
     assert 0 < len(moved) < 0.2 * len(got) and {r.next_shard for r in moved} == {8}
     assert sharding.shard(table.where("false")).count() == 0
+
+
+def plain_strength(tokens):
+    """Recursive descent: or < and < with."""
+    def operand():
+        token = tokens.pop(0)
+        if token == "(":
+            found = either()
+            assert tokens.pop(0) == ")"
+            return found
+        name = licences.family(token)
+        return licences.STRENGTH.get(name, licences.UNKNOWN), {name}
+
+    def exception():
+        found = operand()
+        while tokens and tokens[0].lower() == "with":
+            tokens.pop(0)
+            operand()
+            found = found[0] - (found[0] in (2, 3)), found[1]
+        return found
+
+    def both():
+        found = exception()
+        while tokens and tokens[0].lower() == "and":
+            tokens.pop(0)
+            right = exception()
+            found = max(found[0], right[0]), found[1] | right[1]
+        return found
+
+    def either():
+        found = both()
+        while tokens and tokens[0].lower() == "or":
+            tokens.pop(0)
+            right = both()
+            found = min(found[0], right[0]), found[1] | right[1]
+        return found
+    return either()
+
+
+def test_expressions_equal_a_plain_evaluator():
+    rng = random.Random(8)
+    names = ["MIT", "GPL-2.0-only", "LGPL-2.1+", "OpenSSL", "JSON", "Apache-2.0", "MPL-2.0", "CC0-1.0", "Foo", "AGPL-3.0", "LicenseRef-own"]
+
+    def expression(depth):
+        if depth == 0 or rng.random() < 0.3:
+            return [rng.choice(names)]
+        if rng.random() < 0.3:
+            return ["(", *expression(depth - 1), ")"]
+        word = rng.choice(["or", "AND", "and", "OR"])
+        if rng.random() < 0.15:
+            return [rng.choice(names), "WITH", "Classpath-exception-2.0"]
+        return [*expression(depth - 1), word, *expression(depth - 1)]
+
+    for _ in range(2000):
+        tokens = expression(4)
+        assert licences.evaluate_text(" ".join(tokens)) == plain_strength(list(tokens)), tokens
+
+
+@pytest.mark.parametrize("line, labels, kind", [
+    ("MIT AND OpenSSL", {"mit", "openssl"}, "permissive"), ("MIT AND Frobnic", {"mit", "frobnic"}, "restricted"),
+    ("(MIT OR Beerware)", {"mit", "beerware"}, "permissive"), ("(MIT OR Whatever) and more", {"mit", "whatever"}, "permissive"),
+    ("MIT and Others may use it", {"mit"}, "permissive"), ("MIT and others", {"mit"}, "permissive"), ("JSON", {"json"}, "permissive"), ("MIT or", set(), ""), ("(MIT", set(), ""),
+    ("MIT) or GPL", set(), ""), ("Unheard OR MIT", {"unheard", "mit"}, "permissive")])
+def test_operands_behind_a_tag(line, labels, kind):
+    found = licences.Scanner().scan(f"x\n// SPDX-License-Identifier: {line}\nGPL-3.0 and more")
+    assert (set(filter(None, found[5].split(","))), found[7]) == (labels, kind)
+
+
+@pytest.mark.parametrize("piece", ["// SPDX-License-Identifier: MIT or GPL-2.0-only\n", "SPDX-License-Identifier: (MIT or ", "license identifier mit and ("])
+def test_many_tags_take_time_in_proportion(piece):
+    import time
+    scanner, text = licences.Scanner(), piece * (5_000_000 // len(piece))
+    started = time.process_time()
+    scanner.scan(text)
+    assert time.process_time() - started < 20
