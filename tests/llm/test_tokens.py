@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -41,6 +42,28 @@ def test_automaton_equals_library(library, encoder):
         assert encoder.decode(ids) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_one_label_may_end_each_beginning(encoder):
+    """The transitions leave no choice: of the labels that end at a place one continues a path."""
+    a, rng = encoder.a, random.Random(6)
+    inner = {t: i for t, i in a.ids.items() if not t.endswith(a.suffix)}
+    for word in ["".join(rng.choice("aehlnorst") for _ in range(rng.randint(1, 14))) for _ in range(300)]:
+        last = {0: None}
+        for end in range(1, len(word) + 1):
+            ways = [inner[word[s:end]] for s in range(end) if word[s:end] in inner and (last[s] is None or not a.table[
+                a.row[last[s]], a.column[inner[word[s:end]]] >> 3] >> (a.column[inner[word[s:end]]] & 7) & 1)]
+            assert len(ways) == 1
+            last[end] = ways[0]
+
+
+def test_memory_keeps_the_newer_half(library, encoder, monkeypatch):
+    monkeypatch.setattr(automaton, "REMEMBERED", 50)
+    monkeypatch.setattr(automaton, "TOGETHER", 64)
+    given = list(texts())
+    for at in range(0, len(given), 7):
+        found = [np.frombuffer(b"".join(x[1] for x in entries), np.int32).tolist() for entries in encoder.batch(given[at:at + 7])]
+        assert found == [library.encode(t, add_special_tokens=False).ids for t in given[at:at + 7]]
+
+
 def test_rank_merging_equals_library(library):
     given = list(texts())
     counter = token_counts.Counter(token_counts.Ranks(pretokens.read(PATH)))
