@@ -25,11 +25,29 @@ def folder(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read again: its lineage ends here."""
-    path = f"{folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` written as Parquet to the shared folder and read again: its lineage and its shuffle files end here."""
+    spark, path = df.sparkSession, f"{folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def remove(*tables: DataFrame) -> None:
+    """Delete tables of ``stored`` that nothing reads any more."""
+    for table in tables:
+        jvm = table.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def bytes_per_batch(spark: SparkSession, limit: int = 16 << 20) -> None:

@@ -235,7 +235,8 @@ def test_toxicity_keeps_every_gram(spark, monkeypatch):
             plain[1 - toxic].update(toxicity.grams(word))
     table = {g: (plain[0][g], plain[1][g]) for g in plain[0] | plain[1]}
     assert len(table) > 300_000
-    model, tables = toxicity.build(table), toxicity.build_tables(toxicity.shared.stored(toxicity.counted(docs), "grams"))
+    model, tables = toxicity.build(table), toxicity.build_tables(
+        toxicity.shared.stored(toxicity.counted(docs.selectExpr("*", "doc_id % 2 = 0 AS curve")), "grams"), 2)[1]
     for plain_values, found in ((model.ratio, tables.ratio), (model.backoff, tables.backoff)):
         got = {r[0]: r[1] for t in found.values() for r in t.collect()}
         assert got.keys() == plain_values.keys()
@@ -247,3 +248,24 @@ def test_toxicity_keeps_every_gram(spark, monkeypatch):
         found = toxicity.words(text)
         expected = toxicity.features(np.array([model.word(w) for w in found]), np.array([len(w) + 1.0 for w in found]))
         assert np.allclose(got[i], expected, rtol=1e-9, atol=1e-9), i
+
+
+@pytest.mark.parametrize("letters", ["abcé", "".join(map(chr, range(0x4E00, 0x4E00 + 3000)))])
+def test_grams_of_many_words(letters):
+    """Both forms of the numbers, small and large alphabets, and more words than one chunk has."""
+    rng = random.Random(7)
+    found = sorted({"".join(rng.choice(letters) for _ in range(rng.randint(1, 9))) for _ in range(70_000)} | {"x" * 700_000})
+    made = toxicity.Grams(found)
+    assert (made.halves is None) == (letters == "abcé") and len(made._chunks()) > 1
+    spelled = made.spelled()
+    assert len(set(spelled)) == len(spelled) and set(spelled) == {g for w in found for g in toxicity.grams(w)}
+    number = {g: k for k, g in enumerate(spelled)}
+    values, weights = np.arange(len(spelled)) % 97, np.array([[k % 5, 1] for k in range(len(found))])
+    evidence, counts = made.evidence(values.astype(float)), Counter()
+    for k in rng.sample(range(len(found)), 3000):
+        assert evidence[k] == sum(values[number[g]] for g in toxicity.grams(found[k]))
+    for k, w in enumerate(found):
+        for g in toxicity.grams(w):
+            counts[g] += k % 5
+    assert made.counts(weights)[:, 0].tolist() == [counts[g] for g in spelled]
+    assert toxicity.Grams([]).spelled() == [] and len(toxicity.Grams([]).evidence(np.zeros(0))) == 0
