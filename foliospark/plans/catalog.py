@@ -8,6 +8,7 @@ grows with its tables.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from datetime import timedelta
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -673,10 +674,13 @@ def t2_stream_redact(spark, sf):
 
 
 def t3_dedupe_requests(spark, sf):
+    """Events as deliveries, two a request, in four batches that are out of order: every file holds every fourth hour."""
     root = shared_dir(spark) + "/t3-" + _unique()
-    stream = _stream(spark, sf, "events").select(
-        F.floor(F.col("event_id") / 2).cast("bigint").alias("request_id"), "ts")
-    jobs.run_once(jobs.dedupe_requests(stream, "1 day"), f"{root}/out", f"{root}/checkpoint")
+    events = table(spark, sf, "events").select(F.floor(F.col("event_id") / 2).cast("bigint").alias("request_id"), "ts")
+    (events.withColumn("file", F.pmod(F.unix_seconds(F.col("ts").cast("timestamp")) / 3600, F.lit(4)).cast("int"))
+     .repartition(4, "file").write.partitionBy("file").parquet(f"{root}/in"))
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in/*")
+    jobs.run_deduped(stream, f"{root}/out", f"{root}/checkpoint", timedelta(days=1))
     return spark.read.parquet(f"{root}/out").select("request_id")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -58,11 +59,49 @@ def stream_metadata(meta: DataFrame, mapping: DataFrame) -> DataFrame:
     return metadata.map_metadata(metadata.put_if_not_blank(meta), mapping)
 
 
-def dedupe_requests(requests: DataFrame, within: str = "1 hour", key: str = "request_id",
-                    ts: str = "ts") -> DataFrame:
-    """A request delivered again ``within`` the given time is dropped; state ends with the watermark."""
-    stamped = requests.withColumn(ts, F.col(ts).cast("timestamp"))
-    return stamped.withWatermark(ts, within).dropDuplicatesWithinWatermark([key])
+ARRIVED = "_arrived"
+
+
+def dedupe_requests(requests: DataFrame, within: timedelta = timedelta(hours=1), key: str = "request_id") -> DataFrame:
+    """The first delivery of each request; one that comes in again before ``within`` has passed is dropped.
+
+    Time is the clock at which a batch comes in, not the time written in a row: the watermark that ends the state then
+    never runs ahead of a row, so no first delivery is lost however late its own time is. Null keys are one request.
+    State is a key for each request of the last ``within``, in the executors' state store.
+    """
+    stamped = requests.withColumn(ARRIVED, F.current_timestamp())
+    return (stamped.withWatermark(ARRIVED, f"{max(1, int(within.total_seconds()))} seconds")
+            .dropDuplicatesWithinWatermark([key]).drop(ARRIVED))
+
+
+def run_deduped(requests: DataFrame, out_dir: str, checkpoint: str, within: timedelta = timedelta(hours=1), key: str = "request_id",
+                ts: str = "ts") -> None:
+    """First deliveries into ``out_dir/batch=N/late=false`` and, where late, into ``late=true``; all there is, then stop.
+
+    A row is late whose own time lies more than ``within`` behind the newest one let through by the batches before. That
+    time is kept by batch beside the checkpoint, so a batch that is repeated after a failure is cut the same way, and
+    replaces its own folder only.
+    """
+    spark = requests.sparkSession
+    newest_dir = f"{checkpoint.rstrip('/')}-newest"
+
+    def newest_before(batch_id: int) -> datetime | None:
+        if batch_id == 0:
+            return None
+        return spark.read.parquet(f"{newest_dir}/batch={batch_id - 1}").first().newest
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        before = newest_before(batch_id)
+        own = F.col(ts).cast("timestamp")
+        late = F.lit(False) if before is None else F.coalesce(own < F.lit(before - within).cast("timestamp"), F.lit(False))
+        folder = f"{out_dir}/batch={batch_id}"
+        batch.withColumn("late", late).write.mode("overwrite").partitionBy("late").parquet(folder)
+        written = spark.read.schema(batch.schema).parquet(folder).agg(F.max(own).alias("newest"))
+        (written.select(F.greatest("newest", F.lit(before).cast("timestamp")).alias("newest"))
+         .write.mode("overwrite").parquet(f"{newest_dir}/batch={batch_id}"))
+
+    dedupe_requests(requests, within, key).writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(
+        availableNow=True).start().awaitTermination()
 
 
 def run_once(stream: DataFrame, out_dir: str, checkpoint: str) -> None:

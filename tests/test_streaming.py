@@ -1,4 +1,6 @@
 import pathlib
+import random
+from datetime import timedelta
 
 from pyspark.sql import functions as F
 
@@ -59,20 +61,42 @@ def test_stream_metadata(spark, tmp_path):
     assert [tuple(r)[:4] for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [(1, "xml", "cm:title", "T")]
 
 
-def test_dedupe_over_restarts(spark, tmp_path):
-    schema = "request_id bigint, ts timestamp_ntz"
+SCHEMA = "request_id bigint, ts timestamp_ntz, note string"
 
-    def deliver(n, *ids):
-        spark.sql("SELECT * FROM VALUES " + ", ".join(
-            f"({i}L, timestamp_ntz'2024-01-01 00:{n:02d}:{s:02d}')" for s, i in enumerate(ids)) + " t(request_id, ts)"
-        ).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
 
-    def run():
-        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
-        jobs.run_once(jobs.dedupe_requests(stream, "1 hour"), str(tmp_path / "out"), str(tmp_path / "cp"))
-        return sorted(r.request_id for r in spark.read.parquet(str(tmp_path / "out")).collect())
-
-    deliver(1, 1, 2, 2, 3)
-    assert run() == [1, 2, 3]
-    deliver(5, 3, 4, 1)
-    assert run() == [1, 2, 3, 4]
+def deliver(spark, folder, *rows):
+    """rows: (request, day, hour)"""
+    spark.sql("SELECT * FROM VALUES " + ", ".join(
+        f"({'NULL' if i is None else f'{i}L'}, timestamp_ntz'2024-01-{day:02d} {hour:02d}:00:00', '{n}')" for n, (i, day, hour) in enumerate(rows))
+        + " t(request_id, ts, note)").coalesce(1).write.mode("append").parquet(str(folder / "in"))
+
+
+def firsts(spark, folder, within=timedelta(hours=1), per_batch=1):
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", per_batch).parquet(str(folder / "in"))
+    jobs.run_deduped(stream, str(folder / "out"), str(folder / "cp"), within)
+    return sorted((r.request_id or 0, r.ts.day, str(r.late) == "true") for r in spark.read.parquet(str(folder / "out")).collect())
+
+
+def test_no_first_delivery_is_lost_in_batches_out_of_order(spark, tmp_path):
+    deliver(spark, tmp_path, (1, 20, 1), (2, 20, 2), (2, 20, 3), (3, 20, 1), (None, 20, 1))
+    assert firsts(spark, tmp_path) == [(0, 20, False), (1, 20, False), (2, 20, False), (3, 20, False)]
+    deliver(spark, tmp_path, (4, 2, 1), (1, 20, 2), (3, 1, 1), (5, 20, 2))      # 4 is long behind
+    expected = [(0, 20, False), (1, 20, False), (2, 20, False), (3, 20, False), (4, 2, True), (5, 20, False)]
+    assert firsts(spark, tmp_path) == expected
+    deliver(spark, tmp_path, (4, 2, 2), (6, 10, 1))
+    deliver(spark, tmp_path, (2, 20, 2), (7, 25, 1), (6, 10, 1))
+    deliver(spark, tmp_path, (8, 24, 1))
+    assert firsts(spark, tmp_path) == sorted([*expected, (6, 10, True), (7, 25, False), (8, 24, True)])
+    assert {p.name for p in (tmp_path / "out").glob("batch=*/late=*")} == {"late=false", "late=true"}
+
+
+def test_all_firsts_of_many_batches(spark, tmp_path):
+    """Every request is in two of twelve files of random order and time."""
+    rng = random.Random(3)
+    files = [[] for _ in range(12)]
+    for request in range(200):
+        for file in rng.sample(range(12), 2):
+            files[file].append((request + 1, rng.randint(1, 28), rng.randint(0, 23)))
+    for rows in files:
+        deliver(spark, tmp_path, *rows)
+    assert [x[0] for x in firsts(spark, tmp_path, per_batch=3)] == list(range(1, 201))
