@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from foliospark.functions import html as H, markdown as M
 from foliospark.functions.formats import format_addresses
@@ -40,25 +40,19 @@ def markdown_blocks(docs: DataFrame) -> DataFrame:
 
 
 def markdown_toc(docs: DataFrame, depth: int = 3) -> DataFrame:
-    """Headings down to ``depth`` with number (1, 1.1, ...) and unique anchor.
-
-    Headings are picked before the rows are shuffled by document.
-    """
-    headings = docs.select("doc_id", F.inline(F.filter(
-        M.lines(F.col("markdown")), lambda x: (x["kind"] == "heading") & (x["level"] <= depth))))
-    by = ["doc_id"]
-    numbered = headings
-    for level in range(1, depth + 1):
-        w = Window.partitionBy(*by).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-        numbered = numbered.withColumn(f"_n{level}", F.count_if(F.col("level") == level).over(w))
-        by.append(f"_n{level}")
-    number = F.concat_ws(".", *[
-        F.when(F.col("level") >= level, F.col(f"_n{level}")).cast("string") for level in range(1, depth + 1)])
-    same = Window.partitionBy("doc_id", "_slug").orderBy("pos")
-    seen = F.row_number().over(same) - 1
-    return numbered.withColumn("_slug", M.slug(F.col("text"))).select(
-        "doc_id", "pos", "level", number.alias("number"), "text",
-        F.when(seen == 0, F.col("_slug")).otherwise(F.concat_ws("-", "_slug", seen)).alias("anchor"))
+    """Headings down to ``depth`` with number (1, 1.1, ...) and the id they have in ``markdown_to_html``; within the row."""
+    found = docs.select("doc_id", F.filter(M.lines(F.col("markdown")), lambda x: x["kind"] == "heading").alias("heads"),
+                        M.definitions(M.fence_parts(F.col("markdown"))).alias("known"))
+    slugs = found.select("doc_id", "heads", F.transform("heads", lambda x: M.slug(M.spans(x["text"], F.col("known")))).alias("slugs"))
+    named = slugs.select("doc_id", "heads", "slugs", M.seen_before(F.col("slugs")).alias("before"))
+    anchors = F.zip_with("slugs", "before", M.unique)
+    shown = named.select("doc_id", F.filter(F.arrays_zip(F.col("heads").alias("h"), anchors.alias("anchor")),
+                                            lambda x: x["h"]["level"] <= depth).alias("shown"))
+    heads = shown.select("doc_id", "shown", F.transform("shown", lambda x: x["h"]).alias("heads"))
+    levels = range(1, depth + 1)
+    counted = heads.select("doc_id", F.inline(F.arrays_zip("shown", *(M.since_above(F.col("heads"), k).alias(f"n{k}") for k in levels))))
+    number = F.concat_ws(".", *(F.when(F.col("shown.h.level") >= k, F.col(f"n{k}")).cast("string") for k in levels))
+    return counted.select("doc_id", "shown.h.pos", "shown.h.level", number.alias("number"), "shown.h.text", "shown.anchor")
 
 
 def email_body(parts: DataFrame) -> DataFrame:

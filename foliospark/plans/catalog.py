@@ -532,6 +532,19 @@ def c5_markdown_to_html(spark, sf):
     return convert.markdown_to_html(markdown_docs(spark, sf))
 
 
+def c5_markdown_structures(spark, sf):
+    """Tables, lists in lists, underlined headings and references around the words of each document."""
+    docs = texts(spark, sf, "documents", "doc_id", "text", "lang", "source", "n_chars").withColumn(
+        "w", F.regexp_extract_all("text", F.lit("([A-Za-z]+)"), F.lit(1))).where(F.size("w") > 8)
+    w = [F.col("w")[k] for k in range(9)]
+    markdown = F.concat(
+        w[0], F.lit("\n===\n\n| "), w[1], F.lit(" | n |\n|---|--:|\n| **"), w[2], F.lit("** | "), F.col("n_chars").cast("string"), F.lit(" |\n"),
+        w[3], F.lit("|\n\n* "), w[4], F.lit("\n  1. "), w[5], F.lit("\n  2. "), w[6], F.lit("\n     - "), F.col("lang"), F.lit("\n* ["), w[7],
+        F.lit("][The  Source]\n\n"), w[8], F.lit("\n-----\n["), F.col("lang"), F.lit("](http://y.org/"), F.col("doc_id").cast("string"),
+        F.lit(")\n\n[the source]: <http://x.org/"), F.col("source"), F.lit("> 'of it'\n"))
+    return convert.markdown_to_html(docs.select("doc_id", markdown.alias("markdown")), standalone=False)
+
+
 def c6_markdown_blocks(spark, sf):
     return convert.markdown_blocks(markdown_docs(spark, sf))
 

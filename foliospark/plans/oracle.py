@@ -208,13 +208,21 @@ fenced AS (SELECT *, line = '```' AS fence, sum(CASE WHEN line = '```' THEN 1 EL
              count(*) OVER (PARTITION BY doc_id) AS n FROM marked),
 kept AS (SELECT *, fences % 2 = 1 AS code FROM fenced WHERE NOT fence),
 -- an empty last line is the end of the line before it, not a line
-lines AS (
-  SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1)::INTEGER AS pos, i, fences, line,
+kinds AS (
+  SELECT doc_id, i, n, fences, line,
     CASE WHEN code THEN 'code' WHEN regexp_matches(line, '^ {{0,3}}#{{1,6}}(?:[ \t]+|$)') THEN 'heading'
       WHEN regexp_matches(line, '^ {{0,3}}(?:-{{3,}}|\\*{{3,}}|_{{3,}})[ \t]*$') THEN 'rule'
       WHEN regexp_matches(line, '^[ \t]*(?:[-*+]|[0-9]{{1,9}}[.)])[ \t]+') THEN 'item'
       WHEN regexp_matches(line, '^\\s*$') THEN 'blank' ELSE 'text' END AS kind
-  FROM kept WHERE NOT (line = '' AND i = n))"""
+  FROM kept WHERE NOT (line = '' AND i = n)),
+-- a line of hyphens right below a line of text makes it a heading
+under AS (SELECT *, coalesce(regexp_matches(line, '^ {{0,3}}-+[ \t]*$') AND kind <> 'code' AND lag(kind) OVER w = 'text' AND lag(fences) OVER w = fences
+    AND lag(i) OVER w = i - 1 AND regexp_matches(lag(line) OVER w, '^ {{0,3}}[^ \t>]'), false) AS is_under FROM kinds WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+headed AS (SELECT *, coalesce(lead(is_under) OVER (PARTITION BY doc_id ORDER BY i), false) AS heads FROM under),
+lines AS (
+  SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1)::INTEGER AS pos, i, fences,
+    CASE WHEN heads THEN '## ' || line ELSE line END AS line, CASE WHEN heads THEN 'heading' ELSE kind END AS kind
+  FROM headed WHERE NOT is_under)"""
 _HEAD_TEXT = sub("line", (r"^ {0,3}#{1,6}(?:[ \t]+|$)", ""), (r"(?:^|[ \t]+)#*[ \t]*$", ""))
 MD_BLOCKS = f"""{MD_LINES},
 blocks AS (SELECT doc_id, pos, kind,
@@ -229,18 +237,25 @@ def _slug_of(text: str) -> str:
     return _SLUG.replace("regexp_replace(text,", f"regexp_replace({text},")
 
 
-def _md_html() -> str:
-    """Blocks become tags line by line; neighbours of one kind are grouped by window functions."""
+def _md_inline() -> str:
     inline = sub("text", (r"&([a-zA-Z][a-zA-Z0-9]*|#[0-9]+|#[xX][0-9a-fA-F]+);", "①\\1;"))
     inline = swap(inline, ("&", "&amp;"), ("①", "&"))
     inline = sub(inline, (r"<([^a-zA-Z/!]|\z)", r"&lt;\1"), (r"\[link\]\(([^)\s]+)\)", r'<a href="\1">link</a>'),
                  (r"\*\*bold\*\*", "<strong>bold</strong>"), (r"`c\*d`", "<code>c*d</code>"))
-    code = swap("text", ("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"))
+    return inline
+
+
+def _md_html() -> str:
+    """Blocks become tags line by line; neighbours of one kind are grouped by window functions."""
+    inline, code = _md_inline(), swap("text", ("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"))
     return f"""WITH {MD_BLOCKS},
+again AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY doc_id, slug ORDER BY pos) - 1 AS again
+          FROM (SELECT doc_id, pos, {_slug_of('html')} AS slug FROM (SELECT doc_id, pos, {inline} AS html FROM blocks WHERE kind = 'heading'))),
 typed AS (SELECT b.doc_id, b.pos, b.i, b.fences, b.level, b.kind, CASE WHEN b.kind = 'item' AND regexp_matches(l.line, '^[ \t]*[0-9]') THEN 'ol'
             WHEN b.kind = 'item' THEN 'ul' WHEN b.kind = 'text' THEN 'p' WHEN b.kind = 'code' THEN 'code' ELSE b.kind END AS tag,
             CASE WHEN b.kind = 'code' THEN {code} ELSE {inline} END AS html
-          FROM blocks b JOIN lines l USING (doc_id, pos)),
+            , CASE WHEN again > 0 THEN '-' || again ELSE '' END AS suffix
+          FROM blocks b JOIN lines l USING (doc_id, pos) LEFT JOIN again USING (doc_id, pos)),
 -- blank lines end a paragraph, but do not part two lists of one kind when single
 seen AS (SELECT *, lag(tag) OVER w AS before1, lag(i) OVER w AS i1, lag(fences) OVER w AS fences1, lag(tag, 2) OVER w AS before2,
            lag(fences, 2) OVER w AS fences2 FROM typed WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
@@ -250,7 +265,7 @@ grouped AS (SELECT *, sum(CASE WHEN fences IS NOT DISTINCT FROM fences1 AND tag
         SELECT *, tag = 'blank' AND before1 IN ('ul', 'ol') AND lead(tag) OVER w = before1 AND lead(fences) OVER w = fences
           AND fences = fences1 AS inner_blank FROM seen WINDOW w AS (PARTITION BY doc_id ORDER BY pos)) WHERE NOT inner_blank)),
 parts AS (SELECT doc_id, g, any_value(tag) AS tag, CASE any_value(tag)
-     WHEN 'heading' THEN any_value('<h' || level || ' id="' || {_slug_of('html')} || '">' || html || '</h' || level || '>')
+     WHEN 'heading' THEN any_value('<h' || level || ' id="' || {_slug_of('html')} || suffix || '">' || html || '</h' || level || '>')
      WHEN 'rule' THEN '<hr />'
      WHEN 'p' THEN '<p>' || string_agg({sub('html', (r'^ +', ''))}, chr(10) ORDER BY pos) || '</p>'
      WHEN 'code' THEN '<pre><code>' || string_agg(html, chr(10) ORDER BY pos) || '</code></pre>'
@@ -492,10 +507,18 @@ def _statements() -> dict[str, str]:
     s["c4_html_links"] = f"""SELECT page_id, pos, {href} AS href,
       {squeeze(swap(sub('link', ('^<[^>]*>|</[aA]>$', '')), *_ENT))} AS text FROM ({LINKS})"""
     s["c5_markdown_to_html"] = _md_html()
+    w = [f"regexp_extract_all(text, '[A-Za-z]+')[{k}]" for k in range(1, 10)]
+    s["c5_markdown_structures"] = f"""SELECT doc_id, replace('<h1 id="' || lower({w[0]}) || '">' || {w[0]} || '</h1>|<table>|<thead>|<tr>|<th>' || {w[1]}
+      || '</th>|<th align="right">n</th>|</tr>|</thead>|<tbody>|<tr>|<td><strong>' || {w[2]} || '</strong></td>|<td align="right">' || n_chars
+      || '</td>|</tr>|<tr>|<td>' || {w[3]} || '</td>|<td align="right"></td>|</tr>|</tbody>|</table>|<ul>|<li>' || {w[4]} || '|<ol>|<li>' || {w[5]}
+      || '</li>|<li>' || {w[6]} || '|<ul>|<li>' || lang || '</li>|</ul>|</li>|</ol>|</li>|<li><a href="http://x.org/' || source || '">' || {w[7]}
+      || '</a></li>|</ul>|<h2 id="' || CASE WHEN lower({w[8]}) = lower({w[0]}) THEN lower({w[0]}) || '-1' ELSE lower({w[8]}) END || '">' || {w[8]}
+      || '</h2>|<p>' || '<a href="http://y.org/' || doc_id || '">' || lang || '</a></p>', '|', chr(10)) AS html
+      FROM documents WHERE len(regexp_extract_all(text, '[A-Za-z]+')) > 8"""
     s["c6_markdown_blocks"] = f"WITH {MD_BLOCKS} SELECT doc_id, pos, kind, level, text FROM blocks"
     s["c7_markdown_toc"] = f"""WITH {MD_BLOCKS},
-      heads AS (SELECT *, {_SLUG} AS slug, count(*) FILTER (WHERE level = 1) OVER (PARTITION BY doc_id ORDER BY pos) AS n1
-                FROM blocks WHERE kind = 'heading' AND level <= 3),
+      heads AS (SELECT *, {_slug_of(_md_inline())} AS slug, count(*) FILTER (WHERE level = 1) OVER (PARTITION BY doc_id ORDER BY pos) AS n1
+                FROM blocks WHERE kind = 'heading' AND level <= 3),   -- deeper ones do not occur
       heads2 AS (SELECT *, count(*) FILTER (WHERE level = 2) OVER (PARTITION BY doc_id, n1 ORDER BY pos) AS n2 FROM heads),
       heads3 AS (SELECT *, count(*) FILTER (WHERE level = 3) OVER (PARTITION BY doc_id, n1, n2 ORDER BY pos) AS n3,
                    row_number() OVER (PARTITION BY doc_id, slug ORDER BY pos) - 1 AS again FROM heads2)

@@ -76,6 +76,56 @@ def test_markdown_to_html(spark, markdown, html):
     assert one(spark, M.to_html, markdown) == html
 
 
+MARKDOWN = [
+    ("Title\n=====\ntext\nSub\n---\n\n---\n- i\n---", '<h1 id="title">Title</h1>\n<p>text</p>\n<h2 id="sub">Sub</h2>\n<hr />\n<ul>\n<li>i</li>\n</ul>\n<hr />'),
+    ("a\n===\n# a\n## a ##\n### b", '<h1 id="a">a</h1>\n<h1 id="a-1">a</h1>\n<h2 id="a-2">a</h2>\n<h3 id="b">b</h3>'),
+    ("| a | b **c** |\n|---|:-:|\n| 1 | 2\\|3 |\n4|5|6\n7|\nend", "<table>\n<thead>\n<tr>\n<th>a</th>\n<th align=\"center\">b <strong>c</strong></th>\n"
+     "</tr>\n</thead>\n<tbody>\n<tr>\n<td>1</td>\n<td align=\"center\">2|3</td>\n</tr>\n<tr>\n<td>4</td>\n<td align=\"center\">5</td>\n</tr>\n"
+     "<tr>\n<td>7</td>\n<td align=\"center\"></td>\n</tr>\n</tbody>\n</table>\n<p>end</p>"),
+    ("x|y\n:--|--:", '<table>\n<thead>\n<tr>\n<th align="left">x</th>\n<th align="right">y</th>\n</tr>\n</thead>\n</table>'),
+    ("a|b|c\n--|--\nd", "<p>a|b|c\n--|--\nd</p>"),
+    ("- a\n  - b\n    1. c\n    2. d\n  - e\n- f", "<ul>\n<li>a\n<ul>\n<li>b\n<ol>\n<li>c</li>\n<li>d</li>\n</ol>\n</li>\n<li>e</li>\n</ul>\n</li>\n<li>f</li>\n</ul>"),
+    ("1. a\n   more\n\n   - b\n\n\n- c\nend", "<ol>\n<li>a\nmore\n<ul>\n<li>b</li>\n</ul>\n</li>\n</ol>\n<ul>\n<li>c</li>\n</ul>\n<p>end</p>"),
+    ("* a\n\t+ b\n1. c\n   * d\n# h", "<ul>\n<li>a\n<ul>\n<li>b</li>\n</ul>\n</li>\n</ul>\n<ol>\n<li>c\n<ul>\n<li>d</li>\n</ul>\n</li>\n</ol>\n<h1 id=\"h\">h</h1>"),
+    ("p\n\n- a\n  - b\n\nq", "<p>p</p>\n<ul>\n<li>a\n<ul>\n<li>b</li>\n</ul>\n</li>\n</ul>\n<p>q</p>"),
+    ("[a b][Ref] [ref][] [ref] [no] ![pic][ref] [x](y) `[ref]`\n\n[REF]: http://x.org/q?a=1&b \"T\"\n[ref]: other", '<p><a href="http://x.org/q?a=1&b">a b</a> '
+     '<a href="http://x.org/q?a=1&b">ref</a> <a href="http://x.org/q?a=1&b">ref</a> [no] <img src="http://x.org/q?a=1&b" alt="pic" /> <a href="y">x</a> '
+     "<code>[ref]</code></p>"),
+    ("```\na|b\n---|---\n[r]: u\n  - x\n===\n```\n[r]", "<pre><code>a|b\n---|---\n[r]: u\n  - x\n===</code></pre>\n<p>[r]</p>"),
+]
+
+
+def test_tables_nested_lists_underlined_headings_references(spark):
+    rows = spark.createDataFrame([(k, m) for k, (m, _) in enumerate(MARKDOWN)], "doc_id int, markdown string")
+    got = {r.doc_id: r.html for r in convert.markdown_to_html(rows, standalone=False).collect()}
+    for k, (markdown, html) in enumerate(MARKDOWN):
+        assert got[k] == html, markdown
+
+
+def test_anchors_are_the_ids_of_the_page(spark):
+    import re
+
+    text = "# A\n## See [link](u)\n# A\nB c\n---\n#### A\n### `A`\n## [t][r] & *x*\n\n[r]: http://u\n\n    # code? no\nLast\n==="
+    docs = spark.createDataFrame([(1, text), (2, ""), (3, None)], "doc_id int, markdown string")
+    html = {r.doc_id: r.html for r in convert.markdown_to_html(docs, standalone=False).collect()}
+    toc = convert.markdown_toc(docs, depth=6).orderBy("pos").collect()
+    ids = re.findall(r'id="([^"]*)"', html[1])
+    assert [t.anchor for t in toc] == ids == ["a", "see-link", "a-1", "b-c", "a-2", "a-3", "t-x", "last"]
+    assert [t.number for t in toc] == ["1", "1.1", "2", "2.1", "2.1.0.1", "2.1.1", "2.2", "3"]
+    assert [t.anchor for t in convert.markdown_toc(docs, depth=1).orderBy("pos").collect()] == ["a", "a-1", "last"]
+    assert "Exchange" not in convert.markdown_toc(docs)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_long_lists_and_tables_take_little_more_than_linear_time(spark):
+    import time
+
+    for line, extra in (("- a\n  - b\n", ""), ("a|b\n", "c|d\n--|--\n"), ("# a\n", "")):
+        page = spark.range(1).select(F.lit(1).alias("doc_id"), F.concat(F.lit(extra), F.repeat(F.lit(line), 20_000)).alias("markdown"))
+        started = time.monotonic()
+        convert.markdown_to_html(page).collect()
+        assert time.monotonic() - started < 60, line
+
+
 def test_markdown_page(spark):
     docs = spark.createDataFrame([(1, "x")], "doc_id int, markdown string")
     page = convert.markdown_to_html(docs).first().html
