@@ -65,3 +65,23 @@ def sums_before(values: Column) -> Column:
 def max_before(values: Column) -> Column:
     """For an array of ints, the greatest element before each position (-1 for none)."""
     return _scan(values, -1, lambda a, b: F.greatest(a, b))
+
+
+def fold_text(rows: Column, start: Column, step: Callable[[Column, Column], Column], end: Callable[[Column], Column]) -> Column:
+    """Text that ``step`` appends to the state's ``out`` row by row, and what ``end`` makes of the last state.
+
+    The rows are folded in runs of about the root of their number, each with an ``out`` of its own, so that what is
+    written is not copied for every row.
+    """
+    def run(acc: Column, part: Column) -> Column:
+        done = F.aggregate(part, acc["state"].withField("out", F.lit("")), step)
+        return let(done, lambda d: F.struct(d.alias("state"), F.array_append(acc["outs"], d["out"]).alias("outs")))
+
+    def whole(rs: Column) -> Column:
+        width = F.greatest(F.ceil(F.sqrt(F.size(rs))).cast("int"), F.lit(1))
+        return let(width, lambda w: F.aggregate(
+            F.transform(F.sequence(F.lit(0), F.floor((F.size(rs) - 1) / w).cast("int")), lambda b: F.slice(rs, b * w + 1, w)),
+            F.struct(start.alias("state"), F.array().cast("array<string>").alias("outs")), run,
+            lambda acc: F.concat(F.array_join(acc["outs"], ""), end(acc["state"]))))
+
+    return let(rows, whole)

@@ -13,14 +13,14 @@ from itertools import count
 
 from pyspark.sql import Column, functions as F
 
-from foliospark.functions.arrays import let
+from foliospark.functions.arrays import fold_text, let
 from foliospark.functions.formats import lookup
 from foliospark.functions.text import replace_each, squeeze
 
 _codes = count(0xFDD0)
 (BREAK, LINE, PARA, RULE, ITEM, NUMBER, HEAD, HEAD_END, BOLD, BOLD_END, ITALIC, ITALIC_END, CODE,
- LINK, LINK_MID, LINK_END, QUOTE, QUOTE_END, ROW, FIRST_ROW, CELL, PIPE, CUT, LESS, GREATER) = (
-    chr(next(_codes)) for _ in range(25))
+ LINK, LINK_MID, LINK_END, QUOTE, QUOTE_END, ROW, FIRST_ROW, CELL, PIPE, CUT, LESS, GREATER,
+ HREF, HREF_END, ANCHOR_END, IMAGE, PAD) = (chr(next(_codes)) for _ in range(30))
 MARKS = "[\ufdd0-\ufdef]"
 
 BLOCK_TAGS = ("address|article|aside|body|center|dd|details|div|dl|dt|fieldset|figcaption|figure|footer|form|"
@@ -126,6 +126,14 @@ def block_pieces(html: Column) -> Column:
     return F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), block)
 
 
+def _attribute(attributes: Column, name: str) -> Column:
+    """The value of an attribute, quoted or bare; empty if there is none."""
+    quoted = F.regexp_extract(attributes, rf"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|'[^']*')""", 1)
+    single = F.regexp_extract(attributes, rf"""(?is)\s{name}\s*=\s*'([^']*)'""", 1)
+    bare = F.regexp_extract(attributes, rf"""(?is)\s{name}\s*=\s*([^\s"']\S*)""", 1)
+    return F.concat(quoted, single, bare)
+
+
 def link_pieces(html: Column) -> Column:
     """Links as ``array<struct<href, text>>`` in text order; anchors without href are left out."""
     opened = F.regexp_replace(_mask(without_code(html)), r"(?i)<a(\s[^<>]*)>", f"{CUT}$1{LINE}")
@@ -133,11 +141,8 @@ def link_pieces(html: Column) -> Column:
     def link(piece: Column) -> Column:
         attributes = F.substring_index(piece, LINE, 1)
         inner = F.regexp_replace(F.substring_index(piece, LINE, -1), r"(?is)</a\s*>.*\z", "")
-        quoted = F.regexp_extract(attributes, r"""(?is)\shref\s*=\s*(?:"([^"]*)"|'[^']*')""", 1)
-        single = F.regexp_extract(attributes, r"""(?is)\shref\s*=\s*'([^']*)'""", 1)
-        bare = F.regexp_extract(attributes, r"""(?is)\shref\s*=\s*([^\s"']\S*)""", 1)
         return F.struct(
-            decode_entities(_unmask(F.concat(quoted, single, bare))).alias("href"),
+            decode_entities(_unmask(_attribute(attributes, "href"))).alias("href"),
             squeeze(decode_entities(_unmask(_sub(inner, (r"<[^<>]*>", " "))))).alias("text"),
             F.regexp_like(attributes, F.lit(r"(?is)\shref\s*=\s*\S")).alias("linked"),
         )
@@ -212,6 +217,7 @@ def _escape(text: Column) -> Column:
         (r"([\\`*\[\]<])", r"\\$1"),
         (rf"([{blocks}] ?)([#>+-]+)( |\z)", r"$1\\$2$3"),
         (rf"([{blocks}] ?)([0-9]{{1,9}})([.)])( |\z)", r"$1$2\\$3$4"),
+        (f"!({LINK})", r"\\!$1"),
     )
 
 
@@ -220,12 +226,69 @@ def _inline(html: Column) -> Column:
     strong = (rf"(?i)<(?:b|strong){_ATTRS}>([^<]*)</(?:b|strong)\s*>", f"{BOLD}$1{BOLD_END}")
     emphasis = (rf"(?i)<(?:i|em){_ATTRS}>([^<]*)</(?:i|em)\s*>", f"{ITALIC}$1{ITALIC_END}")
     code = (rf"(?i)<code{_ATTRS}>([^<]*)</code\s*>", f"{CODE}$1{CODE}")
-    link = (r"""(?i)<a(?:\s[^<>]*)?\shref\s*=\s*["']([^"'<>]*)["'][^<>]*>([^<]*)</a\s*>""",
-            f"{LINK}$2{LINK_MID}$1{LINK_END}")
     broken = F.regexp_replace(html, r"(?i)<br\s*/?\s*>", BREAK)
-    return let(broken, lambda h: F.when(
-        F.regexp_like(h, F.lit(r"(?i)</(?:b|strong|i|em|code)\s*>")),
-        _sub(h, code, strong, emphasis, strong, link, strong, emphasis)).otherwise(_sub(h, link)))
+
+    def styled(h: Column) -> Column:
+        return F.when(F.regexp_like(h, F.lit(r"(?i)</(?:b|strong|i|em|code)\s*>")),
+                      _sub(h, code, strong, emphasis, strong, strong, emphasis)).otherwise(h)
+
+    marked = let(broken, lambda h: F.when(F.regexp_like(h, F.lit(r"(?i)<(?:a|img)\s")), _links(h)).otherwise(h))
+    return let(marked, styled)
+
+
+def _links(html: Column) -> Column:
+    """Links and images as marks, whatever tags a link is around; blocks at its edges are put around it."""
+    def opened(attributes: Column) -> Column:
+        return F.when(F.regexp_like(attributes, F.lit(r"(?i)\shref\s*=")), F.concat(F.lit(HREF), _address(attributes, "href"), F.lit(HREF_END))).otherwise("")
+
+    def image(attributes: Column) -> Column:
+        source = _address(attributes, "src")
+        return F.when(source != "", F.concat(F.lit(IMAGE), squeeze(_attribute(attributes, "alt")), F.lit(LINK_MID), source, F.lit(LINK_END))).otherwise("")
+
+    def turned(found: Column) -> Column:
+        address, inner = F.substring_index(found, HREF_END, 1), F.substring_index(found, HREF_END, -1)
+        edges = rf"(?is)^((?:\s*<(?:{BLOCK_TAGS}|h[1-6]){_ATTRS}>)*+\s*)(.*?)(\s*(?:</(?:{BLOCK_TAGS}|h[1-6])\s*>\s*)*)\z"
+        text = F.regexp_replace(F.regexp_extract(inner, edges, 2), rf"(?i)</?(?:{BLOCK_TAGS}|h[1-6]|li){_ATTRS}/?>", " ")
+        return F.concat(F.regexp_extract(inner, edges, 1), F.lit(LINK), text, F.lit(LINK_MID), address, F.lit(LINK_END), F.regexp_extract(inner, edges, 3))
+
+    marked = replace_each(replace_each(html, r"(?i)<a(\s[^<>]*)>", opened), r"(?i)<img(\s[^<>]*)>", image)
+    closed = F.regexp_replace(marked, r"(?i)</a\s*>", ANCHOR_END)
+    whole = replace_each(closed, f"{HREF}([^{HREF}{HREF_END}]*{HREF_END}[^{HREF}{ANCHOR_END}]*){ANCHOR_END}", turned)
+    return _sub(whole, (f"{HREF}[^{HREF_END}]*{HREF_END}|{ANCHOR_END}", ""))
+
+
+def _address(attributes: Column, name: str) -> Column:
+    return F.replace(F.trim(F.regexp_replace(_attribute(attributes, name), r"/?\z", "") if name == "src" else _attribute(attributes, name)), F.lit(" "), F.lit("%20"))
+
+
+def _lists(html: Column) -> Column:
+    """Items with their marker and indent: the lists around them are a stack carried over the list tags."""
+    def piece(p: Column) -> Column:
+        tag = F.lower(F.regexp_extract(p, r"^<(/?[a-zA-Z]+)", 1))
+        known = tag.isin("ul", "ol", "/ul", "/ol", "li")
+        return F.struct(F.when(known, tag).otherwise("").alias("tag"),
+                        F.when(known, F.regexp_replace(p, r"^<[^<>]*>", "")).otherwise(p).alias("body"))
+
+    def indent(lists: Column) -> Column:
+        width = F.aggregate(lists, F.lit(0), lambda n, x: n + F.when(x == "ol", 3).otherwise(2))
+        return F.repeat(F.lit(PAD), width)
+
+    def state(lists: Column, out: Column) -> Column:
+        return F.struct(lists.cast("array<string>").alias("lists"), out.cast("string").alias("out"))
+
+    def step(st: Column, p: Column) -> Column:
+        lists, inside = st["lists"], F.size(st["lists"]) > 0
+        outer = F.slice(lists, F.lit(1), F.greatest(F.size(lists) - 1, F.lit(0)))
+        marker = F.when(F.element_at(F.concat(F.array(F.lit("ul")), lists), -1) == "ol", NUMBER).otherwise(ITEM)
+        return (F.when(p["tag"].isin("ul", "ol"), state(F.array_append(lists, p["tag"]), F.concat(
+                    st["out"], F.when(inside, LINE).otherwise(PARA), p["body"])))
+                 .when(p["tag"].isin("/ul", "/ol"), state(outer, F.concat(
+                    st["out"], F.when(F.size(outer) > 0, F.concat(F.lit(LINE), indent(outer))).otherwise(F.lit(PARA)), p["body"])))
+                 .when(p["tag"] == "li", state(lists, F.concat(st["out"], F.lit(LINE), indent(outer), marker, p["body"])))
+                 .otherwise(state(lists, F.concat(st["out"], p["body"]))))
+
+    pieces = F.transform(F.split(html, r"(?i)(?=<(?:/?[uo]l|li)[\s>/])"), piece)
+    return fold_text(pieces, state(F.array(), F.lit("")), step, lambda _: F.lit(""))
 
 
 # Mark for each tag that lays out text; every other tag is dropped.
@@ -239,7 +302,7 @@ _TAG_MARKS = {
 _MARKDOWN = {
     PARA: "\n\n", LINE: "\n", BREAK: "  \n", ITEM: "- ", NUMBER: "1. ", RULE: "---",
     BOLD: "**", BOLD_END: "**", ITALIC: "*", ITALIC_END: "*", LINK: "[", LINK_MID: "](", LINK_END: ")",
-    CELL: "|", PIPE: "\\|", LESS: "<", GREATER: ">", QUOTE: QUOTE, QUOTE_END: QUOTE_END,
+    IMAGE: "![", PAD: " ", CELL: "|", PIPE: "\\|", LESS: "<", GREATER: ">", QUOTE: QUOTE, QUOTE_END: QUOTE_END,
     **{f"{HEAD}{n}{HEAD_END}": "#" * n + " " for n in range(1, 7)},
 }
 
@@ -247,12 +310,8 @@ _MARKDOWN = {
 def _flow(html: Column) -> Column:
     """Markdown for a stretch of HTML outside ``pre``."""
     with_tables = F.when(F.regexp_like(html, F.lit(r"(?i)<tr[\s>]")), let(html, _tables)).otherwise(html)
-    with_numbers = let(with_tables, lambda h: F.when(
-        F.regexp_like(h, F.lit(r"(?i)<ol[\s>]")),
-        _inside(h, rf"(?i)</?ol{_ATTRS}>",
-                lambda s: F.concat(F.lit(PARA), _sub(s, (rf"(?i)<li{_ATTRS}>", LINE + NUMBER)), F.lit(PARA))),
-    ).otherwise(h))
-    tags = replace_each(_inline(with_numbers), rf"<([!?/]?[a-zA-Z][a-zA-Z0-9]*){_ATTRS}/?>",
+    with_lists = let(with_tables, lambda h: F.when(F.regexp_like(h, F.lit(r"(?i)<[uo]l[\s>]")), _lists(h)).otherwise(h))
+    tags = replace_each(_inline(with_lists), rf"<([!?/]?[a-zA-Z][a-zA-Z0-9]*){_ATTRS}/?>",
                         lambda name: lookup(_TAG_MARKS, F.lower(name)))
     marked = F.concat(F.lit(PARA), _sub(tags, (r"\s+", " ")))
     code_parts = F.split(decode_entities(marked), CODE)
@@ -265,7 +324,8 @@ def _flow(html: Column) -> Column:
               (BOLD + BOLD_END, ""), (ITALIC + ITALIC_END, ""))).otherwise(m))
     merged = _sub(
         spaced,
-        (f" *([{BREAK}{LINE}{PARA}]) *", "$1"),
+        (f" *([{BREAK}{LINE}{PARA}{PAD}]) *", "$1"),
+        (f"{PAD}+(?=[{BREAK}{LINE}{PARA}]|\\z)", ""),
         (f"([{ITEM}{NUMBER}{QUOTE}{HEAD_END}]) *[{BREAK}{LINE}{PARA}]+", "$1"),
         (f"[{BREAK}{LINE}{PARA}]*{PARA}[{BREAK}{LINE}{PARA}]*", PARA),
         (f"[{BREAK}{LINE}]*{LINE}[{BREAK}{LINE}]*", LINE),

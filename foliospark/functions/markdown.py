@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, SparkSession, functions as F
 
-from foliospark.functions.arrays import let, max_before, sums_before
+from foliospark.functions.arrays import fold_text, let, max_before, sums_before
 from foliospark.functions.text import replace_each
 
 FENCE, INFO, ENTITY, ID = "\ufdd0", "\ufdd1", "\ufdd2", "\ufdd3"
@@ -290,22 +290,8 @@ def _list_state(levels: Column, blanks: Column, out: Column) -> Column:
 
 
 def _nested(rows: Column) -> Column:
-    """Lists inside lists: a stack of open lists carried over the lines, in runs of about the root of their number, so that
-    what is written is not copied for each line."""
-    start = _list_state(F.array(), F.lit(0), F.lit(""))
-
-    def run(acc: Column, lines: Column) -> Column:
-        done = F.aggregate(lines, acc["state"].withField("out", F.lit("")), _list_step)
-        return let(done, lambda d: F.struct(d.alias("state"), F.array_append(acc["outs"], d["out"]).alias("outs")))
-
-    def whole(rs: Column) -> Column:
-        width = F.greatest(F.ceil(F.sqrt(F.size(rs))).cast("int"), F.lit(1))
-        return let(width, lambda w: F.aggregate(
-            F.transform(F.sequence(F.lit(0), F.floor((F.size(rs) - 1) / w).cast("int")), lambda b: F.slice(rs, b * w + 1, w)),
-            F.struct(start.alias("state"), F.array().cast("array<string>").alias("outs")), run,
-            lambda acc: F.concat(F.array_join(acc["outs"], ""), _closing(acc["state"]["open"]))))
-
-    return let(rows, whole)
+    """Lists inside lists: a stack of open lists carried over the lines."""
+    return fold_text(rows, _list_state(F.array(), F.lit(0), F.lit("")), _list_step, lambda state: _closing(state["open"]))
 
 
 NESTED = r"(?m)^(?:\t| {2,})[ \t]*(?:[-*+]|[0-9]{1,9}[.)])[ \t]"

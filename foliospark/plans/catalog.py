@@ -528,6 +528,42 @@ def c4_html_links(spark, sf):
     return convert.html_links(texts(spark, sf, "pages", "page_id", "html"))
 
 
+def _quoted_pages(spark, sf):
+    """Every page behind a paragraph whose attributes hold angle brackets, a link around a tag and an image."""
+    number = F.col("page_id").cast("string")
+    front = F.concat(F.lit("<p title=\"5 > 3\" class='<b>'>q <a title=\"a < b\" href=/x?n="), number,
+                     F.lit("><span>text</span></a> <img alt='<p>' src=\"i"), number, F.lit(".png\"></p>"))
+    return texts(spark, sf, "pages", "page_id", "html").select("page_id", F.concat(front, "html").alias("html"))
+
+
+def c1_quoted_brackets(spark, sf):
+    return convert.html_text(_quoted_pages(spark, sf))
+
+
+def c2_quoted_brackets(spark, sf):
+    return convert.html_to_markdown(_quoted_pages(spark, sf))
+
+
+def c3_quoted_brackets(spark, sf):
+    return convert.html_blocks(_quoted_pages(spark, sf))
+
+
+def c4_quoted_brackets(spark, sf):
+    return convert.html_links(_quoted_pages(spark, sf))
+
+
+def c2_lists_and_links(spark, sf):
+    """Lists in lists, links around blocks and images around the words of each document."""
+    docs = texts(spark, sf, "documents", "doc_id", "text", "lang", "source").withColumn(
+        "w", F.regexp_extract_all("text", F.lit("([A-Za-z]+)"), F.lit(1))).where(F.size("w") > 6)
+    w = [F.col("w")[k] for k in range(7)]
+    html = F.concat(
+        F.lit("<a href='/"), F.col("source"), F.lit("'><h2>"), w[0], F.lit(" <em>"), w[1], F.lit("</em></h2></a><OL><li>"), w[2], F.lit("<ul class=a><li>"),
+        w[3], F.lit("<li><a href=http://x.org/"), F.col("doc_id").cast("string"), F.lit("><b>"), w[4], F.lit("</b></a><ol><li>"), w[5],
+        F.lit("</ol></ul>then</li><li><img src=a.png alt='"), w[6], F.lit("'></li></OL>"), F.col("lang"))
+    return convert.html_to_markdown(docs.select(F.col("doc_id").alias("page_id"), html.alias("html")))
+
+
 def c5_markdown_to_html(spark, sf):
     return convert.markdown_to_html(markdown_docs(spark, sf))
 

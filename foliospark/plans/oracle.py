@@ -506,6 +506,18 @@ def _statements() -> dict[str, str]:
     href = swap("regexp_extract(link, 'href=\"([^\"]*)\"', 1)", *_ENT)
     s["c4_html_links"] = f"""SELECT page_id, pos, {href} AS href,
       {squeeze(swap(sub('link', ('^<[^>]*>|</[aA]>$', '')), *_ENT))} AS text FROM ({LINKS})"""
+    # what the paragraph before each page gives, and the page itself
+    s["c1_quoted_brackets"] = f"SELECT page_id, rtrim('q text ' || text) AS text FROM ({s['c1_html_text']})"
+    s["c2_quoted_brackets"] = f"""SELECT page_id, 'q [text](/x?n=' || page_id || ') ![<p>](i' || page_id || '.png)' ||
+      CASE WHEN markdown = '' THEN '' ELSE chr(10) || chr(10) || markdown END AS markdown FROM ({s['c2_html_to_markdown']})"""
+    s["c3_quoted_brackets"] = f"""SELECT page_id, 0 AS pos, 'p' AS tag, 'q <a title="a < b" href=/x?n=' || page_id || '><span>text</span></a> <img alt=''<p>'' src="i'
+      || page_id || '.png">' AS html FROM pages UNION ALL SELECT page_id, pos + 1, tag, html FROM ({s['c3_html_blocks']})"""
+    s["c4_quoted_brackets"] = f"""SELECT page_id, 0 AS pos, '/x?n=' || page_id AS href, 'text' AS text FROM pages
+      UNION ALL SELECT page_id, pos + 1, href, text FROM ({s['c4_html_links']})"""
+    v = [f"regexp_extract_all(text, '[A-Za-z]+')[{k}]" for k in range(1, 8)]
+    s["c2_lists_and_links"] = f"""SELECT doc_id AS page_id, replace('## [' || {v[0]} || ' *' || {v[1]} || '*](/' || source || ')||1. ' || {v[2]} || '|   - '
+      || {v[3]} || '|   - [**' || {v[4]} || '**](http://x.org/' || doc_id || ')|     1. ' || {v[5]} || '|   then|1. ![' || {v[6]} || '](a.png)||' || lang,
+      '|', chr(10)) AS markdown FROM documents WHERE len(regexp_extract_all(text, '[A-Za-z]+')) > 6"""
     s["c5_markdown_to_html"] = _md_html()
     w = [f"regexp_extract_all(text, '[A-Za-z]+')[{k}]" for k in range(1, 10)]
     s["c5_markdown_structures"] = f"""SELECT doc_id, replace('<h1 id="' || lower({w[0]}) || '">' || {w[0]} || '</h1>|<table>|<thead>|<tr>|<th>' || {w[1]}

@@ -38,6 +38,24 @@ def test_html_to_markdown(spark, html, markdown):
     assert one(spark, H.to_markdown, html) == markdown
 
 
+HTML = [
+    ('<p>x <a href="u"><span>t</span> <b>b</b></a> y', "x [t **b**](u) y"), ("<a href=u>t</a>", "[t](u)"), ("<a class=c href='a b?x=1&amp;y=2' id=z>t</a>", "[t](a%20b?x=1&y=2)"),
+    ('<a href="u"><h2>T <i>i</i></h2></a><p>z', "## [T *i*](u)\n\nz"), ('<a href="u"><div>a</div><div>b</div></a>', "[a b](u)"), ("<a href=u>open <p>next", "open\n\nnext"),
+    ("no</a> <a name=x>n</a>", "no n"), ('<img src="i.png" alt="An  image"> <IMG alt=x> <img src=j.png>', "![An image](i.png) ![](j.png)"),
+    ('wow!<a href="u"><img src=i alt="p"></a>', "wow\\![![p](i)](u)"),
+    ("<ul><li>a<ul><li>b<ol><li>c</li><li>d</li></ol></li></ul></li><li>e</li></ul>z", "- a\n  - b\n    1. c\n    1. d\n- e\n\nz"),
+    ("<ol><li>a<ul><li>b</ul>more<li>c</ol><p>z", "1. a\n   - b\n   more\n1. c\n\nz"), ("</ul></ol><li>x</ul><ol><li>y", "- x\n\n1. y"),
+    ("<ul><li><a href=u><em>x</em></a><li><p>q</p></ul>", "- [*x*](u)\n- q"),
+]
+
+
+def test_links_images_and_lists_to_markdown(spark):
+    rows = spark.createDataFrame([(k, h) for k, (h, _) in enumerate(HTML)], "page_id int, html string")
+    got = {r.page_id: r.markdown for r in convert.html_to_markdown(rows).collect()}
+    for k, (html, markdown) in enumerate(HTML):
+        assert got[k] == markdown, html
+
+
 def test_many_unclosed_tags_are_linear(spark):
     html = "<b>x<p>" * 30_000 + "<script>" * 10_000
     assert one(spark, H.to_markdown, html).startswith("x\n\nx")
