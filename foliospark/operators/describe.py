@@ -50,31 +50,45 @@ def build_requests(docs: DataFrame, fields: Column | None = None, model: str = v
 
 
 def call_model(requests: DataFrame, make_caller: Callable[[], Callable[[str], tuple[int, str]]],
-               parallel: int | None = None, retries: int = 0) -> DataFrame:
-    """Send every request; ``make_caller`` is called once per task and gives
-    a function from request body to (status code, response body).
+               parallel: int | None = None, retries: int = 0, concurrency: int = 16, pause: float = 0.5) -> DataFrame:
+    """Send every request; ``make_caller`` is called once for each thread and gives a function from request body to
+    (status code, response body).
 
-    A failing call is a row with its error, never a failing job.
+    A task has ``concurrency`` calls open at a time and hands the answers on in the order of its requests. A failing
+    call is tried again after ``pause`` seconds, twice as long each time and varied by chance, so that those who failed
+    together do not come again together; when it still fails it is a row with its error, never a failing job.
     """
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        caller = make_caller()
-        for batch in batches:
-            answers = []
-            for body in batch["body"]:
-                for attempt in range(retries + 1):
-                    try:
-                        code, text = caller(body)
-                        error = None if code == 200 else f"HTTP {code}"
-                    except Exception as problem:
-                        code, text, error = None, None, f"{type(problem).__name__}: {problem}"
-                    if error is None:
-                        break
-                answers.append((code, text, error))
-            out = batch[["doc_id", "field"]].copy()
-            out["status_code"] = pd.array([a[0] for a in answers], dtype="Int32")
-            out["response"] = [a[1] for a in answers]
-            out["error"] = [a[2] for a in answers]
-            yield out
+        from concurrent.futures import ThreadPoolExecutor
+        from random import uniform
+        from threading import local
+        from time import sleep
+
+        own = local()
+
+        def answer(body: str) -> tuple:
+            if not hasattr(own, "caller"):
+                own.caller = make_caller()
+            for attempt in range(retries + 1):
+                if attempt:
+                    sleep(pause * 2 ** (attempt - 1) * uniform(0.5, 1.5))
+                try:
+                    code, text = own.caller(body)
+                    error = None if code == 200 else f"HTTP {code}"
+                except Exception as problem:
+                    code, text, error = None, None, f"{type(problem).__name__}: {problem}"
+                if error is None:
+                    break
+            return code, text, error
+
+        with ThreadPoolExecutor(concurrency) as pool:
+            for batch in batches:
+                answers = list(pool.map(answer, batch["body"]))
+                out = batch[["doc_id", "field"]].copy()
+                out["status_code"] = pd.array([a[0] for a in answers], dtype="Int32")
+                out["response"] = [a[1] for a in answers]
+                out["error"] = [a[2] for a in answers]
+                yield out
 
     spread = requests if parallel is None else requests.repartition(parallel)
     key = requests.schema["doc_id"].dataType.simpleString()

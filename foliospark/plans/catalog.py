@@ -274,6 +274,40 @@ def r1_registry(spark, sf):
         F.array_join(F.array_sort("options"), ",").alias("options"), "requests")
 
 
+def _registry_files(spark: SparkSession, sf: str, other: int) -> DataFrame:
+    """Registry files made from the events, one for each type and tenth of the users, as ``load_registry`` reads them."""
+    root = shared_dir(spark) + "/r-" + _unique()
+    events = table(spark, sf, "events").where(F.col("user_id") % 2 == other)
+    pairs = events.groupBy("event_type", (F.col("user_id") % 10).alias("part"), (F.col("user_id") % 3).alias("s"), (F.col("user_id") % 7).alias("t")).agg(
+        F.max("event_id").alias("most"))
+    pair = F.struct(F.format_string("x/s%d", "s").alias("sourceMediaType"),
+                    F.when(F.col("t") == 0, "own-metadata-extract").otherwise(F.format_string("y/t%d", "t")).alias("targetMediaType"),
+                    F.when(F.col("most") % 5 > 0, F.col("most")).alias("maxSourceSizeBytes"))
+
+    def option(name: Column) -> Column:
+        return F.struct(F.struct(name.alias("name"), F.lit(False).alias("required")).alias("value"))
+
+    config = pairs.groupBy("event_type", "part").agg(F.collect_list(pair).alias("pairs")).select(
+        F.concat_ws("-", "event_type", "part").alias("doc_id"), F.lit(values.TEXT).alias("target_mime"), F.lit("ok").alias("status"),
+        F.encode(F.to_json(F.struct(
+            F.struct(F.array(option(F.col("event_type")), option(F.lit("all"))).alias("own"), F.array(option(F.lit("label"))).alias("more")).alias("transformOptions"),
+            F.array(F.struct(F.concat_ws("-", "event_type", "part").alias("transformerName"), F.col("pairs").alias("supportedSourceAndTargetList"),
+                             F.when(F.col("part") % 3 == 0, F.array(F.lit("own"), F.lit("more"), F.lit("none")))
+                             .when(F.col("part") % 3 == 1, F.array(F.lit("more"))).alias("transformOptions"))).alias("transformers"))), "UTF-8").alias("content"))
+    files.export_files(config, f"{root}/registry").write.format("noop").mode("overwrite").save()
+    return routing.load_registry(spark, f"{root}/registry/*")
+
+
+def r1_load_registry(spark, sf):
+    return _registry_files(spark, sf, 0).withColumn("options", F.array_join("options", ","))
+
+
+def r2_merge_registries(spark, sf):
+    """Pairs that several transformers serve, of two folders of registry files and the built-in registry."""
+    return routing.ambiguous_pairs(routing.merge_registries(
+        _registry_files(spark, sf, 0), _registry_files(spark, sf, 1), routing.builtin_registry(spark)))
+
+
 def r2_ambiguous_pairs(spark, sf):
     asked = requests(spark, sf).groupBy("source_mime", "target_mime").agg(F.count("*").alias("requests"))
     return routing.ambiguous_pairs(routing.builtin_registry(spark)).join(asked, ["source_mime", "target_mime"])
@@ -311,7 +345,7 @@ def r8_queue_of(spark, sf):
 def p1_recognizers(spark, sf):
     found = p3_detect_pii(spark, sf).groupBy("entity_type").agg(F.count("*").alias("found"))
     return pii.recognizers(spark).join(found, "entity_type", "left").select(
-        "entity_type", "score", F.coalesce("validator", F.lit("")).alias("validator"),
+        "entity_type", "pattern", "score", F.coalesce("validator", F.lit("")).alias("validator"),
         F.coalesce("found", F.lit(0)).alias("found"))
 
 
@@ -512,6 +546,18 @@ def m9_load_mapping(spark, sf):
     return mapping.join(ns.groupBy("prefix").agg(F.count("*").alias("uris")), "prefix")
 
 
+def m9_mapping_files(spark, sf):
+    """The same kind of lines as property files, one a part, read with ``load_mapping``."""
+    root = shared_dir(spark) + "/m9-" + _unique()
+    texts = table(spark, sf, "events").groupBy("event_type", (F.col("user_id") % 20).alias("part")).agg(F.min("event_id").alias("least")).select(
+        F.concat_ws("-", "event_type", "part").alias("doc_id"), F.lit(values.TEXT).alias("target_mime"), F.lit("ok").alias("status"),
+        F.encode(F.format_string("! %s\r\nnamespace.prefix.f%d=http://f.org/%s\n raw.%d = f%d:p\n\nlast=f%d:last",
+                                 "event_type", "part", "event_type", "least", "part", "part"), "UTF-8").alias("content"))
+    files.export_files(texts, f"{root}/properties").write.format("noop").mode("overwrite").save()
+    mapping, ns = metadata.load_mapping(spark, f"{root}/properties/*")
+    return mapping.join(ns.groupBy("prefix").agg(F.array_join(F.array_sort(F.collect_set("uri")), ",").alias("uris")), "prefix")
+
+
 def c1_html_text(spark, sf):
     return convert.html_text(texts(spark, sf, "pages", "page_id", "html"))
 
@@ -722,6 +768,17 @@ def t2_stream_redact(spark, sf):
     return spark.read.parquet(f"{root}/out")
 
 
+def t2_stream_metadata(spark, sf):
+    """Raw metadata of pages and events as a stream of several batches."""
+    root = shared_dir(spark) + "/t2m-" + _unique()
+    meta = page_metadata(spark, sf).unionByName(event_metadata(spark, sf))
+    meta.repartition(6, "doc_id").write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(meta.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/in")
+    mapping, _ = metadata.builtin_mapping(spark)
+    jobs.run_once(jobs.stream_metadata(stream, mapping), f"{root}/out", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/out")
+
+
 def t3_dedupe_requests(spark, sf):
     """Events as deliveries, two a request, in four batches that are out of order: every file holds every fourth hour."""
     root = shared_dir(spark) + "/t3-" + _unique()

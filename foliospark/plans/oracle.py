@@ -363,6 +363,16 @@ def _statements() -> dict[str, str]:
     s["r1_registry"] = f"""WITH {REQUESTS}, {REGISTRY} SELECT transformer, r.source_mime, r.target_mime, max_bytes,
       array_to_string(list_sort(options), ',') AS options, n AS requests FROM registry r
       JOIN (SELECT source_mime, target_mime, count(*) AS n FROM requests GROUP BY ALL) USING (source_mime, target_mime)"""
+    own = f"""SELECT event_type || '-' || user_id % 10 AS transformer, 'x/s' || user_id % 3 AS source_mime,
+      CASE WHEN user_id % 7 = 0 THEN {q(values.METADATA)} ELSE 'y/t' || user_id % 7 END AS target_mime,
+      CASE WHEN max(event_id) % 5 > 0 THEN max(event_id) END AS max_bytes,
+      CASE user_id % 10 % 3 WHEN 0 THEN event_type || ',all,label' WHEN 1 THEN 'label' ELSE '' END AS options
+      FROM events WHERE user_id % 2 = {{}} GROUP BY event_type, user_id % 10, user_id % 3, user_id % 7"""
+    s["r1_load_registry"] = own.format(0)
+    s["r2_merge_registries"] = f"""WITH {REGISTRY} SELECT source_mime, target_mime, count(DISTINCT transformer) AS n,
+        string_agg(DISTINCT transformer, ',' ORDER BY transformer) AS transformers
+      FROM (SELECT transformer, source_mime, target_mime FROM registry UNION ALL SELECT transformer, source_mime, target_mime FROM ({own.format(0)})
+        UNION ALL SELECT transformer, source_mime, target_mime FROM ({own.format(1)})) GROUP BY ALL HAVING n > 1"""
     s["r2_ambiguous_pairs"] = f"""WITH {REQUESTS}, {REGISTRY} SELECT * FROM (
         SELECT source_mime, target_mime, count(DISTINCT transformer) AS n, string_agg(DISTINCT transformer, ',' ORDER BY transformer) AS transformers
         FROM registry GROUP BY ALL HAVING n > 1)
@@ -392,9 +402,9 @@ def _statements() -> dict[str, str]:
     s["r8_queue_of"] = f"""WITH {ROUTED}, {ENGINES} SELECT engine || '-engine-queue' AS queue, count(*) AS requests
       FROM routed JOIN engines USING (transformer) WHERE status = 'ok' GROUP BY ALL"""
 
-    catalogue = rows((e, sc, v or "") for e, _p, _r, _n, sc, v in values.RECOGNIZERS)
-    s["p1_recognizers"] = f"""{WITH_SPANS} SELECT entity_type, c.score::DOUBLE AS score, validator, coalesce(n, 0) AS found
-      FROM {catalogue} c(entity_type, score, validator) LEFT JOIN (SELECT entity_type, count(*) AS n FROM spans GROUP BY 1) USING (entity_type)"""
+    catalogue = rows((e, p, sc, v or "") for e, p, _r, _n, sc, v in values.RECOGNIZERS)
+    s["p1_recognizers"] = f"""{WITH_SPANS} SELECT entity_type, pattern, c.score::DOUBLE AS score, validator, coalesce(n, 0) AS found
+      FROM {catalogue} c(entity_type, pattern, score, validator) LEFT JOIN (SELECT entity_type, count(*) AS n FROM spans GROUP BY 1) USING (entity_type)"""
     s["p2_split_pages"] = f"WITH {PAGES} SELECT * FROM pages_"
     s["p3_detect_pii"] = f"{WITH_SPANS} SELECT * FROM spans"
     s["p4_filter_entities"] = s["p3_detect_pii"] + " WHERE entity_type IN ('PERSON', 'PHONE_NUMBER', 'EMAIL_ADDRESS')"
@@ -497,6 +507,12 @@ def _statements() -> dict[str, str]:
         unnest(['p' || least, 'last']) AS "local", unnest([3, 4]) AS priority,
         (SELECT count(DISTINCT event_type) FROM events) AS uris FROM t"""
 
+    s["m9_mapping_files"] = """WITH t AS (SELECT event_type, user_id % 20 AS part, min(event_id) AS least FROM events GROUP BY ALL)
+      SELECT 'f' || part AS prefix, event_type || '-' || part AS extractor, unnest(['raw.' || least, 'last']) AS raw_key,
+        unnest(['p', 'last']) AS "local", unnest([2, 4]) AS priority,
+        string_agg('http://f.org/' || event_type, ',' ORDER BY event_type) OVER (PARTITION BY part ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS uris
+      FROM t"""
+
     plain = f"{squeeze(swap(sub(NO_CODE, (r'<[a-zA-Z/!?][^<>]*>', ' ')), *_ENT))}"
     s["c1_html_text"] = f"SELECT page_id, {plain} AS text FROM pages"
     s["c2_html_to_markdown"] = f"SELECT page_id, {_html_markdown()} AS markdown FROM pages"
@@ -588,6 +604,7 @@ def _statements() -> dict[str, str]:
 
     s["t1_stream_transform"] = f"SELECT page_id, markdown, 'ok' AS status FROM ({s['c2_html_to_markdown']})"
     s["t2_stream_redact"] = WHOLE_REDACTED
+    s["t2_stream_metadata"] = s["m5_map_metadata"]
     s["t3_dedupe_requests"] = "SELECT DISTINCT event_id // 2 AS request_id FROM events"
     allowed = "(doc_id % 7 IN (0, 1, 6))"
     s["u1_register_transformer"] = f"""SELECT doc_id, CASE WHEN n_chars * 4 <= 40000 AND {allowed} THEN lower(text) END AS text,

@@ -1,5 +1,6 @@
 import json
 import math
+import time
 
 from pyspark.sql import functions as F
 
@@ -110,3 +111,41 @@ def test_description_keeps_text_order(spark):
     got = {r.doc_id: r.description for r in describe.offline_description(docs, 2).collect()}
     assert got[1] == "unusual zebra crossing. another quixotic sentence"
     assert len(got) == 11
+
+
+def test_calls_run_side_by_side_in_order(spark):
+    """32 calls of 50 ms in one task take well below their sum, and answers stay with their requests."""
+    def make():
+        def call(body):
+            import time
+            time.sleep(0.05)
+            return 200, "re: " + body
+        return call
+
+    rows = spark.range(32).selectExpr("id AS doc_id", "'f' AS field", "concat('b', id) AS body").coalesce(1)
+    describe.call_model(rows, make, concurrency=16).collect()           # workers are up
+    started = time.monotonic()
+    got = describe.call_model(rows, make, concurrency=16).collect()
+    assert time.monotonic() - started < 1.2
+    assert [(r.doc_id, r.response) for r in got] == [(k, f"re: b{k}") for k in range(32)]
+
+
+def test_failing_calls_come_again_after_a_pause(spark):
+    def make():
+        seen = {}
+
+        def call(body):
+            import time
+            times = seen.setdefault(body, [])
+            times.append(time.monotonic())
+            if body == "never":
+                raise OSError("down")
+            if len(times) < 3:
+                return 503, "busy"
+            return 200, str(min(b - a for a, b in zip(times, times[1:], strict=False)) >= 0.01)
+        return call
+
+    rows = spark.createDataFrame([(1, "f", "soon"), (2, "f", "never")], "doc_id long, field string, body string").coalesce(1)
+    got = {r.doc_id: r for r in describe.call_model(rows, make, retries=2, concurrency=2, pause=0.02).collect()}
+    assert (got[1].status_code, got[1].response, got[1].error) == (200, "True", None)
+    assert got[2].error == "OSError: down" and got[2].status_code is None
