@@ -4,10 +4,15 @@ The pre-tokens of a batch that are new to a worker lie in one flat symbol array
 beside each symbol. A round looks up the rank of every adjacent pair, takes each sequence's lowest, merges
 all its places in all sequences at once (in runs of one symbol every second place, from the left), and puts
 sequences without a mergeable pair aside. The symbols that survive are the tokens.
+
+A very long pre-token would need a pass over all of it for each rank. Its pairs lie in buckets by rank instead: the
+lowest bucket is merged at all its places at once, and only the pairs beside them are looked up again. A pair that uses
+a new symbol ranks behind the pair that made it, so the ranks come up in the same order.
 """
 
 from __future__ import annotations
 
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +24,8 @@ from foliospark.llm import pretokens, shared
 REMEMBERED = 400_000
 # Symbols merged together; longer batches of new pre-tokens are cut between pre-tokens.
 SYMBOLS = 1 << 20
+# Bytes beyond which a pre-token is merged by buckets.
+LONG = 4096
 
 
 class Ranks:
@@ -78,6 +85,60 @@ def merge(words: list[bytes], ranks: Ranks) -> np.ndarray:
     return counts
 
 
+def merge_long(word: bytes, ranks: Ranks) -> int:
+    """Number of tokens of one pre-token of any length."""
+    data = np.frombuffer(word, np.uint8)
+    n, none = len(data), np.int32(len(ranks.made))
+    ids = ranks.inner[data].copy()
+    ids[-1] = ranks.final[data[-1]]
+    following, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+    rank = np.full(n, none, np.int32)                    # of the pair that begins at each place
+    buckets: dict[int, list[np.ndarray]] = {}
+    waiting: list[int] = []
+
+    def look_up(places: np.ndarray) -> None:
+        rank[places] = none
+        paired = places[following[places] < n]
+        wanted = ids[paired].astype(np.int64) * ranks.n + ids[following[paired]]
+        found = np.minimum(np.searchsorted(ranks.pairs, wanted), len(ranks.pairs) - 1)
+        known = ranks.pairs[found] == wanted
+        paired, now = paired[known], ranks.rank[found[known]]
+        rank[paired] = now
+        order = np.argsort(now, kind="stable")
+        paired, now = paired[order], now[order]
+        cuts = np.flatnonzero(np.diff(now)) + 1
+        for part in np.split(paired, cuts) if len(now) else ():
+            number = int(rank[part[0]])
+            if number not in buckets:
+                buckets[number] = []
+                heappush(waiting, number)
+            buckets[number].append(part)
+
+    if len(ranks.pairs):
+        look_up(np.arange(n))
+    left = n
+    while waiting:
+        number = heappop(waiting)
+        places = np.unique(np.concatenate(buckets.pop(number)))
+        places = places[rank[places] == number]
+        if len(places) > 1:                              # pairs of one symbol may overlap
+            first = np.concatenate(([True], following[places[:-1]] != places[1:]))
+            start = np.maximum.accumulate(np.where(first, np.arange(len(places)), 0))
+            places = places[(np.arange(len(places)) - start) % 2 == 0]
+        if not len(places):
+            continue
+        gone = following[places]
+        ids[places] = ranks.made[number]
+        following[places] = following[gone]
+        rank[gone] = none
+        inner = following[places] < n
+        before[following[places[inner]]] = places[inner]
+        left -= len(places)
+        beside = before[places]
+        look_up(np.unique(np.concatenate((places, beside[beside >= 0]))))
+    return left
+
+
 def _every_second(hit: np.ndarray) -> np.ndarray:
     """Of each run of hits (only a pair of equal symbols makes one) the first, third and so on."""
     at = np.flatnonzero(hit)
@@ -101,11 +162,13 @@ class Counter:
         at = 0
         while at < len(new):
             end, size = at, 0
-            while end < len(new) and (end == at or size < SYMBOLS):
+            while end < len(new) and (end == at or size < SYMBOLS and len(new[end]) * 4 <= LONG):    # long ones alone
                 size += len(new[end])
                 end += 1
             part = new[at:end]
-            self.known.update(zip(part, merge([w.encode() for w in part], self.ranks).tolist(), strict=True))
+            words = [w.encode() for w in part]
+            counts = [merge_long(words[0], self.ranks)] if len(words[0]) > LONG else merge(words, self.ranks).tolist()
+            self.known.update(zip(part, counts, strict=True))
             at = end
 
     def counts(self, texts: list[str | None]) -> list[int]:

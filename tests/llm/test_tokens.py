@@ -70,6 +70,23 @@ def test_rank_merging_equals_library(library):
     assert counter.counts(given) == [len(library.encode(t, add_special_tokens=False).ids) for t in given]
 
 
+def test_long_words_by_buckets(library):
+    """The same counts as the library, whatever the length; a megabyte takes seconds."""
+    import time
+    ranks, rng = token_counts.Ranks(pretokens.read(PATH)), random.Random(7)
+    for letters, sizes in (("aab", (1, 60)), ("the ing".replace(" ", ""), (1, 300)), ("abcdefghijklmnopqrstuvwxyz", (1, 300)), ("é日a", (1, 100)), ("!?", (1, 90))):
+        for _ in range(80):
+            word = "".join(rng.choice(letters) for _ in range(rng.randint(*sizes)))
+            assert token_counts.merge_long(word.encode(), ranks) == token_counts.merge([word.encode()], ranks)[0], word
+    for word in ("a" * 5000, "ha" * 4000, "".join(rng.choice("aehlnorst") for _ in range(20_000))):
+        assert token_counts.Counter(ranks).counts([word, f"{word} {word}!"]) == [
+            len(library.encode(t, add_special_tokens=False).ids) for t in (word, f"{word} {word}!")]
+    word = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(1_000_000))
+    started = time.process_time()
+    token_counts.Counter(ranks).counts([word, "a" * 1_000_000])
+    assert time.process_time() - started < 20
+
+
 def test_gadgets_on_a_small_grammar():
     vocabulary = pretokens.Vocabulary({x: i for i, x in enumerate(["a", "b", "aa", "ab", "aab", "aaaa"])},
                                       [("a", "a"), ("a", "b"), ("aa", "b"), ("aa", "aa")], {}, "</w>")
