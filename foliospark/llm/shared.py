@@ -42,14 +42,34 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def stored_by(df: DataFrame, name: str, key: str) -> DataFrame:
+    """``stored`` in buckets of ``key``, as many as a shuffle has partitions: grouping by it reads them without another shuffle."""
+    spark, number = df.sparkSession, uuid.uuid4().hex
+    path, table = f"{folder(spark)}/{name}-{number}", f"foliospark_{number}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(table)
+    out = spark.table(table)
+    out.stored_at, out.stored_as = path, table
+    return out
+
+
 def remove(*tables: DataFrame) -> None:
-    """Delete tables of ``stored`` that nothing reads any more."""
+    """Delete tables of ``stored`` and ``stored_by`` that nothing reads any more."""
     for table in tables:
+        if getattr(table, "stored_as", None):
+            table.sparkSession.sql(f"DROP TABLE {table.stored_as}")
         jvm = table.sparkSession._jvm
         path = jvm.org.apache.hadoop.fs.Path(table.stored_at)
         path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def integral(df: DataFrame, column: str) -> None:
+    """Refuse ids that are not whole numbers."""
+    kind = df.schema[column].dataType.simpleString()
+    if kind not in ("tinyint", "smallint", "int", "bigint"):
+        raise TypeError(f"{column} has to be a whole number, not {kind}")
+
+
 def bytes_per_batch(spark: SparkSession, limit: int = 16 << 20) -> None:
     """Bound Arrow batches by bytes as well, so that very long texts do not add up."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(limit))

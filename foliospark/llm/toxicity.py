@@ -34,8 +34,9 @@ ORDER, SHARED = 6, 2
 WINDOW = 5
 CLEAR = 3.0
 FEATURES = ("whole", "window", "word", "three_words", "clear")
-# Bytes of text in a piece, about; a longer text is a piece of its own.
-PIECE = 32 << 20
+# Bytes of text in a piece, about; a longer text ends one. Its rows travel in parts of about so many words, and Arrow
+# batches have about so many bytes, so that no row is large.
+PIECE, PART, BATCH = 16 << 20, 1 << 20, 4 << 20
 # Labelled rows the logistic curve is fitted on, at most; they are the first in order of a hash of the id.
 CURVE_ROWS = 5_000
 REMEMBERED = 150_000
@@ -241,6 +242,7 @@ def build_tables(table: DataFrame, variants: int = 1) -> list[Tables]:
                 out[k].ratio[n] = below.where(f"seen_{k}").select("gram", (F.log(f"p0_{k}") - F.log(f"p1_{k}")).alias("ratio"))
                 out[k].backoff[n] = (contexts.where(f"total0_{k} + total1_{k} > 0")
                                      .select("context", (F.log(rests[0]) - F.log(rests[1])).alias("backoff")))
+    shared.remove(*(counts[n] for n in range(1, ORDER)))
     return out
 
 
@@ -374,7 +376,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Tables:
     The curve is fitted on at most ``CURVE_ROWS`` rows of one fold, as models without that fold see them; where that
     fold or the rest lacks a class, on rows of all learning folds.
     """
-    shared.bytes_per_batch(docs.sparkSession)
+    shared.bytes_per_batch(docs.sparkSession, BATCH)
     learning = [k for k in range(FOLDS) if k != HELD_OUT]
     table = shared.stored(counted(labelled(docs, labels, learning)), "toxic-grams")
     sums = table.agg(*(F.sum(c) for c in table.columns[1:])).first()
@@ -424,7 +426,7 @@ class _Numbers(dict):
 
 
 def _pieces(rows: DataFrame, keep: list[str]) -> DataFrame:
-    """``piece, words, rows``: the distinct words of each piece, and its rows with the numbers of their words."""
+    """``piece, words, rows``: the distinct words of each piece (in its first part) and its rows with the numbers of their words."""
     from pyspark import TaskContext
 
     def run(batches):
@@ -440,10 +442,10 @@ def _pieces(rows: DataFrame, keep: list[str]) -> DataFrame:
                     parts.append(own.take(pa.array(range(start, k + 1))))
                     start = k + 1
                 if size >= PIECE:
-                    yield piece(made, parts, numbers, found)
+                    yield from piece(made, parts, numbers, found)
                     made, parts, numbers, found, size = made + 1, [], _Numbers(), [], 0
         if found:
-            yield piece(made, parts, numbers, found)
+            yield from piece(made, parts, numbers, found)
 
     def piece(made, parts, numbers, found):
         names = list(numbers)
@@ -451,19 +453,21 @@ def _pieces(rows: DataFrame, keep: list[str]) -> DataFrame:
         order = np.argsort(-counts, kind="stable")       # the most frequent words get the least numbers
         ranks = np.empty(len(names), np.uint32)
         ranks[order] = np.arange(len(names), dtype=np.uint32)
-        found = [ranks[x] for x in found]
         planes = max(1, (len(names).bit_length() + 7) // 8)
-        kept = pa.Table.from_batches(parts)
-        for k in range(planes):
-            kept = kept.append_column(f"_{k}", pa.array([(x >> 8 * k).astype(np.uint8).tobytes() for x in found], pa.large_binary()))
         text = "\n".join(names[k] for k in order).encode()
         packed = len(text).to_bytes(8, "little") + pa.compress(text, "zstd", asbytes=True)
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, kept.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
-            writer.write_table(kept)
         number = TaskContext.get().partitionId() << 32 | made
-        return pa.record_batch([pa.array([number], pa.int64()), pa.array([packed], pa.binary()),
-                                pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["piece", "words", "rows"])
+        kept = pa.Table.from_batches(parts)
+        cuts = np.flatnonzero(np.diff(np.cumsum([len(x) for x in found]) // PART)) + 1
+        for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(found)], strict=True):
+            part, mine = kept.slice(start, end - start), [ranks[x] for x in found[start:end]]
+            for k in range(planes):
+                part = part.append_column(f"_{k}", pa.array([(x >> 8 * k).astype(np.uint8).tobytes() for x in mine], pa.large_binary()))
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                writer.write_table(part)
+            yield pa.record_batch([pa.array([number], pa.int64()), pa.array([b"" if start else packed], pa.binary()),
+                                   pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["piece", "words", "rows"])
 
     return rows.select(*keep, F.col("text").alias("_text")).mapInArrow(run, "piece long, words binary, rows binary")
 
@@ -478,7 +482,7 @@ def featured(rows: DataFrame, model: Tables, keep: list[str]) -> DataFrame:
 
     A piece's words stay in it; its distinct grams go to the model's tables, and their values come back to it.
     """
-    pieces = shared.stored(_pieces(rows, keep), "toxic-pieces")
+    pieces = shared.stored_by(_pieces(rows, keep), "toxic-pieces", "piece")
 
     def ask(batches):
         for batch in batches:
@@ -491,14 +495,13 @@ def featured(rows: DataFrame, model: Tables, keep: list[str]) -> DataFrame:
 
     def judge(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
-        for packed, stream in zip(left.column("words").to_pylist(), left.column("rows").to_pylist(), strict=True):
-            found = _unpacked(packed)
-            made = Grams(found)
-            values = np.zeros(len(made.distinct))
-            values[right.column("place").to_numpy()] = right.column("value").to_numpy()
-            evidence = made.evidence(values)
-            lengths = np.fromiter(map(len, found), np.float64, len(found)) + 1.0
-            with pa.ipc.open_stream(stream) as reader:
+        found = _unpacked(max(left.column("words").to_pylist(), key=len, default=bytes(8)))
+        made = Grams(found)
+        values = np.zeros(len(made.distinct))
+        values[right.column("place").to_numpy()] = right.column("value").to_numpy()
+        evidence, lengths = made.evidence(values), made.lengths + 1.0
+        for stream in left.column("rows"):
+            with pa.ipc.open_stream(stream.as_buffer()) as reader:
                 for part in reader:
                     codes = (sum(np.frombuffer(x.as_buffer(), np.uint8).astype(np.uint32) << 8 * k for k, x in enumerate(planes))
                              for planes in zip(*part.columns[len(keep):], strict=True))
@@ -508,7 +511,7 @@ def featured(rows: DataFrame, model: Tables, keep: list[str]) -> DataFrame:
 
     kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
     schema = ", ".join([kinds, *(f"{c} double" for c in FEATURES)])
-    asked = pieces.select("piece", "words").mapInArrow(ask, "piece long, place int, gram string")
+    asked = pieces.where("length(words) > 0").select("piece", "words").mapInArrow(ask, "piece long, place int, gram string")
     if model.ratio:
         values = gram_values(asked, model)
         found = asked.join(values, "gram").select("piece", "place", "value")
@@ -533,7 +536,7 @@ def score(docs: DataFrame, model: Tables) -> DataFrame:
     score is that of the default curve, below 0.05. Repeated rows are scored each, null ids are held out, an
     empty table gives an empty one; no column but the text takes part in a score.
     """
-    shared.bytes_per_batch(docs.sparkSession)
+    shared.bytes_per_batch(docs.sparkSession, BATCH)
     return (featured(docs.select("doc_id", "text"), model, ["doc_id"])
             .withColumn("score", probability(model.curve))
             .select("doc_id", (fold(F.col("doc_id")) == HELD_OUT).alias("held_out"), "score",
@@ -546,7 +549,7 @@ def ordinary_documents(docs: DataFrame, model: Tables) -> DataFrame:
     A score depends on the text alone, so rows are told by the SHA-256 of their text (null: empty). Only rows that a
     fixed-size filter of rejected digests lets through are shuffled to meet them.
     """
-    shared.bytes_per_batch(docs.sparkSession)
+    shared.bytes_per_batch(docs.sparkSession, BATCH)
     digest = F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256)
     found = featured(docs.select(digest.alias("digest"), "text"), model, ["digest"])
     rejected = shared.stored(found.where(probability(model.curve) >= 0.5).select("digest").distinct(), "toxic-rejected")
