@@ -27,7 +27,8 @@ from foliospark.llm import shared
 from foliospark.llm.components import components
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.9999
-BLOCK = 256
+# Members of a block, and n-grams of their sets (16 MB), at most; one text may have more.
+BLOCK, BLOCK_GRAMS = 256, 2 << 20
 REMEMBERED = 400_000
 _WORD = re.compile(r"[^\W_]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -96,21 +97,22 @@ def _text_key(text: str) -> bytes:
 
 
 def signed(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
-    """``doc_id, text_key, bands`` of every row."""
+    """``doc_id, text_key, bands, grams`` of every row; ``grams`` is the size of the set."""
     def run(batches):
         shingler = shared.worker_state(Shingler, n)
         for batch in batches:
             texts = [t.as_py() or "" for t in batch.column(1)]
             keys = [_text_key(t) for t in texts]
-            known: dict[bytes, list[int]] = {}
+            known: dict[bytes, tuple[list[int], int]] = {}
             for key, text in zip(keys, texts, strict=True):
                 if key not in known:
-                    known[key] = band_hashes(shingler.set(text), bands, rows)
-            yield pa.record_batch([batch.column(0), pa.array(keys, pa.binary()),
-                                   pa.array([known[k] for k in keys], pa.list_(pa.int64()))],
-                                  ["doc_id", "text_key", "bands"])
+                    found = shingler.set(text)
+                    known[key] = band_hashes(found, bands, rows), len(found)
+            yield pa.record_batch([batch.column(0), pa.array(keys, pa.binary()), pa.array([known[k][0] for k in keys], pa.list_(pa.int64())),
+                                   pa.array([known[k][1] for k in keys], pa.int64())],
+                                  ["doc_id", "text_key", "bands", "grams"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, text_key binary, bands array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, text_key binary, bands array<long>, grams long")
 
 
 def compare(grams: list[np.ndarray], weights: np.ndarray, split: int | None, threshold: float):
@@ -169,13 +171,16 @@ def join(docs: DataFrame, n: int = WORDS, threshold: float = THRESHOLD, recall:
     ``class_id`` is the smallest id that links lead to, ``kept`` holds for it. A null text is an empty text, and
     empty texts equal each other. Shorter texts are one gram. Repeated rows link each other and share an id, so
     both are kept; rows with one id but different texts share their links and class. Rows without id get a null class, no links, and are kept. An empty table gives an empty one.
+    Ids are integers; others are refused before anything runs.
     """
+    shared.integral(docs, "doc_id")
     spark = docs.sparkSession
     shared.bytes_per_batch(spark)
     bands, rows = bands_and_rows(threshold, recall)
     known = shared.stored(signed(docs, n, bands, rows), "signatures")
     texts = known.where("doc_id IS NOT NULL").groupBy("text_key").agg(
-        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands"))
+        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands"),
+        F.first("grams").alias("grams"))
     texts = shared.stored(texts, "texts")
     placed = _blocks(texts)
     pairs = _block_pairs(placed)
@@ -194,13 +199,13 @@ def join(docs: DataFrame, n: int = WORDS, threshold: float = THRESHOLD, recall:
 
 def _blocks(texts: DataFrame) -> DataFrame:
     """``rep, band, hash, block`` for every bucket with two members or more that a representative is in."""
-    entries = texts.select("rep", F.posexplode("bands").alias("band", "hash"))
+    entries = texts.select("rep", "grams", F.posexplode("bands").alias("band", "hash"))
     sizes = entries.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = shared.stored(entries.join(sizes, ["band", "hash"]), "buckets")
-    home = members.groupBy("rep").agg(F.max(F.struct("size", F.col("band"), F.col("hash"))).alias("home"))
-    home = shared.stored(home.select("rep", "home.band", "home.hash"), "homes")
-    living = home.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("living"))
-    part = F.pmod(F.xxhash64(F.col("rep")), F.ceil(F.col("living") / BLOCK).cast("long"))
+    home = members.groupBy("rep").agg(F.max(F.struct("size", F.col("band"), F.col("hash"))).alias("home"), F.max("grams").alias("grams"))
+    home = shared.stored(home.select("rep", "grams", "home.band", "home.hash"), "homes")
+    living = home.groupBy("band", "hash").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("grams") / BLOCK_GRAMS)).alias("parts"))
+    part = F.pmod(F.xxhash64(F.col("rep")), F.col("parts").cast("long"))
     blocks = home.join(living, ["band", "hash"]).select("rep", F.xxhash64("band", "hash", part).alias("block"))
     return members.join(blocks, "rep").select("rep", "band", "hash", "block")
 
