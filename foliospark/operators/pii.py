@@ -15,6 +15,7 @@ from foliospark import values
 from foliospark.functions import spans as S
 from foliospark.functions.arrays import let
 from foliospark.functions.text import csv_items
+from foliospark.operators.tables import split_by_keys
 
 RECOGNIZER_SCHEMA = ("entity_type string, pattern string, run string, needle string, score double, "
                      "validator string")
@@ -144,15 +145,17 @@ def pii_metadata(summary: DataFrame) -> DataFrame:
 def redact_spans(pages: DataFrame, spans: DataFrame, label: str = values.DEFAULT_LABEL) -> DataFrame:
     """Replace the spans of a span table by ``label`` (overlaps are merged first).
 
-    Only positions are gathered per page, never text. For spans that come from
-    the pattern catalogue ``redact_documents`` does the same without a join.
+    Positions are gathered per page; only pages that may have a span are shuffled to meet them, the others pass by.
+    For spans that come from the pattern catalogue ``redact_documents`` does the same without a join.
     """
     places = spans.groupBy("doc_id", "page_no").agg(
         F.collect_list(F.struct("start", "end")).alias("_places"))
     merged = places.select("doc_id", "page_no", S.merge(F.col("_places")).alias("_merged"))
-    return pages.join(merged, ["doc_id", "page_no"], "left").withColumn(
+    clear, met = split_by_keys(pages, spans, ["doc_id", "page_no"])
+    hidden = met.join(merged, ["doc_id", "page_no"], "left").withColumn(
         "text", F.when(F.col("_merged").isNull(), F.col("text"))
-                 .otherwise(S.replace(F.col("text"), F.col("_merged"), F.lit(label)))).drop("_merged")
+                 .otherwise(S.replace(F.col("text"), F.col("_merged"), F.lit(label))))
+    return clear.unionByName(hidden.select(pages.columns))
 
 
 def redact_text(text: Column, catalogue: list[tuple] | None = None, entities: Column | None = None,
@@ -190,12 +193,17 @@ def redact_documents(docs: DataFrame, sep: str = "\f", table: DataFrame | None =
 
 def redact_occurrences(pages: DataFrame, spans: DataFrame, label: str = values.DEFAULT_LABEL,
                        ignore_case: bool = False) -> DataFrame:
-    """Hide every place on the page where a found string stands, not only the found place."""
+    """Hide every place on the page where a found string stands, not only the found place.
+
+    Only pages that may have a found string are shuffled.
+    """
     found = spans.groupBy("doc_id", "page_no").agg(F.collect_set("matched").alias("_found"))
     merged = S.merge(S.occurrences(F.col("text"), F.col("_found"), ignore_case))
-    return pages.join(found, ["doc_id", "page_no"], "left").withColumn(
+    clear, met = split_by_keys(pages, spans, ["doc_id", "page_no"])
+    hidden = met.join(found, ["doc_id", "page_no"], "left").withColumn(
         "text", F.when(F.col("_found").isNull(), F.col("text"))
-                 .otherwise(S.replace(F.col("text"), merged, F.lit(label)))).drop("_found")
+                 .otherwise(S.replace(F.col("text"), merged, F.lit(label))))
+    return clear.unionByName(hidden.select(pages.columns))
 
 
 def join_pages(pages: DataFrame, sep: str = "\f") -> DataFrame:
@@ -205,38 +213,66 @@ def join_pages(pages: DataFrame, sep: str = "\f") -> DataFrame:
         F.array_join(F.transform(ordered, lambda p: p["text"]), sep).alias("text"))
 
 
+# Words of a name that every word of a page is followed by; longer names are looked for where these stand.
+NEAR_WORDS = 4
+
+
 def detect_names(pages: DataFrame, names: DataFrame, score: float = values.PERSON_SCORE) -> DataFrame:
     """PERSON spans by dictionary, ``names(name)``; a name is one word or any number of words parted by single blanks.
 
-    Each word of a page first meets the first words of all names, which say how many words their names
-    have; only runs of such a length are then looked up whole. Catalyst broadcasts both tables while they
-    are small and joins by shuffle beyond that, where adaptive execution splits skewed words. Positions and
-    runs as long as the longest name take part, not page texts. Other entries of ``names`` match nothing.
+    Each word of a page first meets the first words of all names, which say how many words their names have, up to
+    ``NEAR_WORDS``; runs of such a length are then looked up whole. Where the first words of a longer name stand, the
+    page itself is asked for the rest; other pages are not touched by long names. Catalyst broadcasts the name tables
+    while they are small and joins by shuffle beyond that, where adaptive execution splits skewed words. Positions and
+    short runs take part, not page texts. Other entries of ``names`` match nothing.
     """
     known = names.select(F.col("name").alias("matched")).filter(
-        F.regexp_like("matched", F.lit(rf"^{WORD}(?: {WORD})*$"))).distinct()
-    n_words = F.size(F.split("matched", " "))
-    most = known.select(F.coalesce(F.max(n_words), F.lit(1)).alias("n")).scalar()
-    text = F.col("text")
-    found = pages.select("doc_id", "page_no", let(text, lambda t: let(
-        F.regexp_extract_all(t, F.lit(WORD), F.lit(0)), lambda w: F.struct(
-            w.alias("words"), F.transform(F.split(t, WORD), lambda gap: gap == " ").alias("blank"),
-            S.positions(t, F.lit(WORD), w).alias("starts")))).alias("t"))
-    at = found.select("doc_id", "page_no", "t", F.posexplode("t.starts").alias("i", "start"))
-
-    # A run ends before the first gap that is not a single blank.
-    broken = F.array_position(F.slice("t.blank", F.col("i") + 2, most - 1), F.lit(False)).cast("int")
-    run = F.slice("t.words", F.col("i") + 1, F.when(broken == 0, most).otherwise(broken))
-    runs = at.select("doc_id", "page_no", "start", F.get("t.words", F.col("i")).alias("first"), run.alias("run"))
-    firsts = known.groupBy(F.substring_index("matched", " ", 1).alias("first")).agg(
-        F.collect_set(n_words).alias("sizes"))
+        F.regexp_like("matched", F.lit(rf"^{WORD}(?: {WORD})*+$"))).distinct().withColumn("n", F.size(F.split("matched", " ")))
+    long = known.where(F.col("n") > NEAR_WORDS).withColumn("head", F.substring_index("matched", " ", NEAR_WORDS))
+    asked = known.where(F.col("n") <= NEAR_WORDS).select("matched", "n", F.lit(False).alias("goes_on"))
+    asked = asked.unionByName(long.select(F.col("head").alias("matched"), F.lit(NEAR_WORDS).alias("n"), F.lit(True).alias("goes_on")).distinct())
+    starts = _word_starts(pages)
+    at = starts.select("doc_id", "page_no", "t", F.posexplode("t.starts").alias("i", "start"))
+    runs = at.select("doc_id", "page_no", "i", "start", F.get("t.words", F.col("i")).alias("first"), _run(F.lit(NEAR_WORDS)).alias("run"))
+    firsts = asked.groupBy(F.substring_index("matched", " ", 1).alias("first")).agg(F.collect_set("n").alias("sizes"))
     grams = runs.join(firsts, "first").select(
-        "doc_id", "page_no", "start", "run", F.explode("sizes").alias("n")).filter(F.col("n") <= F.size("run")).select(
-        "doc_id", "page_no", "start", F.array_join(F.slice("run", F.lit(1), F.col("n")), " ").alias("matched"))
-    return grams.join(known, "matched").select(
+        "doc_id", "page_no", "i", "start", "run", F.explode("sizes").alias("n")).filter(F.col("n") <= F.size("run")).select(
+        "doc_id", "page_no", "i", "start", F.array_join(F.slice("run", F.lit(1), F.col("n")), " ").alias("matched"))
+    met = grams.join(asked.drop("n"), "matched")
+    found = met.where("NOT goes_on").select("doc_id", "page_no", "start", "matched")
+    if not long.isEmpty():
+        found = found.unionByName(_long_names(pages, met.where("goes_on"), long))
+    return found.select(
         "doc_id", "page_no",
         F.lit("PERSON").alias("entity_type"),
         "start",
         (F.col("start") + F.length("matched")).alias("end"),
         "matched",
         F.lit(score).alias("score"))
+
+
+def _word_starts(pages: DataFrame) -> DataFrame:
+    """``t``: the words of each page, whether a single blank stands before each (and behind the last), and where they start."""
+    return pages.select("doc_id", "page_no", let(F.col("text"), lambda t: let(
+        F.regexp_extract_all(t, F.lit(WORD), F.lit(0)), lambda w: F.struct(
+            w.alias("words"), F.transform(F.split(t, WORD), lambda gap: gap == " ").alias("blank"),
+            S.positions(t, F.lit(WORD), w).alias("starts")))).alias("t"))
+
+
+def _run(most: Column) -> Column:
+    """Words from ``i`` on, at most so many, up to the first gap that is not a single blank."""
+    broken = F.array_position(F.slice("t.blank", F.col("i") + 2, most - 1), F.lit(False)).cast("int")
+    return F.slice("t.words", F.col("i") + 1, F.when(broken == 0, most).otherwise(broken))
+
+
+def _long_names(pages: DataFrame, heads: DataFrame, long: DataFrame) -> DataFrame:
+    """Names of more than ``NEAR_WORDS`` words at the places where their first words stand."""
+    sizes = long.groupBy("head").agg(F.collect_set("n").alias("sizes"))
+    places = heads.join(sizes, heads["matched"] == sizes["head"]).select("doc_id", "page_no", "i", "start", "sizes")
+    by_page = places.groupBy("doc_id", "page_no").agg(F.collect_list(F.struct("i", "start", "sizes")).alias("places"))
+    _, met = split_by_keys(pages.select("doc_id", "page_no", "text"), places, ["doc_id", "page_no"])
+    rows = _word_starts(met).join(by_page, ["doc_id", "page_no"]).select("doc_id", "page_no", "t", F.inline("places"))
+    runs = rows.select("doc_id", "page_no", "start", "sizes", _run(F.array_max("sizes")).alias("run"))
+    grams = runs.select("doc_id", "page_no", "start", "run", F.explode("sizes").alias("n")).filter(F.col("n") <= F.size("run")).select(
+        "doc_id", "page_no", "start", F.array_join(F.slice("run", F.lit(1), F.col("n")), " ").alias("matched"))
+    return grams.join(long.select("matched"), "matched").select("doc_id", "page_no", "start", "matched")

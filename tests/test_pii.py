@@ -182,3 +182,35 @@ def test_names_of_any_length(spark):
     got = sorted((r.doc_id, r.start, r.end, r.matched) for r in pii.detect_names(pages, names).collect())
     assert got == [(1, 6, 11, "Maria"), (1, 6, 20, "Maria da Silva"), (1, 6, 27, "Maria da Silva Santos"), (1, 29, 34, "Maria")]
     assert pii.detect_names(pages, names.limit(0)).count() == 0
+
+
+def test_one_very_long_name_changes_nothing_for_others(spark):
+    """A name of 10,000 words is found, and pages without its first words take part as before."""
+    long = " ".join(f"w{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}" for k in range(10_000))
+    pages = spark.createDataFrame([(1, 0, f"x {long}! {long.rsplit(' ', 1)[0]}"), (2, 0, "Ana Maria López Santos Cruz, Ana Maria"), (3, 0, "wa wb wc")],
+                                  "doc_id long, page_no int, text string")
+    names = [("Ana Maria",), ("Ana Maria López Santos Cruz",), ("Ana Maria López Santos",), ("López Santos Cruz Ana Maria",)]
+    own = [(2, 0, 9), (2, 0, 22), (2, 0, 27), (2, 29, 38)]
+
+    def found(some):
+        return sorted((r.doc_id, r.start, r.end) for r in pii.detect_names(pages, spark.createDataFrame(some, "name string")).collect())
+
+    assert found(names) == own
+    assert found([*names, (long,)]) == [(1, 2, 2 + len(long)), *own]
+    short = pii.detect_names(pages, spark.createDataFrame([("Ana Maria",)], "name string"))
+    assert "text#" not in "".join(line for line in short._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join" in line)
+
+
+def test_rows_without_a_key_pass_by(spark):
+    from foliospark.operators.tables import split_by_keys
+
+    rows = spark.range(5000).selectExpr("id", "IF(id % 7 = 0, NULL, id % 50) AS part", "repeat('x', 10) AS text")
+    keys = spark.range(40).selectExpr("id * 3 AS id", "(id * 3) % 50 AS part")
+    clear, met = split_by_keys(rows, keys, ["id", "part"])
+    assert clear.columns == met.columns == rows.columns and clear.count() + met.count() == 5000
+    wanted = {k * 3 for k in range(40)} - {k * 3 for k in range(40) if k * 3 % 7 == 0}
+    got = {r.id for r in met.collect()}
+    assert wanted <= got and len(got - wanted) <= 2
+    assert "Exchange hashpartitioning(id" not in clear._jdf.queryExecution().executedPlan().toString()
+    empty = split_by_keys(rows, keys.where("false"), ["id", "part"])
+    assert (empty[0].count(), empty[1].count()) == (5000, 0)
