@@ -18,7 +18,7 @@ RULE_LINE = r"^ {0,3}(?:-{3,}|\*{3,}|_{3,})[ \t]*\z"
 _UNDERLINED = (r"(?m)^(?! {{0,3}}#{{1,6}}(?:[ \t]|$))(?![ \t]*(?:[-*+]|[0-9]{{1,9}}[.)])[ \t])(?! {{0,3}}(?:-{{3,}}|\*{{3,}}|_{{3,}})[ \t]*$)"
                r" {{0,3}}([^\s>][^\n]*)\n {{0,3}}{}+[ \t]*$")
 DEFINITION = r"""(?m)^ {0,3}\[([^\]\n]+)\]:[ \t]*<?([^\s<>]+)>?(?:[ \t]+["'(][^\n]*["')])?[ \t]*$\n?"""
-DELIMITER = r"^ {0,3}(?=[^|]*\|)\|?[ \t]*:?-+:?[ \t]*(?:\|[ \t]*:?-+:?[ \t]*)*+\|?[ \t]*\z"
+DELIMITER = r"^ {0,3}(?=[^|\n]*\|)\|?[ \t]*:?-+:?[ \t]*(?:\|[ \t]*:?-+:?[ \t]*)*+\|?[ \t]*\z"
 
 
 def unify_newlines(text: Column) -> Column:
