@@ -331,8 +331,8 @@ def _code_block(part: Column) -> Column:
 _PASSES = "spark.sql.analyzer.maxIterations"
 
 
-def _allow_nesting() -> None:
-    spark = SparkSession.getActiveSession()
+def allow_nesting(spark: SparkSession | None) -> None:
+    """Room for ``to_html`` in a session; a streaming batch has one of its own."""
     if spark is not None and int(spark.conf.get(_PASSES)) < 300:
         spark.conf.set(_PASSES, "300")
 
@@ -340,7 +340,7 @@ def _allow_nesting() -> None:
 def to_html(markdown: Column) -> Column:
     """Markdown to an HTML5 fragment: headings, paragraphs, quotations, lists in lists, tables, fenced code, rules, links and
     references, emphasis. Ids of headings are unique."""
-    _allow_nesting()
+    allow_nesting(SparkSession.getActiveSession())
     def whole(parts: Column, known: Column) -> Column:
         done = F.transform(parts, lambda s, i: F.when(i % 2 == 1, _code_block(s)).otherwise(_flow(s, known)))
         return F.array_join(F.filter(done, lambda s: s != ""), "\n")

@@ -28,6 +28,7 @@ def html_links(pages: DataFrame) -> DataFrame:
 
 
 def markdown_to_html(docs: DataFrame, standalone: bool = True) -> DataFrame:
+    M.allow_nesting(docs.sparkSession)
     fragment = M.to_html(F.col("markdown"))
     if not standalone:
         return docs.select("doc_id", fragment.alias("html"))

@@ -38,6 +38,7 @@ def html2md(docs: DataFrame) -> DataFrame:
 
 
 def md2html(docs: DataFrame) -> DataFrame:
+    M.allow_nesting(docs.sparkSession)
     fragment = M.to_html(decode_utf8(F.col("content")))
     return _text_result(docs, M.standalone(fragment, F.col("doc_id").cast("string")))
 
