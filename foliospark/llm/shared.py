@@ -89,6 +89,11 @@ def worker_state(make, value):
     return _slot[2]
 
 
+def forget() -> None:
+    """Let go of what an earlier operator left in this Python worker."""
+    _slot.clear()
+
+
 def id_filter(ids: DataFrame, column: str) -> np.ndarray:
     """A bitmap of ``FILTER_BITS`` bits with the hash of each id set; false hits are possible, misses are not.
 

@@ -39,7 +39,7 @@ FEATURES = ("whole", "window", "word", "three_words", "clear")
 PIECE, PART, BATCH = 16 << 20, 1 << 20, 4 << 20
 # Labelled rows the logistic curve is fitted on, at most; they are the first in order of a hash of the id.
 CURVE_ROWS = 5_000
-REMEMBERED = 150_000
+REMEMBERED = 100_000
 FOLDS, HELD_OUT, CURVE = 5, 0, 1
 
 _WORDS = re.compile(r"[^\W_]+")
@@ -347,6 +347,7 @@ def counted(rows: DataFrame) -> DataFrame:
     names = ["toxic0", "ordinary0", "toxic1", "ordinary1"]
 
     def run(batches):
+        shared.forget()
         found = [Counter() for _ in range(4)]           # by toxic and curve
         for batch in batches:
             for text, toxic, curve in zip(*batch.columns, strict=True):
@@ -430,6 +431,7 @@ def _pieces(rows: DataFrame, keep: list[str]) -> DataFrame:
     from pyspark import TaskContext
 
     def run(batches):
+        shared.forget()
         made, parts, numbers, found, size = 0, [], _Numbers(), [], 0
         for batch in batches:
             sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(len(keep))), 0).to_pylist()
@@ -485,6 +487,7 @@ def featured(rows: DataFrame, model: Tables, keep: list[str]) -> DataFrame:
     pieces = shared.stored_by(_pieces(rows, keep), "toxic-pieces", "piece")
 
     def ask(batches):
+        shared.forget()
         for batch in batches:
             for number, packed in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 asked = Grams(_unpacked(packed.as_py())).spelled()
@@ -494,6 +497,7 @@ def featured(rows: DataFrame, model: Tables, keep: list[str]) -> DataFrame:
                                            pa.array(part, pa.string())], ["piece", "place", "gram"])
 
     def judge(left: pa.Table, right: pa.Table) -> pa.Table:
+        shared.forget()
         out = []
         found = _unpacked(max(left.column("words").to_pylist(), key=len, default=bytes(8)))
         made = Grams(found)
