@@ -284,22 +284,26 @@ def _probability_tables(counts: DataFrame, n: int, classes: tuple[int, int], bel
 
 
 def gram_values(asked: DataFrame, model: Tables) -> DataFrame:
-    """``gram, value``: what each distinct gram of the highest order adds to a word's evidence."""
-    wanted = {ORDER: asked.select("gram").distinct()}
-    wanted[ORDER] = shared.stored(wanted[ORDER], "toxic-wanted")
-    for n in range(ORDER - 1, SHARED, -1):
-        wanted[n] = wanted[n + 1].select(F.substring("gram", 2, n).alias("gram")).distinct()
+    """``gram, value``: what each distinct gram of the highest order adds to a word's evidence.
+
+    Each order is stored before the next one asks for it: one plan for all orders holds so many joins and shuffles that
+    its many adaptive rewrites fill the driver's memory, whatever the data.
+    """
+    wanted = shared.stored(asked.select("gram").distinct(), "toxic-wanted")
     values = None
     for n in range(SHARED + 1, ORDER + 1):
-        known = wanted[n].withColumns({"context": F.substring("gram", 1, n - 1), "suffix": F.substring("gram", 2, n - 1)})
+        known = wanted if n == ORDER else wanted.select(F.substring("gram", ORDER - n + 1, n).alias("gram")).distinct()
+        known = known.withColumns({"context": F.substring("gram", 1, n - 1), "suffix": F.substring("gram", 2, n - 1)})
         known = known.join(model.ratio[n], "gram", "left").join(model.backoff[n], "context", "left")
-        lower = F.lit(0.0)
-        if values is not None:
-            known = known.join(values.select(F.col("gram").alias("suffix"), F.col("value").alias("lower")), "suffix")
+        lower, below = F.lit(0.0), values
+        if below is not None:
+            known = known.join(below.select(F.col("gram").alias("suffix"), F.col("value").alias("lower")), "suffix")
             lower = F.col("lower")
-        values = known.select("gram", F.coalesce("ratio", F.coalesce("backoff", F.lit(0.0)) + lower).alias("value"))
-    values = shared.stored(values, "toxic-values")
-    shared.remove(wanted[ORDER])
+        values = shared.stored(known.select("gram", F.coalesce("ratio", F.coalesce("backoff", F.lit(0.0)) + lower).alias("value")),
+                               f"toxic-values-{n}")
+        if below is not None:
+            shared.remove(below)
+    shared.remove(wanted)
     return values
 
 

@@ -269,3 +269,26 @@ def test_grams_of_many_words(letters):
             counts[g] += k % 5
     assert made.counts(weights)[:, 0].tolist() == [counts[g] for g in spelled]
     assert toxicity.Grams([]).spelled() == [] and len(toxicity.Grams([]).evidence(np.zeros(0))) == 0
+
+
+def test_no_plan_of_gram_values_joins_more_than_one_order(spark, monkeypatch):
+    """A plan of all orders is written anew after each of its stages, which the driver's memory has to hold."""
+    docs = spark.createDataFrame([(k, f"ab{k} cd blar{k % 7}", int(k % 3 == 0)) for k in range(60)], "doc_id long, text string, toxic int")
+    tables = toxicity.build_tables(toxicity.shared.stored(toxicity.counted(docs.selectExpr("*", "doc_id % 2 = 0 AS curve")), "grams"), 2)[1]
+    plans, stored = [], toxicity.shared.stored
+
+    def watched(df, name):
+        plans.append((name, df._jdf.queryExecution().analyzed().toString().count("Join ")))
+        return stored(df, name)
+
+    monkeypatch.setattr(toxicity.shared, "stored", watched)
+    asked = spark.createDataFrame([(g,) for w in ("ab1", "cd", "blar3", "new") for g in toxicity.grams(w)], "gram string")
+    got = {r.gram: r.value for r in toxicity.gram_values(asked, tables).collect()}
+    plain = [Counter(), Counter()]
+    for r in docs.collect():
+        for word in toxicity.words(r.text):
+            plain[1 - r.toxic].update(toxicity.grams(word))
+    model = toxicity.build({g: (plain[0][g], plain[1][g]) for g in plain[0] | plain[1]})
+    for word in ("ab1", "cd", "blar3", "new"):
+        assert abs(sum(got[g] for g in toxicity.grams(word)) - model.word(word)) < 1e-9
+    assert max(n for _, n in plans) <= 3, plans
