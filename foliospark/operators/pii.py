@@ -220,11 +220,12 @@ NEAR_WORDS = 4
 def detect_names(pages: DataFrame, names: DataFrame, score: float = values.PERSON_SCORE) -> DataFrame:
     """PERSON spans by dictionary, ``names(name)``; a name is one word or any number of words parted by single blanks.
 
-    Each word of a page first meets the first words of all names, which say how many words their names have, up to
-    ``NEAR_WORDS``; runs of such a length are then looked up whole. Where the first words of a longer name stand, the
+    Each word of a page first meets the first words of all names, and where one may begin, the runs of up to
+    ``NEAR_WORDS`` words meet all names of that length: both in bitmaps of a fixed size, inside the page's task. Only
+    runs that may be a name go on to be looked up whole. Where the first words of a longer name stand, the
     page itself is asked for the rest; other pages are not touched by long names. Catalyst broadcasts the name tables
-    while they are small and joins by shuffle beyond that, where adaptive execution splits skewed words. Positions and
-    short runs take part, not page texts. Other entries of ``names`` match nothing.
+    while they are small and joins by shuffle beyond that, where adaptive execution splits skewed words. What is shuffled
+    then grows with the names found, not with the words of all pages. Other entries of ``names`` match nothing.
     """
     known = names.select(F.col("name").alias("matched")).filter(
         F.regexp_like("matched", F.lit(rf"^{WORD}(?: {WORD})*+$"))).distinct().withColumn("n", F.size(F.split("matched", " ")))
@@ -234,10 +235,10 @@ def detect_names(pages: DataFrame, names: DataFrame, score: float = values.PERSO
     starts = _word_starts(pages)
     at = starts.select("doc_id", "page_no", "t", F.posexplode("t.starts").alias("i", "start"))
     runs = at.select("doc_id", "page_no", "i", "start", F.get("t.words", F.col("i")).alias("first"), _run(F.lit(NEAR_WORDS)).alias("run"))
-    firsts = asked.groupBy(F.substring_index("matched", " ", 1).alias("first")).agg(F.collect_set("n").alias("sizes"))
-    grams = runs.join(firsts, "first").select(
-        "doc_id", "page_no", "i", "start", "run", F.explode("sizes").alias("n")).filter(F.col("n") <= F.size("run")).select(
-        "doc_id", "page_no", "i", "start", F.array_join(F.slice("run", F.lit(1), F.col("n")), " ").alias("matched"))
+    _, begun = split_by_keys(runs, asked.select(F.substring_index("matched", " ", 1).alias("first")), ["first"])
+    grams = begun.select("doc_id", "page_no", "i", "start", F.explode(F.transform(
+        F.sequence(F.lit(1), F.size("run")), lambda n: F.array_join(F.slice("run", F.lit(1), n), " "))).alias("matched"))
+    _, grams = split_by_keys(grams, asked, ["matched"])
     met = grams.join(asked.drop("n"), "matched")
     found = met.where("NOT goes_on").select("doc_id", "page_no", "start", "matched")
     if not long.isEmpty():

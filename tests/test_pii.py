@@ -214,3 +214,20 @@ def test_rows_without_a_key_pass_by(spark):
     assert "Exchange hashpartitioning(id" not in clear._jdf.queryExecution().executedPlan().toString()
     empty = split_by_keys(rows, keys.where("false"), ["id", "part"])
     assert (empty[0].count(), empty[1].count()) == (5000, 0)
+
+
+def test_words_that_begin_no_name_are_not_shuffled(spark):
+    pages = spark.range(200).selectExpr("id AS doc_id", "0 AS page_no", "concat(repeat('so many words ', 30), 'Ana Maria ', id) AS text")
+    names = spark.createDataFrame([("Ana Maria",), ("Ana",), ("Maria López",)], "name string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.sparkContext.setJobGroup("names", "names")
+    try:
+        got = pii.detect_names(pages, names).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted((r.doc_id, r.start, r.matched) for r in got) == sorted((i, 420, n) for i in range(200) for n in ("Ana", "Ana Maria"))
+    tracker, store = spark.sparkContext.statusTracker(), spark._jsc.sc().statusStore()
+    stages = {s for j in tracker.getJobIdsForGroup("names") for s in tracker.getJobInfo(j).stageIds if tracker.getStageInfo(s)}
+    assert 0 < sum(store.lastStageAttempt(s).shuffleWriteRecords() for s in stages) < 2_000         # of 18,400 words
