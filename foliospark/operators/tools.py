@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from foliospark import values
 from foliospark.functions.formats import hhmmss, mime_extension, ocr_language
 
+# Bytes of output after which finished documents leave their task.
+FLUSH = 4 << 20
 RESULT = "content binary, status string, exit_code int, log string, seconds double"
 
 
@@ -24,13 +26,15 @@ def run_tool(docs: DataFrame, command: list[str] | Column, in_ext: str | Column
     output and a timeout (none unless given, in seconds) are rows with status error or timeout and the tool's
     log. ``out_name`` may be a pattern such as ``*.txt``: then ``<stem of the
     input>`` is preferred, else the first match by name is taken. Columns
-    named in ``keep`` come through unchanged.
+    named in ``keep`` come through unchanged. ``parallel`` spreads the documents
+    over so many tasks at least, and over several for each core, so that no core waits for a last round of tasks.
     """
     kept = ["doc_id", *keep]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import fnmatch
         import os
+        import shutil
         import signal
         import subprocess
         import tempfile
@@ -45,42 +49,64 @@ def run_tool(docs: DataFrame, command: list[str] | Column, in_ext: str | Column
             name = preferred if preferred in names else names[0] if names else None
             return None if name is None else os.path.join(folder, name)
 
-        def one(content, args, extension, wanted):
+        def one(folder, content, args, extension, wanted):
             started = time.monotonic()
-            with tempfile.TemporaryDirectory(prefix="tool-") as folder:
-                given = "input" + extension
-                source, target = os.path.join(folder, given), os.path.join(folder, wanted)
+            given = "input" + extension
+            source, target = os.path.join(folder, given), os.path.join(folder, wanted)
+            try:
+                with open(source, "wb") as out:
+                    out.write(bytes(content))
+                filled = [a.replace("{input}", source).replace("{output}", target).replace("{dir}", folder)
+                          for a in args]
+                process = subprocess.Popen(
+                    filled, stdin=subprocess.DEVNULL, stdout=subprocess.PIPE, stderr=subprocess.STDOUT,
+                    cwd=folder, start_new_session=True)
                 try:
-                    with open(source, "wb") as out:
-                        out.write(bytes(content))
-                    filled = [a.replace("{input}", source).replace("{output}", target).replace("{dir}", folder)
-                              for a in args]
-                    process = subprocess.Popen(
-                        filled, stdin=subprocess.DEVNULL, stdout=subprocess.PIPE, stderr=subprocess.STDOUT,
-                        cwd=folder, start_new_session=True)
-                    try:
-                        log = process.communicate(timeout=timeout)[0].decode("utf-8", "replace")
-                    except subprocess.TimeoutExpired:
-                        os.killpg(process.pid, signal.SIGKILL)
-                        log = process.communicate()[0].decode("utf-8", "replace")
-                        return None, "timeout", None, log, time.monotonic() - started
-                    if process.returncode != 0:
-                        return None, "error", process.returncode, log, time.monotonic() - started
-                    path = pick(folder, wanted, given)
-                    if path is None or os.path.getsize(path) == 0:
-                        return None, "error", 0, log + "\nno output", time.monotonic() - started
-                    with open(path, "rb") as result:
-                        return result.read(), "ok", 0, log, time.monotonic() - started
-                except (OSError, TypeError) as problem:
-                    return None, "error", None, str(problem), time.monotonic() - started
-
-        for batch in batches:
-            # One frame per document: a batch of whole files is never held twice.
-            for i, job in enumerate(zip(batch["content"], batch["command"], batch["in_ext"], batch["out_name"])):
-                content, status, code, log, seconds = one(*job)
-                yield batch[kept].iloc[[i]].assign(
-                    content=[content], status=status, exit_code=pd.array([code], dtype="Int32"),
-                    log=log, seconds=seconds)
+                    log = process.communicate(timeout=timeout)[0].decode("utf-8", "replace")
+                except subprocess.TimeoutExpired:
+                    os.killpg(process.pid, signal.SIGKILL)
+                    log = process.communicate()[0].decode("utf-8", "replace")
+                    return None, "timeout", None, log, time.monotonic() - started
+                if process.returncode != 0:
+                    return None, "error", process.returncode, log, time.monotonic() - started
+                path = pick(folder, wanted, given)
+                if path is None or os.path.getsize(path) == 0:
+                    return None, "error", 0, log + "\nno output", time.monotonic() - started
+                with open(path, "rb") as result:
+                    return result.read(), "ok", 0, log, time.monotonic() - started
+            except (OSError, TypeError) as problem:
+                return None, "error", None, str(problem), time.monotonic() - started
+
+        def in_folder(folder, *job):
+            os.mkdir(folder, 0o700)
+            try:
+                return one(folder, *job)
+            finally:
+                try:                                      # the usual case, a few files, without the costs of rmtree
+                    for name in os.listdir(folder):
+                        os.unlink(os.path.join(folder, name))
+                    os.rmdir(folder)
+                except OSError:
+                    shutil.rmtree(folder, ignore_errors=True)
+
+        def rows(own, done):
+            columns = zip(*done, strict=True)
+            made = [pa.array(values, kind) for values, kind in zip(columns, kinds, strict=True)]
+            return pa.RecordBatch.from_arrays([*own.columns, *made], [*kept, *names])
+
+        kinds = [pa.binary(), pa.string(), pa.int32(), pa.string(), pa.float64()]
+        names = [part.split()[0] for part in RESULT.split(", ")]
+        with tempfile.TemporaryDirectory(prefix="tool-", ignore_cleanup_errors=True) as parent:
+            number = 0
+            for batch in batches:
+                own, jobs = batch.select(range(len(kept))), batch.columns[len(kept):]
+                start, done, size = 0, [], 0
+                for i in range(batch.num_rows):
+                    done.append(in_folder(os.path.join(parent, str(number)), *(column[i].as_py() for column in jobs)))
+                    size, number = size + len(done[-1][0] or b"") + len(done[-1][3]), number + 1
+                    if size >= FLUSH or i + 1 == batch.num_rows:     # so a batch of whole files is never held twice
+                        yield rows(own.slice(start, i + 1 - start), done)
+                        start, done, size = i + 1, [], 0
 
     def column(value) -> Column:
         if isinstance(value, Column):
@@ -89,9 +115,10 @@ def run_tool(docs: DataFrame, command: list[str] | Column, in_ext: str | Column
 
     slim = docs.select(*kept, "content", column(command).alias("command"),
                        column(in_ext).alias("in_ext"), column(out_name).alias("out_name"))
-    spread = slim if parallel is None else slim.repartition(parallel)
+    spread = slim if parallel is None else slim.repartition(
+        max(parallel, 4 * docs.sparkSession.sparkContext.defaultParallelism))
     carried = ", ".join(f"{name} {docs.schema[name].dataType.simpleString()}" for name in kept)
-    return spread.mapInPandas(run, f"{carried}, {RESULT}")
+    return spread.mapInArrow(run, f"{carried}, {RESULT}")
 
 
 def pick_output(files: DataFrame) -> DataFrame:

@@ -88,3 +88,13 @@ def test_every_registered_transform_answers(spark):
         got = table[name](mine).collect()
         assert {r.doc_id for r in got} == {r.doc_id for r in mine.collect()}, name
         assert all((r.status == "ok") == (r.content is not None) for r in got), name
+
+
+def test_tools_in_parallel_fill_the_cores(spark):
+    docs = spark.createDataFrame([(i, f"doc {i}".encode(), [str(i)]) for i in range(30)], DOCS + ", tags array<string>")
+    done = tools.run_tool(docs, ["cp", "{input}", "{output}"], parallel=3, keep=("tags",))
+    assert done.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "MapInPandas" not in plan       # a frame for each document took longer than its program
+    assert sorted((r.doc_id, bytes(r.content).decode(), r.tags, r.status, r.exit_code, r.log) for r in done.collect()) == [
+        (i, f"doc {i}", [str(i)], "ok", 0, "") for i in range(30)]
