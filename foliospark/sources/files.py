@@ -11,6 +11,7 @@ from foliospark import values
 from foliospark.functions.formats import extension_mime, mime_extension
 from foliospark.functions.text import decode_utf8
 
+FILES_PER_BATCH = 10_000
 DOCUMENT = "doc_id string, source_mime string, content binary, size bigint"
 
 
@@ -33,7 +34,7 @@ def read_documents(spark: SparkSession, path: str, source_mime: str | None = Non
 
 
 def stream_documents(spark: SparkSession, path: str, source_mime: str | None = None,
-                     files_per_batch: int = 10_000) -> DataFrame:
+                     files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
     """New files below ``path`` as a streaming table of documents."""
     schema = "path string, modificationTime timestamp, length bigint, content binary"
     files = (spark.readStream.format("binaryFile").schema(schema).option("recursiveFileLookup", "true")

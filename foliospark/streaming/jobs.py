@@ -12,10 +12,16 @@ from pyspark.sql.streaming import StreamingQuery
 from foliospark import values
 from foliospark.operators import metadata, pii
 from foliospark.operators.routing import route
-from foliospark.sources.files import stream_documents
+from foliospark.sources.files import FILES_PER_BATCH, stream_documents
 
 Transform = Callable[[DataFrame], DataFrame]
 
+# Spark looks up each file of a batch once more, and beyond this many by a job with a task, and so a result for the driver,
+# for each file. The driver does it itself here, at most FILES_PER_BATCH files at a time.
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.threshold"
+# What opening a file counts, in bytes: at the usual 4 MB a task reads only a handful of small files.
+OPENING, SMALL = "spark.sql.files.openCostInBytes", str(64 * 1024)
+
 
 def stream_transform(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, registry: DataFrame,
                      transforms: dict[str, Transform], request: Transform, once: bool = True) -> StreamingQuery:
@@ -24,7 +30,8 @@ def stream_transform(spark: SparkSession, in_dir: str, out_dir: str, checkpoint:
     ``request`` adds ``target_mime`` and ``options`` to the documents. Each
     micro-batch writes to a folder of its own, in overwrite mode: a batch that
     is repeated after a failure replaces its own output and nothing else.
-    Requests that were not routed go to ``rejected`` with their status.
+    Requests that were not routed go to ``rejected`` with their status. From then on the session looks up as many paths
+    as a batch has files on the driver, and counts little for opening a file.
     """
     engines = {name: engine for name, engine, *_ in values.TRANSFORMERS}
     queues = {name: engines.get(name, name) + values.QUEUE_SUFFIX for name in transforms}
@@ -45,6 +52,9 @@ def stream_transform(spark: SparkSession, in_dir: str, out_dir: str, checkpoint:
 
     writer = stream_documents(spark, in_dir).writeStream.foreachBatch(handle).option(
         "checkpointLocation", checkpoint)
+    # The source asks the session it was made in, in each batch.
+    spark.conf.set(LISTING, str(max(FILES_PER_BATCH, int(spark.conf.get(LISTING)))))
+    spark.conf.set(OPENING, SMALL)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")).start()
 
 

@@ -100,3 +100,18 @@ def test_all_firsts_of_many_batches(spark, tmp_path):
     for rows in files:
         deliver(spark, tmp_path, *rows)
     assert [x[0] for x in firsts(spark, tmp_path, per_batch=3)] == list(range(1, 201))
+
+
+def test_a_batch_of_many_small_files_takes_few_tasks(spark, tmp_path):
+    """Each task sends a result to the driver: neither looking up the files of a batch nor reading them takes one a file."""
+    (tmp_path / "in").mkdir()
+    for k in range(80):
+        (tmp_path / "in" / f"{k}.html").write_text(f"<p>{k}")
+    query = jobs.stream_transform(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp"), routing.builtin_registry(spark),
+                                  {"html2md": transforms.html2md}, request)
+    query.awaitTermination()
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup(str(query.runId)) for s in tracker.getJobInfo(j).stageIds]
+    assert stages and max(tracker.getStageInfo(s).numTasks for s in stages if tracker.getStageInfo(s)) < 40
+    rows = spark.read.parquet(str(tmp_path / "out" / "queue=html2md-engine-queue")).collect()
+    assert {bytes(r.content).decode() for r in rows} == {str(k) for k in range(80)}
