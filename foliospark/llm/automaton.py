@@ -48,7 +48,7 @@ class Automaton:
         self.row, self.column = np.zeros(len(self.texts), np.int32), np.zeros(len(self.texts), np.int32)
         for text, number in self.ids.items():
             self.row[number], self.column[number] = state[text], column[text]
-        self.table = np.ascontiguousarray(np.packbits(removed, axis=1, bitorder="little"))
+        self.table = np.ascontiguousarray(removed.bytes)
         self._trie()
 
     def _trie(self) -> None:
@@ -76,11 +76,12 @@ class Automaton:
         return Encoder(self)
 
 
-def _gadgets(vocabulary: pretokens.Vocabulary) -> tuple[dict[str, int], dict[str, int], np.ndarray]:
+def _gadgets(vocabulary: pretokens.Vocabulary) -> tuple[dict[str, int], dict[str, int], _Bits]:
     """State and column of each token; the matrix is 1 where an arc is missing.
 
     The first loop names the states and columns each gadget makes, so that the table is allocated in its
-    final size; the second carries the gadgets out.
+    final size; the second carries the gadgets out, on the bits: a byte for each arc would take eight times the
+    table's memory of the driver.
     """
     merges = vocabulary.merges
     made = {u + v for u, v in merges}
@@ -95,18 +96,39 @@ def _gadgets(vocabulary: pretokens.Vocabulary) -> tuple[dict[str, int], dict[str
         column.share(w, u)
         copies = (state.own(u), column.own(v), column.own(w) if u == v else None)
         gadgets.append((copies, state.of[u], column.of[v], column.of[w] if u == v else None))
-    missing = np.zeros((state.made, column.made), np.bool_, order="F")
+    missing = _Bits(state.made, column.made)
     for (row, *columns), at, *labels in gadgets:
         if row:
-            missing[row[1]] = missing[row[0]]
+            missing.copy_row(*row)
         for copy in filter(None, columns):
-            missing[:, copy[1]] = missing[:, copy[0]]
+            missing.copy_column(*copy)
         for label in labels:
             if label is not None:
-                missing[at, label] = True
+                missing.set(at, label)
     return state.of, column.of, missing
 
 
+class _Bits:
+    """A matrix of bits; bit k of byte j of a row is its column 8 j + k."""
+
+    def __init__(self, rows: int, columns: int):
+        self.bytes = np.zeros((rows, columns + 7 >> 3), np.uint8, order="F")
+
+    def __getitem__(self, place: tuple[int, int]) -> bool:
+        row, column = place
+        return bool(self.bytes[row, column >> 3] >> (column & 7) & 1)
+
+    def set(self, row: int, column: int) -> None:
+        self.bytes[row, column >> 3] |= 1 << (column & 7)
+
+    def copy_row(self, old: int, new: int) -> None:
+        self.bytes[new] = self.bytes[old]
+
+    def copy_column(self, old: int, new: int) -> None:
+        """Into a column that has no bits yet."""
+        self.bytes[:, new >> 3] |= (self.bytes[:, old >> 3] >> (old & 7) & 1) << (new & 7)
+
+
 class _Owners:
     """Which state (or column) each token has, and how many tokens share one."""
 

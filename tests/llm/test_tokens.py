@@ -99,6 +99,18 @@ def test_gadgets_on_a_small_grammar():
     assert follows("aaaa", "ab") and follows("b", "aab")
 
 
+def test_table_is_made_in_its_own_size():
+    """The driver makes it: a byte for each of its bits would be 160 MB there."""
+    import tracemalloc
+    tracemalloc.start()
+    try:
+        made = automaton.compile(PATH)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert made.table.flags.c_contiguous and made.table.nbytes < 21 << 20 and most < 120 << 20, most
+
+
 def test_tables(spark, library):
     rows = [(1, None, "x"), (2, "", "y"), (3, "the cat", "z"), (3, "the cat", "z"), (None, "a b", "w")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string")
