@@ -1,6 +1,7 @@
 """Token counts and BPE encoding against the tokenizers library."""
 
 import hashlib
+import pickle
 import random
 
 import numpy as np
@@ -111,6 +112,14 @@ def test_table_is_made_in_its_own_size():
     assert made.table.flags.c_contiguous and made.table.nbytes < 21 << 20 and most < 120 << 20, most
 
 
+def test_broadcast_is_small(encoder):
+    """The driver and each executor hold its blocks as long as the broadcast lives."""
+    sent = pickle.dumps(encoder.a)
+    got = pickle.loads(sent)
+    assert len(sent) < 8 << 20 and (got.table == encoder.a.table).all() and vars(got).keys() == vars(encoder.a).keys()
+    assert got.encoder().text("the cat sat") == encoder.text("the cat sat")
+
+
 def test_tables(spark, library):
     rows = [(1, None, "x"), (2, "", "y"), (3, "the cat", "z"), (3, "the cat", "z"), (None, "a b", "w")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string")
