@@ -322,7 +322,9 @@ def features(evidence: np.ndarray, sizes: np.ndarray) -> tuple[float, ...]:
 def labelled(docs: DataFrame, labels: DataFrame, folds: list[int]) -> DataFrame:
     """``text, toxic, curve`` of the labelled documents of some folds; ``curve``: whether of the fold ``CURVE``.
 
-    Only documents that a fixed-size filter of labelled ids lets through are shuffled to meet their labels.
+    Only documents that a fixed-size filter of labelled ids lets through are shuffled to meet their labels. Few labels are
+    not broadcast either: the filter and the count of words would be one stage then, with two Python workers a task, and
+    an executor keeps its workers, in turn, with what each has taken.
     """
     wanted = _wanted(labels, folds)
     bits = docs.sparkSession.sparkContext.broadcast(shared.id_filter(wanted, "doc_id"))
@@ -333,7 +335,7 @@ def labelled(docs: DataFrame, labels: DataFrame, folds: list[int]) -> DataFrame:
 
     selected = docs.select("doc_id", "text", shared.filter_position(F.col("doc_id")).alias("at"))
     kind = selected.schema["doc_id"].dataType.simpleString()
-    return (selected.mapInArrow(run, f"doc_id {kind}, text string").join(wanted, "doc_id")
+    return (selected.mapInArrow(run, f"doc_id {kind}, text string").join(wanted.hint("merge"), "doc_id")
             .select("text", "toxic", (fold(F.col("doc_id")) == CURVE).alias("curve")))
 
 

@@ -292,3 +292,13 @@ def test_no_plan_of_gram_values_joins_more_than_one_order(spark, monkeypatch):
     for word in ("ab1", "cd", "blar3", "new"):
         assert abs(sum(got[g] for g in toxicity.grams(word)) - model.word(word)) < 1e-9
     assert max(n for _, n in plans) <= 3, plans
+
+
+def test_counting_takes_one_python_worker_a_task(spark):
+    """However few the labels are, a shuffle parts the filter of documents from the count of their grams."""
+    docs = spark.createDataFrame([(k, f"word{k % 7} of it") for k in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 3 == 0) for k in range(50)], "doc_id long, toxic boolean").selectExpr("doc_id", "int(toxic) AS toxic")
+    found = toxicity.counted(toxicity.labelled(docs, labels, list(range(5))))
+    assert {r.gram: r.toxic1 + r.ordinary1 for r in found.collect()}["\x02\x02\x02\x02\x02o"] == 50
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("MapInArrow") == 2 and "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
