@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from foliospark import values
@@ -12,6 +13,13 @@ from foliospark.functions.formats import extension_mime, mime_extension
 from foliospark.functions.text import decode_utf8
 
 FILES_PER_BATCH = 10_000
+# Bytes of contents after which files that were read leave their task.
+FLUSH = 4 << 20
+# Folders that one task lists before the others are dealt to all tasks.
+FOLDERS = 32
+# File systems whose files are those that Python opens.
+LOCAL = ("org.apache.hadoop.fs.LocalFileSystem", "org.apache.hadoop.fs.RawLocalFileSystem",
+         "org.apache.hadoop.hive.ql.io.ProxyLocalFileSystem")
 DOCUMENT = "doc_id string, source_mime string, content binary, size bigint"
 
 
@@ -25,14 +33,138 @@ def read_documents(spark: SparkSession, path: str, source_mime: str | None = Non
                    max_bytes: int | None = None) -> DataFrame:
     """Files below ``path``; the media type comes from the extension unless given.
 
-    ``max_bytes`` is pushed to the scan: larger files are never opened.
+    Names that Spark counts as hidden and empty files are left out. Files larger than ``max_bytes`` are never opened, nor
+    is any where ``content`` is not asked for. A local or mounted folder is listed and read by tasks, anew in each action,
+    so the driver holds nothing for a file (checksum files of Hadoop are not looked at); as many tasks read as the session
+    has shuffle partitions, at least four for each core. What only Spark's file systems open, patterns, single files and
+    sessions that skip missing or corrupt files go through Spark's own reader, whose driver keeps every file's status.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    folder = _local_folder(spark, path)
+    if folder is None:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    else:
+        files = _listed(spark, folder)
     if max_bytes is not None:
         files = files.filter(F.col("length") <= max_bytes)
+    if folder is not None:
+        # Dealt by name, so that a folder of any number of files is read by all tasks.
+        files = files.repartition(_tasks(spark), "path").select(
+            F.concat(F.lit("file:"), "path").alias("path"), "length", _contents(spark)("path").alias("content"))
     return _as_documents(files, source_mime)
 
 
+def _tasks(spark: SparkSession) -> int:
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+
+
+def _local_folder(spark: SparkSession, path: str) -> str | None:
+    """The folder that ``path`` names, if it is one of the local file system and Python would read it as Spark does."""
+    skips = [spark.conf.get(f"spark.sql.files.ignore{kind}Files").lower() == "true" for kind in ("Missing", "Corrupt")]
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is None or any(skips) or set(path) & set("{}[]*?\\"):
+        return None
+    wanted = jvm.org.apache.hadoop.fs.Path(path)
+    system = wanted.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    wanted = system.makeQualified(wanted)
+    if system.getClass().getName() not in LOCAL or wanted.toUri().getScheme() != "file":
+        return None
+    return wanted.toUri().getPath() if system.exists(wanted) and system.getFileStatus(wanted).isDirectory() else None
+
+
+def _listed(spark: SparkSession, folder: str) -> DataFrame:
+    """``path`` and ``length`` of the files below a local folder, as Spark lists them.
+
+    The first task lists folders until it knows some; those it has not listed are dealt to all tasks, which go down into
+    them. Entries leave as they are met: no task holds the names of a folder.
+    """
+    def entries(parent: str) -> Iterator[tuple[str, int | None]]:
+        import errno
+        import os
+
+        with os.scandir(parent) as found:
+            for entry in found:
+                name = entry.name
+                hidden = name.startswith(".") or name.endswith("._COPYING_") or (name.startswith("_") and "=" not in name)
+                try:
+                    name.encode()
+                    if entry.is_dir():
+                        if not hidden or name.startswith(("_metadata", "_common_metadata")):
+                            yield entry.path, None
+                    elif not hidden and (length := entry.stat().st_size):
+                        yield entry.path, length
+                except UnicodeEncodeError:                           # a name that is no text
+                    pass
+                except OSError as problem:
+                    if problem.errno not in (errno.ENOENT, errno.ELOOP):     # a link to nothing or in a circle
+                        raise
+
+    def widen(parent: str) -> Iterator[tuple[str, int | None]]:
+        pending, known = [parent], 1
+        while pending and known < FOLDERS:
+            for path, length in entries(pending.pop(0)):
+                if length is None and known < FOLDERS:
+                    pending.append(path)
+                    known += 1
+                else:
+                    yield path, length
+        yield from ((path, None) for path in pending)
+
+    def descend(parent: str) -> Iterator[tuple[str, int | None]]:
+        open_folders = [entries(parent)]
+        while open_folders:
+            path, length = next(open_folders[-1], (None, None))
+            if path is None:
+                open_folders.pop()
+            elif length is None:
+                open_folders.append(entries(path))
+            else:
+                yield path, length
+
+    def step(walk: Callable) -> Callable:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            from itertools import chain, islice
+
+            def rows(*columns):
+                return pa.RecordBatch.from_arrays([*columns], ["path", "length"])
+
+            for batch in batches:
+                path, length = batch.columns
+                yield rows(*batch.filter(length.is_valid()).columns)
+                met = chain.from_iterable(map(walk, path.filter(length.is_null()).to_pylist()))
+                while found := list(islice(met, 10_000)):
+                    paths, lengths = zip(*found, strict=True)
+                    yield rows(pa.array(paths, path.type), pa.array(lengths, pa.int64()))
+        return run
+
+    kind = "path string, length bigint"
+    root = spark.range(0, 1, 1, 1).select(F.lit(folder).alias("path"), F.lit(None).cast("bigint").alias("length"))
+    return root.mapInArrow(step(widen), kind).repartition(_tasks(spark), "path").mapInArrow(step(descend), kind)
+
+
+def _contents(spark: SparkSession) -> Callable:
+    """Local paths to contents; a column, so that it is left out of plans that do not need it."""
+    limit = int(spark.conf.get("spark.sql.sources.binaryFile.maxLength"))
+
+    def read(paths: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import os
+
+        for batch in paths:
+            done, size = [], 0
+            for path in batch:
+                with open(path, "rb") as file:
+                    if (length := os.fstat(file.fileno()).st_size) > limit:
+                        raise ValueError(f"{path}: {length} bytes are more than the {limit} that may be read")
+                    if done and size + length > FLUSH:
+                        yield pd.Series(done, dtype=object)
+                        done, size = [], 0
+                    done.append(file.read())
+                    size += len(done[-1])
+            if done:
+                yield pd.Series(done, dtype=object)
+
+    return F.pandas_udf(read, "binary")
+
+
 def stream_documents(spark: SparkSession, path: str, source_mime: str | None = None,
                      files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
     """New files below ``path`` as a streaming table of documents."""

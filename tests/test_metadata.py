@@ -2,6 +2,7 @@ import io
 import zipfile
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from foliospark.operators import metadata
@@ -139,6 +140,58 @@ def test_files(spark, tmp_path):
     assert decoded == {".HTML": ("<p>x�</p>", "ok"), "b.xyz": ("12345", "ok"), "c.pdf": (None, "unsupported")}
 
 
+def test_a_folder_is_listed_and_read_by_tasks(spark, tmp_path):
+    """The same rows as Spark's own reader, which keeps all files in the driver."""
+    root = tmp_path / "in"
+    names = ["a.txt", "empty.txt", ".hidden", "_hidden", "_a=b", "_metadata", "x._COPYING_", "d/_x/q.txt", "d/.y/q.txt",
+             "d/_k=1/q.txt", "d/_metadata/q.txt", "d/_metadata/_metadata", "sp ace%41#?.txt", "line\nbreak.txt",
+             "\u00fc.txt", "a/b/c/d/e/f.md", "back\\slash.txt", "st*r.txt", "large.bin", "larger.bin"]
+    names += [f"many/{i}/{j}/{k}.txt" for i in range(8) for j in range(8) for k in range(3)]
+    for name in names:
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_bytes(b"" if "empty" in name else b"0" * (files.FLUSH + 1) if "large" in name else name.encode())
+    (tmp_path / "other").mkdir()
+    (tmp_path / "other" / "o.txt").write_bytes(b"linked")
+    for name, target in {"link.txt": "a.txt", "links": tmp_path / "other", "nothing": "none", "self": "self"}.items():
+        (root / name).symlink_to(target)
+    for path in (str(root), f"file://{root}/a", f"{root}//d/./_x/../"):
+        expected = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        docs = files.read_documents(spark, path)
+        assert docs.inputFiles() == [] and docs.dtypes == [
+            ("doc_id", "string"), ("source_mime", "string"), ("content", "binary"), ("size", "bigint")]
+        assert sorted((r.doc_id, r.size, r.content) for r in docs.collect()) == sorted(
+            (r.path, r.length, r.content) for r in expected.collect())
+    assert files.read_documents(spark, str(root)).count() == 206
+    assert files.read_documents(spark, str(root / "a.txt")).count() == 1
+    assert files.read_documents(spark, str(root / "many" / "[01]")).count() == 48
+    (tmp_path / "nothing").mkdir()
+    assert files.read_documents(spark, str(tmp_path / "nothing")).count() == 0
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        files.read_documents(spark, str(tmp_path / "missing"))
+
+
+def test_contents_are_read_where_asked_for(spark, tmp_path):
+    for i in range(20):
+        (tmp_path / f"{i}.txt").write_bytes(b"x" * (i + 1))
+    docs = files.read_documents(spark, str(tmp_path))
+
+    def evaluations(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython")
+
+    assert evaluations(docs.select("doc_id", "source_mime", "size")) == 0
+    assert evaluations(files.decode_text(docs)) == evaluations(docs) == 1
+    # a file that a filter leaves out is not opened, one that is asked for and is too large is an error
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "10")
+    try:
+        docs = files.read_documents(spark, str(tmp_path))
+        assert docs.count() == 20 and len(docs.where("size <= 10").collect()) == 10
+        assert len(files.read_documents(spark, str(tmp_path), max_bytes=10).collect()) == 10
+        with pytest.raises(Exception, match="more than the 10 that may be read"):
+            docs.collect()
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+
+
 def test_export_keeps_equal_names_apart(spark, tmp_path):
     results = spark.createDataFrame(
         [("file:/x/a", "text/plain", b"1"), ("file:/y/a", "text/plain", b"2"), ("/../../up", "image/png", b"3")],
