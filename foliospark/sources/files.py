@@ -18,8 +18,7 @@ FLUSH = 4 << 20
 # Folders that one task lists before the others are dealt to all tasks.
 FOLDERS = 32
 # File systems whose files are those that Python opens.
-LOCAL = ("org.apache.hadoop.fs.LocalFileSystem", "org.apache.hadoop.fs.RawLocalFileSystem",
-         "org.apache.hadoop.hive.ql.io.ProxyLocalFileSystem")
+LOCAL = ("org.apache.hadoop.fs.LocalFileSystem", "org.apache.hadoop.hive.ql.io.ProxyLocalFileSystem")
 DOCUMENT = "doc_id string, source_mime string, content binary, size bigint"
 
 
@@ -35,9 +34,9 @@ def read_documents(spark: SparkSession, path: str, source_mime: str | None = Non
 
     Names that Spark counts as hidden and empty files are left out. Files larger than ``max_bytes`` are never opened, nor
     is any where ``content`` is not asked for. A local or mounted folder is listed and read by tasks, anew in each action,
-    so the driver holds nothing for a file (checksum files of Hadoop are not looked at); as many tasks read as the session
-    has shuffle partitions, at least four for each core. What only Spark's file systems open, patterns, single files and
-    sessions that skip missing or corrupt files go through Spark's own reader, whose driver keeps every file's status.
+    so the driver holds nothing for a file; as many tasks read as the session has shuffle partitions, at least four for
+    each core. What only Spark's file systems open, patterns, single files and sessions that skip missing or corrupt files
+    go through Spark's own reader, whose driver keeps every file's status.
     """
     folder = _local_folder(spark, path)
     if folder is None:
@@ -147,6 +146,22 @@ def _contents(spark: SparkSession) -> Callable:
 
     def read(paths: Iterator[pd.Series]) -> Iterator[pd.Series]:
         import os
+        import zlib
+
+        def check(path: str, content: bytes) -> None:
+            """Hold a file against the sums that Hadoop has written beside it, if it has."""
+            folder, name = os.path.split(path)
+            try:
+                with open(os.path.join(folder, f".{name}.crc"), "rb") as file:
+                    sums = file.read()
+            except OSError:
+                return
+            if len(sums) < 8 or sums[:4] != b"crc\0":
+                return
+            view, step = memoryview(content), int.from_bytes(sums[4:8], "big")
+            found = b"".join(zlib.crc32(view[i:i + step]).to_bytes(4, "big") for i in range(0, len(content), step))
+            if not sums[8:].startswith(found):
+                raise OSError(f"Checksum error: {path}")
 
         for batch in paths:
             done, size = [], 0
@@ -158,7 +173,8 @@ def _contents(spark: SparkSession) -> Callable:
                         yield pd.Series(done, dtype=object)
                         done, size = [], 0
                     done.append(file.read())
-                    size += len(done[-1])
+                check(path, done[-1])
+                size += len(done[-1])
             if done:
                 yield pd.Series(done, dtype=object)
 

@@ -192,6 +192,18 @@ def test_contents_are_read_where_asked_for(spark, tmp_path):
         spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
 
 
+def test_checksums_beside_files_are_held(spark, tmp_path):
+    spark.range(2000).selectExpr("string(id)").coalesce(1).write.text(str(tmp_path / "in"))
+    docs = files.read_documents(spark, str(tmp_path / "in"))
+    written, = (tmp_path / "in").glob("part-*")
+    assert [bytes(r.content) for r in docs.collect()] == [written.read_bytes()]
+    written.write_bytes(written.read_bytes()[:-3] + b"x\n\n")
+    with pytest.raises(Exception, match="Checksum error"):
+        docs.collect()
+    (tmp_path / "in" / f".{written.name}.crc").write_bytes(b"no sums")
+    assert docs.first().content.endswith(b"x\n\n")
+
+
 def test_export_keeps_equal_names_apart(spark, tmp_path):
     results = spark.createDataFrame(
         [("file:/x/a", "text/plain", b"1"), ("file:/y/a", "text/plain", b"2"), ("/../../up", "image/png", b"3")],
